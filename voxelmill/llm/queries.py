@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelmill.llm import exact, lines, packing, secret_scan, sharding
+from voxelmill.llm import exact, lines, packing, pii, secret_scan, sharding, toxicity
 from voxelmill.llm.storage import materialise, table
 
 SHARDS = 16
@@ -28,6 +28,20 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    names = F.array(*map(F.lit, pii.KINDS))
+    count = lambda k, kind: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
+    return found.select("doc_id", *(count(k, kind) for k, kind in enumerate(pii.KINDS)), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = materialise(table(spark, sf_dir, "documents").select(
@@ -48,7 +62,7 @@ def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_line_dedup, op6_virtual_slots, op8_exact_dedup, op9_length_buckets)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op8_exact_dedup, op9_length_buckets)}
 
 
 def oracle_sql() -> dict[str, str]:
