@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelmill.llm import exact, lines, packing, pii, secret_scan, sharding, toxicity
+from voxelmill.llm import exact, lines, minhash, packing, pii, secret_scan, sharding, toxicity
 from voxelmill.llm.storage import materialise, table
 
 SHARDS = 16
@@ -23,6 +23,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.remove_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -62,7 +66,7 @@ def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op8_exact_dedup, op9_length_buckets)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op8_exact_dedup, op9_length_buckets)}
 
 
 def oracle_sql() -> dict[str, str]:
