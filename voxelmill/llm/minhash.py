@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxelmill.llm.bitmap import only_of
 from voxelmill.llm.components import components
 from voxelmill.llm.storage import materialise
 from voxelmill.llm.text import U, by_size, flat, lowered, mix, prefix_hash, shingles, signed, span_hash, word_spans
@@ -168,29 +169,6 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return pairs.unionByName(star).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
 
 
-BITS = 1 << 26
-
-
-def only_of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``sets`` whose _row is in ``wanted``, give or take hash collisions: a bitmap of fixed size,
-    built by aggregation, goes to all tasks. However many rows are wanted, it drops none of them."""
-    bit = F.pmod(F.xxhash64("_row"), F.lit(BITS))
-    maps = wanted.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("no")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    table = np.zeros(BITS // 8 + 4096, np.uint8)
-    for no, bits in maps.collect():
-        table[(no - 1) * 4096 : no * 4096] |= np.frombuffer(bits, np.uint8)
-    shared = sets.sparkSession.sparkContext.broadcast(table.tobytes())
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
-            at = batch.column("bit").to_numpy()
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
-
-    marked = sets.withColumn("bit", bit)
-    return marked.mapInArrow(keep, marked.schema).drop("bit")
-
-
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Those of the pairs (a, b) whose shingle sets are at least that similar."""
     one = sets.select(F.col("_row").alias("b"), F.col("set").alias("set_b"))
@@ -223,7 +201,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     nodes = with_words.join(same.select(F.col("rep").alias("_row")), "_row", "left_semi").select("_row", "bands")
     pairs = materialise(candidates(nodes))
     ends = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row")))
-    sets = materialise(only_of(table.select("_row", "set"), ends))
+    sets = materialise(only_of(table.select("_row", "set"), "_row", ends))
 
     way = lambda x, y: pairs.select(F.col(x).alias("node"), F.col(y).alias("other"), "times")
     first = way("a", "b").unionByName(way("b", "a")).groupBy("node").agg(F.max_by("other", F.struct("times", "other")).alias("other"))

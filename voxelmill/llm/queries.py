@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelmill.llm import exact, lines, minhash, packing, pii, secret_scan, sharding, toxicity
+from voxelmill.llm import decontam, exact, lines, minhash, packing, passages, pii, secret_scan, sharding, toxicity
 from voxelmill.llm.storage import materialise, table
 
 SHARDS = 16
@@ -57,6 +57,10 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(*exact.halves(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -65,8 +69,13 @@ def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op8_exact_dedup, op9_length_buckets)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op7_decontamination, op8_exact_dedup, op9_length_buckets, op10_repeated_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
