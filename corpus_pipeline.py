@@ -1,28 +1,82 @@
-"""From raw documents to packed batches: each stage works on all rows that the one before it kept."""
+"""From raw documents to packed batches: each stage works on all rows that the one before it kept.
+
+Stages take and return rows with the columns of ``documents``; only the last returns batches instead.
+Rows are told apart by a hash of id and text, so null and repeated ids keep their own decisions; further
+columns pass through. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxelmill.llm import exact, packing
+from voxelmill.llm import decontam, exact, minhash, packing, toxicity
 from voxelmill.llm.storage import materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    key = free_name(docs, "_key")
+    return docs.withColumn(key, F.xxhash64("doc_id", F.coalesce("text", F.lit("")))), key
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``docs`` but for the keys in ``gone``, which Spark broadcasts only if its written size allows it."""
+    return docs.join(materialise(gone.select(key).distinct()), key, "left_anti").drop(key)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that are likelier toxic than not go."""
+    score = free_name(docs, "score")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, out=score).where(F.col(score) < 0.5).drop(score)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
-    judged = exact.deduplicate(*exact.halves(docs)).where("kept").select("doc_id").dropDuplicates()
-    return docs.join(judged, "doc_id", "left_semi")
+    """Of equal texts, the row with the largest id stays; of rows equal in id and text, one stays."""
+    rows, key = keyed(docs)
+    judged = materialise(exact.deduplicate(*exact.halves(rows), also=[key]))
+    kept = without(rows, key, judged.where(~F.col("kept")))
+    stay = judged.where("kept")
+    repeated = stay.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    rows, key = keyed(docs)
+    judged = minhash.classes(rows, id_col=key)
+    return without(rows, key, judged.where(~F.col("kept")))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark question go."""
+    rows, key = keyed(docs)
+    judged = decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=key)
+    return without(rows, key, judged.where("contaminated"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Batches: one row per document with its bucket, batch and place."""
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_stage), ("packing", packing_stage)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
 #: Learned models and near duplicates are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

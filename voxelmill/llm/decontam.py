@@ -237,8 +237,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def scan(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for batch in by_size(whole, text_col, 2 << 20):
-                    t = canonical(batch.column(text_col))
+                for batch in by_size(whole, "text", 2 << 20):
+                    t = canonical(batch.column("text"))
                     ids: list[dict[int, float]] = [{} for _ in range(len(batch))]
                     for names, b in tables.value:
                         for own, got in zip(ids, matches(b, t, names, len(batch), share), strict=True):
@@ -246,12 +246,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                                 for item in b.ids[k]:
                                     own[item] = max(s, own.get(item, 0.0))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(id_col), *batch.select(["_key"]).columns, pa.array([sorted(x) for x in ids], pa.list_(pa.int64())), pa.array([max(x.values(), default=0.0) for x in ids], pa.float64())],
-                        ["id", "_key", "items", "share"],
+                        [batch.column("id"), batch.column("row"), pa.array([sorted(x) for x in ids], pa.list_(pa.int64())), pa.array([max(x.values(), default=0.0) for x in ids], pa.float64())],
+                        ["id", "row", "items", "share"],
                     )
 
-        part = docs.select(id_col, text_col, F.monotonically_increasing_id().alias("_key")).mapInArrow(scan, f"id {kind}, _key long, items array<long>, share double")
+        part = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")).mapInArrow(scan, f"id {kind}, row long, items array<long>, share double")
         out = part if out is None else out.unionByName(part)
     if blocks > 1:
-        out = out.groupBy("_key", "id").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.max("share").alias("share"))
+        out = out.groupBy("row", "id").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.max("share").alias("share"))
     return out.select(F.col("id").alias(id_col), (F.size("items") > 0).alias("contaminated"), "items", "share")

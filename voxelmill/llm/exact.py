@@ -15,6 +15,7 @@ result; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,8 +35,8 @@ def normalised(text: str | Column = "text") -> Column:
     return F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return df.select(F.col(id_col).alias("_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("_sha"))
+def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", also: Sequence[str] = ()) -> DataFrame:
+    return df.select(*also, F.col(id_col).alias("_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("_sha"))
 
 
 def groups(rows: DataFrame) -> DataFrame:
@@ -94,11 +95,13 @@ def byte_checked(pairs: DataFrame, left: DataFrame, right: DataFrame, id_col: st
     return both.where(same).select("_sha", "_keep", "_n", "_keep_s", "_n_s").dropDuplicates(["_sha"])
 
 
-def deduplicate(old: DataFrame, new: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``old`` and ``new``: the id column, keep_id, group_size, kept, text_sha256.
+def deduplicate(old: DataFrame, new: DataFrame, id_col: str = "doc_id", text_col: str = "text", also: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``old`` and ``new``: the id column, keep_id, group_size, kept, text_sha256, and
+    the columns ``also``.
 
-    The row with the largest id stays, whichever side it is on."""
-    seen, fresh = digests(old, id_col, text_col), digests(new, id_col, text_col)
+    The row with the largest id stays, whichever side it is on. Rows equal in id and text are told apart
+    by nothing, so all of them are marked kept where their id stays."""
+    seen, fresh = digests(old, id_col, text_col, also), digests(new, id_col, text_col, also)
     snapshot = Snapshot.of(seen)
     batch = materialise(groups(fresh))
     buckets = snapshot.groups.select("_sha", F.col("_keep").alias("_keep_s"), F.col("_n").alias("_n_s"))
@@ -115,7 +118,7 @@ def deduplicate(old: DataFrame, new: DataFrame, id_col: str = "doc_id", text_col
         return rows.join(both, "_sha").select(
             F.col("_id").alias(id_col), "keep_id", "group_size",
             F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-            F.lower(F.hex("_sha")).alias("text_sha256"),
+            F.lower(F.hex("_sha")).alias("text_sha256"), *also,
         )
 
     return placed(seen, snapshot.groups).unionByName(placed(fresh, batch))

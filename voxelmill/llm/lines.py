@@ -52,7 +52,9 @@ def spread(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band:
 
 
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with the text cleaned and columns n_lines (of all lines) and n_removed."""
+    """``docs`` with the text cleaned and columns n_lines (of all lines) and n_removed, which replace
+    columns of these names."""
+    docs = docs.drop("n_lines", "n_removed", "_key", "_gone", "_lines", "_set", "_kept")
     rows = materialise(line_rows(docs, id_col, text_col, site_col))
     common = materialise(spread(rows, min_sites))
     found = (
