@@ -6,31 +6,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 1 << 26
 
 
-def only_of(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str | None = None) -> DataFrame:
-    """Rows whose ``key`` is in ``wanted``, give or take hash collisions. The bitmap is built by
-    aggregation and takes 8 MB whatever the row counts; the more keys are wanted, the fewer rows it
-    saves, but it drops none that is wanted. A join must follow."""
-    bit = lambda k: F.pmod(F.xxhash64(k), F.lit(BITS))
+def _bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS))
+
+
+def bitmap(wanted: DataFrame, key: str) -> Broadcast[bytes]:
+    """The bitmap of a column, built by aggregation: 8 MB whatever the row count."""
     maps = (
-        wanted.select((bit(wanted_key or key) + 1).alias("_bit"))
+        wanted.select((_bit(key) + 1).alias("_bit"))
         .groupBy(F.bitmap_bucket_number("_bit").alias("no")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("bits"))
     )
     table = np.zeros(BITS // 8, np.uint8)
     for no, bits in maps.toLocalIterator():
         table[(no - 1) * 4096 : no * 4096] |= np.frombuffer(bits, np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(table.tobytes())
+    return wanted.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def filtered(rows: DataFrame, key: str, shared: Broadcast[bytes], inside: bool = True) -> DataFrame:
+    """Rows whose key may be in the bitmap's column, or those whose key can't be. The more keys a bitmap
+    holds, the fewer rows it tells apart, but no row is lost: a join of the first part must follow."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             at = batch.column("_bit").to_numpy()
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            yield batch.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) == inside))
 
-    marked = rows.withColumn("_bit", bit(key))
+    marked = rows.withColumn("_bit", _bit(key))
     return marked.mapInArrow(keep, marked.schema).drop("_bit")
+
+
+def only_of(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    return filtered(rows, key, bitmap(wanted, key))

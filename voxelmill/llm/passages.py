@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelmill.llm.bitmap import only_of
+from voxelmill.llm.bitmap import bitmap, filtered, only_of
 from voxelmill.llm.storage import materialise
 from voxelmill.llm.suffix import repeated
 from voxelmill.llm.text import U, by_size, flat, mix, prefix_hash, signed, span_hash
 
 DEPTH, ANCHOR, CROWD = 200, 50, 2048
-PART, BLOCK = 2 << 20, 1 << 20
+PART, BLOCK = 1 << 19, 1 << 19
 _PLACE = U(31)
 
 
@@ -88,10 +88,12 @@ def anchor_rows(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def with_text(contexts: DataFrame, docs: DataFrame, depth: int) -> DataFrame:
-    """h, one, _id, _text_hash, first, context (bytes) for rows with first and last."""
+    """h, one, _id, _text_hash, first, context (bytes) for rows with first and last.
+
+    Rows equal in id and text give a context twice, but only one that isn't ``one`` anyway."""
     some = only_of(docs, "_text_hash", contexts)
     met = contexts.groupBy("_id", "_text_hash").agg(F.collect_list(F.struct("h", "one", "first", "last")).alias("own"))
-    joined = some.dropDuplicates(["_text_hash", "_id"]).join(
+    joined = some.join(
         met.withColumnsRenamed({"_id": "_id2", "_text_hash": "_text_hash2"}),
         F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_text_hash2")),
     )
@@ -226,9 +228,17 @@ def spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
     """One row per row of docs: the id column, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
     own = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).withColumn("_text_hash", F.xxhash64("_text"))
-    found = materialise(spans(own, depth)).groupBy("_id", "_text_hash").agg(F.collect_set("span").alias("spans"))
+    each = materialise(spans(own, depth))
+    found = each.groupBy("_id", "_text_hash").agg(F.collect_set("span").alias("spans"))
     found = found.withColumnsRenamed({"_id": "_id2", "_text_hash": "_text_hash2"})
-    joined = own.join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_text_hash2")), "left")
+    # texts that can't have spans are passed on where they are read
+    shared = bitmap(each, "_text_hash")
+    joined = (
+        filtered(own, "_text_hash", shared)
+        .join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_text_hash2")), "left")
+        .select("_id", "_text", "spans")
+        .unionByName(filtered(own, "_text_hash", shared, False).select("_id", "_text", F.lit(None).cast("array<long>").alias("spans")))
+    )
     kind = own.schema["_id"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
