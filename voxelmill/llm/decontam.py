@@ -237,7 +237,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def scan(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for batch in by_size(whole, "text", 2 << 20):
+                for batch in by_size(whole, "text"):
                     t = canonical(batch.column("text"))
                     ids: list[dict[int, float]] = [{} for _ in range(len(batch))]
                     for names, b in tables.value:

@@ -42,7 +42,7 @@ def _byte_codes(seed: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93) + U(seed))
 
 
-@lru_cache(1)
+@lru_cache(4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     p, q = np.full(n, _BASE, U), np.full(n, _BASE_INV, U)
     p[0] = q[0] = 1
@@ -50,7 +50,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    p, q = _powers(1 << max(20, int(n - 1).bit_length()))
+    p, q = _powers(1 << max(18, int(n - 1).bit_length()))
     return p[:n], q[:n]
 
 
@@ -66,7 +66,7 @@ def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((c[end] - c[start]) * powers(len(c))[1][start] + (end - start).astype(U) * U(0xA24BAED4963EE407))
 
 
-def by_size(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text; a longer single text makes a part of its own."""
     col = batch.column(column)
     ends = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -76,6 +76,7 @@ def by_size(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator
         to = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
