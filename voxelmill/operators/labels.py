@@ -15,7 +15,7 @@ def borders(mask: DataFrame, height: int, width: int, slice_axis: str = "z", v:
     where a slice is empty. One pass of minima and maxima, combined before the shuffle."""
     on = lambda c: F.when(F.col(v) > 0, F.col(c))
     raw = {"top": F.min(on("y")), "bottom": F.lit(height - 1) - F.max(on("y")), "left": F.min(on("x")), "right": F.lit(width - 1) - F.max(on("x"))}
-    return mask.groupBy(slice_axis).agg(*(F.coalesce(F.greatest(c - 1, F.lit(0)), F.lit(-1)).cast("long").alias(k) for k, c in raw.items()))
+    return mask.groupBy(slice_axis).agg(*(F.when(c.isNull(), -1).otherwise(F.greatest(c - 1, F.lit(0))).cast("long").alias(k) for k, c in raw.items()))
 
 
 def scaled(boxes: DataFrame, levels: int, level: int) -> DataFrame:

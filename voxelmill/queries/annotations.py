@@ -10,8 +10,9 @@ from voxelmill.queries import query
 from voxelmill.queries.views import SIDE, VOLUME, WIDTH, volume
 
 MASK = f"{VOLUME}, mask as (select z, y, x, case when v > 300 and z % 6 <> 5 then v % 7 else 0 end as v from vol)"
-BOX = f"""box as (select z, coalesce(greatest(min(y) filter (v > 0) - 1, 0), -1) as top, coalesce(greatest({SIDE - 1} - max(y) filter (v > 0) - 1, 0), -1) as bottom,
-  coalesce(greatest(min(x) filter (v > 0) - 1, 0), -1) as "left", coalesce(greatest({WIDTH - 1} - max(x) filter (v > 0) - 1, 0), -1) as "right" from mask group by z)"""
+BOX = f"""seen as (select z, min(y) filter (v > 0) as y0, max(y) filter (v > 0) as y1, min(x) filter (v > 0) as x0, max(x) filter (v > 0) as x1 from mask group by z),
+box as (select z, case when y0 is null then -1 else greatest(y0 - 1, 0) end as top, case when y0 is null then -1 else greatest({SIDE - 2} - y1, 0) end as bottom,
+  case when y0 is null then -1 else greatest(x0 - 1, 0) end as "left", case when y0 is null then -1 else greatest({WIDTH - 2} - x1, 0) end as "right" from seen)"""
 
 
 def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from voxelmill.operators.tiles import parsed, stem
 
+#: What Spark's own file source gives.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def arriving(spark: SparkSession, folder: str, kind: str, pattern: str = "*.tiff", delay: str = "1 day") -> DataFrame:
     """A stream of tiles (path, y, z, ...) of files as they appear; of tiles that come twice within the
     watermark, the first stands."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "modificationTime", "length")
+    files = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", pattern).load(folder).select("path", "modificationTime", "length")
     t = parsed(files.withColumn("stem", stem(F.col("path"))), "stem", kind).where("y is not null and z is not null")
     return t.withWatermark("modificationTime", delay).dropDuplicatesWithinWatermark(["y", "z"])
 
