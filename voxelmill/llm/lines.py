@@ -41,12 +41,12 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> Dat
 def spread(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
     """_h1, _h2 of the lines on at least ``min_sites`` distinct sites."""
     key = ["_h1", "_h2"]
-    several = rows.groupBy(*key).agg(F.min("_site").alias("lo"), F.max("_site").alias("hi"))
-    several = several.where("lo <> hi") if min_sites > 1 else several
-    candidates = rows.join(several.select(*key), key)
-    sketched = materialise(candidates.groupBy(*key).agg(F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(lg_k))).alias("sites")))
-    near = sketched.where((F.col("sites") >= min_sites * (1 - band)) & (F.col("sites") <= min_sites * (1 + band)))
-    exact = rows.join(near.select(*key), key).groupBy(*key, "_site").agg(F.lit(1).alias("one")).groupBy(*key).agg(F.count("one").alias("sites"))
+    sketch = F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(lg_k))).alias("sites")
+    sketched = materialise(rows.groupBy(*key).agg(sketch).where(F.col("sites") >= min_sites * (1 - band)))
+    near = sketched.where(F.col("sites") <= min_sites * (1 + band)).select(*key)
+    # one row per line and site before the join, so a hot line has as many rows as sites
+    each = rows.groupBy(*key, "_site").agg(F.lit(1).alias("one"))
+    exact = each.join(near, key, "left_semi").groupBy(*key).agg(F.count("one").alias("sites"))
     sure = sketched.where(F.col("sites") > min_sites * (1 + band))
     return sure.select(*key).unionByName(exact.where(F.col("sites") >= min_sites).select(*key))
 
