@@ -112,9 +112,9 @@ def deduplicate(old: DataFrame, new: DataFrame, id_col: str = "doc_id", text_col
     )
 
     def placed(rows: DataFrame, own: DataFrame) -> DataFrame:
-        both = own.join(met, "_sha", "left").select(
+        both = materialise(own.join(met, "_sha", "left").select(
             "_sha", F.coalesce("_keep_m", "_keep").alias("keep_id"), F.coalesce("_n_m", "_n").alias("group_size")
-        )
+        ))  # written, so that the next join is one of two plain shuffles, whose hot partitions Spark can split
         return rows.join(both, "_sha").select(
             F.col("_id").alias(id_col), "keep_id", "group_size",
             F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
