@@ -51,6 +51,11 @@ def shifted(df: DataFrame, by: Mapping[str, int | Column]) -> DataFrame:
     return df.withColumns({k: F.col(k) + (F.lit(n) if isinstance(n, int) else n) for k, n in by.items()})
 
 
+def with_axes(df: DataFrame, axes: Sequence[str]) -> DataFrame:
+    """Axes that ``df`` lacks, with one place each: a scalar or a vector as an array of more axes."""
+    return df.withColumns({k: F.lit(0).cast("long") for k in axes if k not in df.columns})
+
+
 def coordinates(spark: SparkSession, extents: Mapping[str, int]) -> DataFrame:
     """Every coordinate of a box, in C order; made where it is used, not on the driver."""
     out = spark.range(math.prod(extents.values()))
