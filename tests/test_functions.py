@@ -252,3 +252,16 @@ def test_tiles_that_arrive(spark, tmp_path):
         tiff.write_tiff(str(tmp_path / "in/t_y03_z01.tiff"), np.zeros((1, 4, 4), np.uint8))
         tiff.write_tiff(str(tmp_path / "in/u_y01_z01.tiff"), np.zeros((1, 4, 4), np.uint8))
     assert sorted(seen) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_last_write_wins_in_both_ways(spark):
+    from voxelmill.operators import stitch
+
+    r = np.random.default_rng(3)
+    pdf = pd.DataFrame({"x": r.integers(0, 30, 300), "o": r.integers(-3, 4, 300), "v": r.integers(-(2**31), 2**31, 300)})
+    want = {x: max(zip(g["o"], g["v"]))[1] for x, g in pdf.groupby("x")}
+    for kind in ("int", "long"):
+        df = spark.createDataFrame(pdf, f"x long, o int, v {kind}")
+        got = stitch.last_wins(df, ["x"], "o")
+        assert {q["x"]: q["v"] for q in got.collect()} == want
+        assert ("SortAggregate" in got._jdf.queryExecution().toString()) == (kind == "long")

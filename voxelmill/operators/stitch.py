@@ -20,8 +20,17 @@ def stitched(voxels: DataFrame, layout: DataFrame, key: str, axis: str) -> DataF
 
 
 def last_wins(voxels: DataFrame, axes: Sequence[str], order: str, v: str = "v") -> DataFrame:
-    """One value per voxel: that of the greatest ``order``; ties give the greatest value."""
-    return voxels.groupBy(*axes).agg(F.max(F.struct(order, v))[v].alias(v))
+    """One value per voxel: that of the greatest ``order``; ties give the greatest value.
+
+    Where both are integers of 32 bits at most, they are one long, so that hash aggregation can hold it;
+    other pairs are sorted."""
+    narrow = {"tinyint", "smallint", "int"}
+    kinds = {c: voxels.schema[c].dataType.simpleString() for c in (order, v)}
+    if not set(kinds.values()) <= narrow:
+        return voxels.groupBy(*axes).agg(F.max(F.struct(order, v))[v].alias(v))
+    both = F.shiftleft(F.col(order).cast("long"), 32) + (F.col(v).cast("long") + (1 << 31))
+    last = voxels.groupBy(*axes).agg(F.max(both).alias("_last"))
+    return last.withColumn(v, (F.col("_last").bitwiseAND(0xFFFFFFFF) - (1 << 31)).cast(kinds[v])).drop("_last")
 
 
 def stacked(slices: DataFrame, path: str, axis: str) -> DataFrame:
