@@ -197,7 +197,7 @@ def counted_windows(contexts: DataFrame, depth: int) -> DataFrame:
                 )
 
     windows = materialise(contexts.mapInArrow(open_, f"w1 long, w2 long, one boolean, _id {kind}, _text_hash long, at long"))
-    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    twice = materialise(windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2"))
     found = windows.where("one").join(twice, ["w1", "w2"])
     return found.select("_id", "_text_hash", F.shiftleft("at", 32).bitwiseOR(F.col("at") + depth).alias("span"))
 
@@ -233,11 +233,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = found.withColumnsRenamed({"_id": "_id2", "_text_hash": "_text_hash2"})
     # texts that can't have spans are passed on where they are read
     shared = bitmap(each, "_text_hash")
-    joined = (
-        filtered(own, "_text_hash", shared)
-        .join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_text_hash2")), "left")
-        .select("_id", "_text", "spans")
-        .unionByName(filtered(own, "_text_hash", shared, False).select("_id", "_text", F.lit(None).cast("array<long>").alias("spans")))
+    touched = filtered(own, "_text_hash", shared).join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_text_hash2")), "left")
+    zero = F.lit(0).cast("long")
+    untouched = filtered(own, "_text_hash", shared, False).select(
+        "_id", F.octet_length("_text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("_text").cast("binary").alias("kept")
     )
     kind = own.schema["_id"].dataType.simpleString()
 
@@ -265,5 +264,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     ["_id", "n_bytes", "n_removed", "n_spans", "kept"],
                 )
 
-    out = joined.select("_id", "_text", "spans").mapInArrow(remove, f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.withColumnRenamed("_id", id_col)
+    out = touched.select("_id", "_text", "spans").mapInArrow(remove, f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return out.unionByName(untouched).withColumnRenamed("_id", id_col)
