@@ -52,9 +52,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """Of each class of near duplicates, the document of least id stays."""
     rows, key = keyed(docs)
-    judged = minhash.classes(rows, id_col=key)
+    judged = minhash.classes(rows, also=[key])
     return without(rows, key, judged.where(~F.col("kept")))
 
 

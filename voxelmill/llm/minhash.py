@@ -8,9 +8,12 @@ coordinate with the probability of their weighted Jaccard similarity. Here weigh
 
 Signatures are cut into bands. Texts with the same shingles are one node from the start. Within a bucket
 of few nodes all pairs are candidates; in a large one every node is paired with a leader drawn anew for
-each band, and the bucket is split again by the next band, where the same holds; nothing is capped.
-Candidates are verified by the exact similarity of their shingle sets, first each node's likeliest
-partner, then what still joins different components. Classes are the connected components of the links.
+each band, and the bucket is split again by the next band, where the same holds. Candidates are verified
+by the exact similarity of their shingle sets, first each node's likeliest partner, then what still joins
+different components. Nodes of a large bucket that don't belong to its main component after that are
+searched for exactly among all nodes of such buckets: two sets that are similar enough share one of their
+rarest shingles, so these are joined (prefix filtering). So no pair that meets in a bucket is lost, and no
+bucket's pairs are all formed. Classes are the connected components of the links.
 
 Words are runs of letters and digits, lower-cased. A text of fewer than five words is one shingle; a
 null text or one without words belongs to no class but its own. Rows with the same id are rows of their
@@ -19,7 +22,7 @@ own. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -120,13 +123,13 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view(U).ravel()
 
 
-def signed_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, k: int = COORDINATES, band: int = BAND) -> DataFrame:
-    """_row, _id, k1, k2, n (of shingles), bands, set."""
+def signed_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, k: int = COORDINATES, band: int = BAND, also: Sequence[str] = ()) -> DataFrame:
+    """_row, _id, k1, k2, n (of shingles), bands, set, and the columns ``also``."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in by_size(whole, text_col, 1 << 20):
+            for batch in by_size(whole, text_col):
                 rows = len(batch)
                 h, owner = shingle_sets(batch.column(text_col), words)
                 sig = signatures(h, owner, np.ones(len(h)), rows, k)
@@ -142,15 +145,16 @@ def signed_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
                 sets = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(packed(h))])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * (k // band)), pa.array(signed(bands.ravel())))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(id_col), pa.array(signed(sums[0])), pa.array(signed(sums[1])), pa.array(n.astype(np.int64)), lists, sets.cast(pa.binary())],
-                    ["_id", "k1", "k2", "n", "bands", "set"],
+                    [batch.column(id_col), pa.array(signed(sums[0])), pa.array(signed(sums[1])), pa.array(n.astype(np.int64)), lists, sets.cast(pa.binary()), *(batch.column(c) for c in also)],
+                    ["_id", "k1", "k2", "n", "bands", "set", *also],
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(sign, f"_id {kind}, k1 long, k2 long, n long, bands array<long>, set binary").withColumn("_row", F.monotonically_increasing_id())
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in also)
+    return docs.select(id_col, text_col, *also).mapInArrow(sign, f"_id {kind}, k1 long, k2 long, n long, bands array<long>, set binary{more}").withColumn("_row", F.monotonically_increasing_id())
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """a, b, times (how many bands name the pair) from nodes (_row, bands)."""
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """a, b, times (how many bands name the pair) from nodes (_row, bands); and _row, h1 of large buckets."""
     rows = nodes.select("_row", F.posexplode("bands").alias("_no", "h1"), "bands").select(
         "_row", "h1", F.xxhash64("h1", F.element_at("bands", F.pmod(F.col("_no") + 1, F.size("bands")) + 1)).alias("h2")
     )
@@ -166,7 +170,70 @@ def candidates(nodes: DataFrame) -> DataFrame:
     few = both.where(F.col("size") <= SMALL).groupBy("h1").agg(F.array_sort(F.collect_list("_row")).alias("own"))
     pairs = few.select(F.posexplode("own").alias("i", "a"), "own").select("a", F.explode(F.slice("own", F.col("i") + 2, SMALL)).alias("b"))
     star = both.where(F.col("size") > SMALL).select(F.least("_row", "leader").alias("a"), F.greatest("_row", "leader").alias("b"))
-    return pairs.unionByName(star).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+    return pairs.unionByName(star).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")), large.select("_row", "h1")
+
+
+def unsettled(large: DataFrame, found: DataFrame) -> DataFrame:
+    """_row, rest: nodes of large buckets that hold several components; rest: not in a bucket's main one."""
+    labelled = large.join(found.withColumnRenamed("node", "_row"), "_row", "left").withColumn("label", F.coalesce("label", "_row"))
+    each = labelled.groupBy("h1", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = materialise(each.groupBy("h1").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    return labelled.join(main, "h1").groupBy("_row").agg(F.max(F.col("label") != F.col("main")).alias("rest"))
+
+
+COUNTERS = 1 << 20
+
+
+def rarest(sets: DataFrame, similar: float) -> DataFrame:
+    """_row, rest, n, shingle, place: of each set (_row, rest, set) the rarest shingles, as many as a set of that
+    similarity can't lack. Any order that is the same for all sets is exact; this one is by counters of
+    fixed number that shingles are hashed to, so that common ones come last."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for x in batch.column("set"):
+                np.add.at(total, (mix(unpacked(x.as_py())) % U(COUNTERS)).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["k", "n"])
+
+    counts = np.zeros(COUNTERS, np.int64)
+    for k, n in sets.select("set").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n")).toLocalIterator():
+        counts[k] = n
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for whole in batches:
+            for batch in by_size(whole, "set"):
+                got, sizes = [], []
+                for x in batch.column("set"):
+                    h = unpacked(x.as_py())
+                    h = h[np.lexsort((h, table[(mix(h) % U(COUNTERS)).astype(np.int64)]))]
+                    sizes.append(len(h))
+                    got.append(h[: len(h) - int(np.ceil(similar * len(h) - 1e-9)) + 1])
+                owner = pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("_row").take(owner), batch.column("rest").take(owner), pa.array(sizes, pa.int64()).take(owner),
+                        pa.array(signed(np.concatenate(got) if got else np.zeros(0, U))), pa.array(np.concatenate([np.arange(len(g)) for g in got] or [np.zeros(0, np.int64)])),
+                    ],
+                    ["_row", "rest", "n", "shingle", "place"],
+                )
+
+    return sets.select("_row", "rest", "set").mapInArrow(pick, "_row long, rest boolean, n long, shingle long, place long")
+
+
+def searched(nodes: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Candidates (a, b) of the nodes marked ``rest`` among all of ``nodes``: they share a shingle early
+    enough that what follows it in both can still make them similar."""
+    rows = materialise(rarest(sets.join(nodes, "_row"), similar))
+    mine = rows.where("rest").select(F.col("_row").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("i"), "shingle")
+    theirs = rows.select(F.col("_row").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("j"), "rest", "shingle")
+    enough = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) >= F.lit(similar / (1 + similar)) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    other = (F.col("a") != F.col("b")) & ((F.col("a") < F.col("b")) | ~F.col("rest"))
+    met = mine.alias("l").join(theirs.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & other & enough)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -187,19 +254,22 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> Dat
     return pairs.select("a", "b").join(one, "b").join(two, "a").select("a", "b", "set_a", "set_b").mapInArrow(judge, "a long, b long")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, words: int = WORDS) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, words: int = WORDS, also: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: the id column, class_id (the least id of its class), class_size, kept
-    (one row of each class, of the least id), n_shingles."""
-    table = materialise(signed_rows(docs, id_col, text_col, words))
-    rows = table.select("_row", "_id", "k1", "k2", "n", "bands")
+    (one row of each class, of the least id), n_shingles, and the columns ``also``."""
+    table = materialise(signed_rows(docs, id_col, text_col, words, also=also))
+    rows = table.select("_row", "_id", "k1", "k2", "n", "bands", *also)
     with_words = rows.where("n > 0")
-    same = with_words.groupBy("k1", "k2", "n").agg(F.min("_row").alias("rep"))
+    # groups are written before rows join them: Spark can split a hot partition of a join only where both
+    # sides come straight from a shuffle
+    same = materialise(with_words.groupBy("k1", "k2", "n").agg(F.min("_row").alias("rep")))
     members = materialise(
-        with_words.select("_row", "_id", "k1", "k2", "n").join(same, ["k1", "k2", "n"]).select("_row", "_id", "n", "rep")
-        .unionByName(rows.where("n = 0").select("_row", "_id", "n", F.col("_row").alias("rep")))
+        with_words.drop("bands").join(same, ["k1", "k2", "n"]).select("_row", "_id", "n", "rep", *also)
+        .unionByName(rows.where("n = 0").select("_row", "_id", "n", F.col("_row").alias("rep"), *also))
     )
     nodes = with_words.join(same.select(F.col("rep").alias("_row")), "_row", "left_semi").select("_row", "bands")
-    pairs = materialise(candidates(nodes))
+    pairs, large = candidates(nodes)
+    pairs = materialise(pairs)
     ends = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row")))
     sets = materialise(only_of(table.select("_row", "set"), "_row", ends))
 
@@ -215,11 +285,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     )
     more = materialise(verified(rest, sets, similar))
     if not more.isEmpty():
-        found = components(links.unionByName(more))
+        links = links.unionByName(more)
+        found = components(links)
+    open_ = materialise(unsettled(large, found))
+    if not open_.where("rest").isEmpty():
+        last = materialise(verified(searched(open_, sets, similar), sets, similar))
+        if not last.isEmpty():
+            found = components(links.unionByName(last))
     placed = materialise(
-        members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("_row", "_id", "n", F.coalesce("label", "rep").alias("label"))
+        members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("_row", "_id", "n", F.coalesce("label", "rep").alias("label"), *also)
     )
-    by_class = placed.groupBy("label").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min_by("_row", F.coalesce(F.col("_id"), F.lit((1 << 63) - 1))).alias("stays"))
+    by_class = materialise(placed.groupBy("label").agg(
+        F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.coalesce(F.min_by("_row", "_id"), F.min("_row")).alias("stays")
+    ))
     return placed.join(by_class, "label").select(
-        F.col("_id").alias(id_col), "class_id", "class_size", (F.col("_row") == F.col("stays")).alias("kept"), F.col("n").alias("n_shingles")
+        F.col("_id").alias(id_col), "class_id", "class_size", (F.col("_row") == F.col("stays")).alias("kept"), F.col("n").alias("n_shingles"), *also
     )
