@@ -19,12 +19,15 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from voxelmill.llm.storage import materialise
 from voxelmill.llm.text import U, by_size, flat, lowered, mix, prefix_hash, span_hash, word_spans
 
 WINDOW, SHARE, STRETCH, DRIFT = 5, 0.8, 25, 4
@@ -114,7 +117,7 @@ def windows(words: np.ndarray, doc: np.ndarray, size: int = WINDOW) -> tuple[np.
 class Block:
     """Questions with equal templates share a number; ``ids`` has their item ids."""
 
-    ids: list[list[int]]
+    ids: list[list]
     values: list[np.ndarray]
     words: list[np.ndarray]
     slots: list[np.ndarray]
@@ -124,7 +127,7 @@ class Block:
     short: dict[int, list[tuple[int, np.ndarray]]]
 
 
-def block(items: list[tuple[int, str | None]], names: bool) -> Block:
+def block(items: list[tuple], names: bool) -> Block:
     t = canonical(pa.array([text or "" for _, text in items], pa.large_string()))
     words, slots = t.words(names), t.slots(names)
     number: dict[bytes, int] = {}
@@ -229,8 +232,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     questions = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
     total = questions.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(-(-total // BLOCK_BYTES)) or 1
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = None
+    kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType
+    lists = pa.list_(to_arrow_type(item_kind))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    if blocks > 1:
+        rows = materialise(rows)  # rows must have the same number in every pass
+    found = []
     for no in range(blocks):
         items = [(r[0], r[1]) for r in questions.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == no).collect()]
         tables = docs.sparkSession.sparkContext.broadcast([(names, block(items, names)) for names in (False, True)])
@@ -239,19 +246,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for whole in batches:
                 for batch in by_size(whole, "text"):
                     t = canonical(batch.column("text"))
-                    ids: list[dict[int, float]] = [{} for _ in range(len(batch))]
+                    ids: list[dict] = [{} for _ in range(len(batch))]
                     for names, b in tables.value:
                         for own, got in zip(ids, matches(b, t, names, len(batch), share), strict=True):
                             for k, s in got.items():
                                 for item in b.ids[k]:
                                     own[item] = max(s, own.get(item, 0.0))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id"), batch.column("row"), pa.array([sorted(x) for x in ids], pa.list_(pa.int64())), pa.array([max(x.values(), default=0.0) for x in ids], pa.float64())],
+                        [batch.column("id"), batch.column("row"), pa.array([sorted(x) for x in ids], lists), pa.array([max(x.values(), default=0.0) for x in ids], pa.float64())],
                         ["id", "row", "items", "share"],
                     )
 
-        part = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")).mapInArrow(scan, f"id {kind}, row long, items array<long>, share double")
-        out = part if out is None else out.unionByName(part)
+        part = rows.mapInArrow(scan, f"id {kind}, row long, items array<{item_kind.simpleString()}>, share double")
+        if blocks > 1:  # one block at a time is in memory
+            part = materialise(part.where(F.size("items") > 0))
+            tables.destroy()
+        found.append(part)
+    out = found[0]
     if blocks > 1:
-        out = out.groupBy("row", "id").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.max("share").alias("share"))
+        hits = reduce(DataFrame.unionByName, found).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.max("share").alias("share"))
+        none = F.array().cast(f"array<{item_kind.simpleString()}>")
+        out = rows.select("id", "row").join(hits, "row", "left").select("id", F.coalesce("items", none).alias("items"), F.coalesce("share", F.lit(0.0)).alias("share"))
     return out.select(F.col("id").alias(id_col), (F.size("items") > 0).alias("contaminated"), "items", "share")
