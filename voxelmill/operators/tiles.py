@@ -78,7 +78,7 @@ def placed(tiles: DataFrame, axis: str, size: str, overlap: int = 0, compat: boo
 
     Adds start (in the volume), lo and hi (kept rows of the tile). An overlap is shared: the later tile
     loses its first half, rounded down, the earlier one the rest. ``compat`` loses one row more at an
-    odd overlap and leaves it empty, as the studied conversion does.
+    odd overlap and leaves it empty, for volumes that must be like ones assembled that way.
 
     The window runs over distinct indices of one axis, a few numbers however large the volume is."""
     sizes = tiles.groupBy(axis).agg(F.first(size).alias("_size"))
