@@ -24,3 +24,19 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("node", "label")
         if step.where("label <> old").isEmpty():
             return labels
+
+
+def labelled(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) with label_a and label_b; a node without a component is its own."""
+    for end in ("a", "b"):
+        own = found.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        pairs = pairs.join(own, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    return pairs.select("a", "b", "label_a", "label_b")
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: these are drawn between components, which are far fewer than nodes."""
+    between = labelled(links, found).where("label_a <> label_b").select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")).distinct()
+    top = components(between)
+    new = found.join(top.select(F.col("node").alias("label"), F.col("label").alias("up")), "label", "left").select("node", F.coalesce("up", "label").alias("label"))
+    return materialise(new.unionByName(top.join(found, "node", "left_anti")))

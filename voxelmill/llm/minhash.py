@@ -9,7 +9,7 @@ coordinate with the probability of their weighted Jaccard similarity. Here weigh
 Signatures are cut into bands. Texts with the same shingles are one node from the start. Within a bucket
 of few nodes all pairs are candidates; in a large one every node is paired with a leader drawn anew for
 each band, and the bucket is split again by the next band, where the same holds. Candidates are verified
-by the exact similarity of their shingle sets, first each node's likeliest partner, then what still joins
+by the exact similarity of their shingle sets, first two partners of each node, then what still joins
 different components. Nodes of a large bucket that don't belong to its main component after that are
 searched for exactly among all nodes of such buckets: two sets that are similar enough share one of their
 rarest shingles, so these are joined (prefix filtering). So no pair that meets in a bucket is lost, and no
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelmill.llm.bitmap import only_of
-from voxelmill.llm.components import components
+from voxelmill.llm.components import components, labelled, merged
 from voxelmill.llm.storage import materialise
 from voxelmill.llm.text import U, by_size, flat, lowered, mix, prefix_hash, shingles, signed, span_hash, word_spans
 
@@ -274,24 +274,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     sets = materialise(only_of(table.select("_row", "set"), "_row", ends))
 
     way = lambda x, y: pairs.select(F.col(x).alias("node"), F.col(y).alias("other"), "times")
-    first = way("a", "b").unionByName(way("b", "a")).groupBy("node").agg(F.max_by("other", F.struct("times", "other")).alias("other"))
-    first = first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    links = materialise(verified(first, sets, similar))
-    found = components(links)
-    label = lambda end: found.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-    rest = (
-        pairs.select("a", "b").join(first, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
-        .where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-    )
+    ways = way("a", "b").unionByName(way("b", "a"))
+    # first each node's likeliest partner, and the one with the most partners, which holds a large group together
+    degree = materialise(ways.groupBy("node").agg(F.count(F.lit(1)).alias("degree")))
+    best = ways.join(degree.withColumnRenamed("node", "other"), "other").groupBy("node").agg(
+        F.max_by("other", F.struct("times", "other")).alias("near"), F.max_by("other", F.struct("degree", "other")).alias("hub")
+    )
+    first = best.select("node", F.explode(F.array_distinct(F.array("near", "hub"))).alias("other"))
+    first = materialise(first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    found = components(materialise(verified(first, sets, similar)))
+    rest = labelled(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), found).where("label_a <> label_b")
     more = materialise(verified(rest, sets, similar))
     if not more.isEmpty():
-        links = links.unionByName(more)
-        found = components(links)
+        found = merged(found, more)
     open_ = materialise(unsettled(large, found))
     if not open_.where("rest").isEmpty():
         last = materialise(verified(searched(open_, sets, similar), sets, similar))
         if not last.isEmpty():
-            found = components(links.unionByName(last))
+            found = merged(found, last)
     placed = materialise(
         members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("_row", "_id", "n", F.coalesce("label", "rep").alias("label"), *also)
     )
