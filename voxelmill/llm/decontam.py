@@ -99,7 +99,7 @@ def canonical(column: pa.Array) -> Template:
         value = mix(np.bincount(whole, minlength=whole[-1] + 1).astype(U) * U(3) + np.add.reduceat(value, np.flatnonzero(~joined)))
         kind, doc = kind[~joined], doc[~joined]
         single = np.bincount(whole) == 1
-        value[single] = span_hash(prefix_hash(low), start[~joined][single], end[~joined][single])
+        value[single] = span_hash(prefix_hash(low), low_start[~joined][single], low_end[~joined][single])
     return Template(value, kind, doc)
 
 
