@@ -29,3 +29,28 @@ def test_letters_whose_lower_case_has_other_bytes(spark, letter):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     items = spark.createDataFrame([(1, question)], "item_id long, text string")
     assert {r["doc_id"]: r["items"] for r in decontam.contaminated(docs, items).collect()} == {0: [], 1: [1], 2: [1]}
+
+
+LISTS = [
+    "what is the median of 3 7 9 12 15 18",
+    "3 7 3 9 7 7 12",
+    "sort 4 4 2 9 4 1 2 8 into rising order please",
+    "add 3 kg 5 g 3 kg 7 g 3 kg and 2 kg",
+    "given the values 1,000 3.14 7 7 1,000 2 5 8 what is their mean and how far is 8 from it",
+]
+
+
+@pytest.mark.parametrize("k", range(len(LISTS)))
+def test_exact_copies_of_number_lists(k):
+    more = [data.prose(5, 30) + ". " + LISTS[k] + ". " + data.prose(6, 30), "8 1 5 " + LISTS[k] + " 5 6 9"]
+    for got in _found([LISTS[k], *more], LISTS):
+        assert got[k] == 1.0
+
+
+def test_other_number_lists_are_other_questions():
+    # a number of the question is two numbers here, whichever way the lists are laid upon one another
+    assert _found(["please sort 4 5 2 9 6 1 3 8 into rising order please"], [LISTS[2]]) == [{}]
+    assert _found(["add 3 kg 5 g 4 kg 7 g 6 kg and 2 kg"], [LISTS[3]]) == [{}]
+    # drifted words that break the mapping still count against it
+    question = "x has 12 apples in the old red basket and later on that day they give 12 to the boys and girls of the town"
+    assert _found([question.replace("red", "red big").replace("12 to", "8 to").replace("has 12", "has 7")], [question]) == [{}]

@@ -16,7 +16,7 @@ broadcast. Null and empty texts match nothing; repeated questions are found toge
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -168,23 +168,18 @@ def judge(b: Block, k: int, hits: list[tuple[int, int]], words: np.ndarray, valu
     """The share of question k found at one place of a text, 1.0 for a long stretch; hits: (place in the
     text, place in the question) of equal windows."""
     n = len(b.words[k]) - WINDOW + 1
-    lines = Counter(d - q for d, q in hits)
+    by_line: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for d, q in hits:
+        by_line[d - q].append((d, q))
     best = 0.0
-    tried: set[int] = set()
-    for line, _ in lines.most_common():
-        if any(abs(line - x) <= DRIFT for x in tried):
+    for line in sorted(by_line, key=lambda x: -len(by_line[x])):
+        if best >= 1.0:
+            break
+        near = [x for x in range(line - DRIFT, line + DRIFT + 1) if x in by_line]
+        if best and len({q for x in near for _, q in by_line[x]}) / n <= best and len(by_line[line]) + WINDOW - 1 < STRETCH:
             continue
-        if sum(c for x, c in lines.items() if abs(x - line) <= DRIFT) / n <= best and best:
-            continue
-        tried.add(line)
-        own = [(d, q) for d, q in hits if abs(d - q - line) <= DRIFT]
-        sides = {(d + j, q + j) for d, q in own for j in range(WINDOW) if b.slots[k][q + j]}
-        if sides:
-            d_at, q_at = (np.array(x) for x in zip(*sorted(sides), strict=True))
-            if not consistent(b.values[k][q_at], values[d_at]):
-                own = [(d, q) for d, q in own if not b.slots[k][q : q + WINDOW].any()]
-        seen = sorted({q for _, q in own})
-        share = len(seen) / n
+        own = agreeing(b, k, line, sorted(near, key=lambda x: (x != line, -len(by_line[x]), abs(x - line))), by_line, values)
+        share = len({q for _, q in own}) / n
         straight = sorted(q for d, q in own if d - q == line)
         run = longest = 0
         for i, q in enumerate(straight):
@@ -196,6 +191,45 @@ def judge(b: Block, k: int, hits: list[tuple[int, int]], words: np.ndarray, valu
     return best
 
 
+def agreeing(b: Block, k: int, line: int, near: list[int], by_line: dict[int, list[tuple[int, int]]], values: np.ndarray) -> list[tuple[int, int]]:
+    """The hits on and near a line whose values map one to one; without such a mapping, those without slots.
+
+    A template that repeats with a short period equals itself on several lines. So the line itself decides
+    first; of the others, hits that take a word of either side for another one than before are left out
+    unless their values are mapped so already."""
+    slot, ours = b.slots[k], b.values[k]
+    own = [hit for x in near for hit in by_line[x]]
+    plain = lambda: [(d, q) for d, q in own if not slot[q : q + WINDOW].any()]
+
+    def mapped(some: list[tuple[int, int]]) -> bool:
+        sides = {(d + j, q + j) for d, q in some for j in range(WINDOW) if slot[q + j]}
+        if not sides:
+            return True
+        d_at, q_at = (np.array(x) for x in zip(*sides, strict=True))
+        return consistent(ours[q_at], values[d_at])
+
+    if mapped(own):
+        return own
+    if not mapped(by_line[line]):
+        return plain()
+    there, back, to, fro, out = {}, {}, {}, {}, []
+    for x in near:
+        for d, q in by_line[x]:
+            places = [(q + j, d + j) for j in range(WINDOW) if slot[q + j]]
+            pairs = [(int(ours[i]), int(values[j])) for i, j in places]
+            if any(to.get(v, w) != w or fro.get(w, v) != v for v, w in pairs) or len({*pairs}) > min(len({v for v, _ in pairs}), len({w for _, w in pairs})):
+                if not any(there.get(i, j) != j or back.get(j, i) != i for i, j in places):
+                    return plain()  # no other line explains these words
+                continue
+            if any(there.get(i, j) != j or back.get(j, i) != i for i, j in places) and any(v not in to for v, _ in pairs):
+                continue
+            out.append((d, q))
+            for (i, j), (v, w) in zip(places, pairs, strict=True):
+                there.setdefault(i, j), back.setdefault(j, i)
+                to[v], fro[w] = w, v
+    return out
+
+
 def matches(b: Block, t: Template, names: bool, texts: int, share: float) -> list[dict[int, float]]:
     """Per text: the found questions' numbers and shares."""
     out: list[dict[int, float]] = [{} for _ in range(texts)]
