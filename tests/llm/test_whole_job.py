@@ -54,3 +54,13 @@ def test_other_number_lists_are_other_questions():
     # drifted words that break the mapping still count against it
     question = "x has 12 apples in the old red basket and later on that day they give 12 to the boys and girls of the town"
     assert _found([question.replace("red", "red big").replace("12 to", "8 to").replace("has 12", "has 7")], [question]) == [{}]
+
+
+def test_short_questions_of_one_template(spark):
+    items = ["What is 2+2", "What is 3+5", "What is 4+9", "Why so blue", "7", "Is 5 5 5"]
+    texts = ["So what is 2+2 then", "what is 3+5", "what is 6+1", "what is it", "oh why so blue", "is 5 5 4", "is 5 5 5"]
+    want = [{0, 4}, {1, 2, 4}, {1, 2, 4}, set(), {3}, {4}, {4, 5}]
+    assert [{*x} for x in _found(texts, items)] == want
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontam.contaminated(data.frame(spark, texts), table).collect()
+    assert {r["doc_id"]: {*r["items"]} for r in got} == dict(enumerate(want))

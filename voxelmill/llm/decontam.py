@@ -115,7 +115,8 @@ def windows(words: np.ndarray, doc: np.ndarray, size: int = WINDOW) -> tuple[np.
 
 @dataclass
 class Block:
-    """Questions with equal templates share a number; ``ids`` has their item ids."""
+    """Questions with equal templates and values share a number; ``ids`` has their item ids. ``short`` has
+    those without a whole window: by length, hash of the template and ``pattern`` of the values."""
 
     ids: list[list]
     values: list[np.ndarray]
@@ -124,14 +125,14 @@ class Block:
     hashes: np.ndarray
     where: list[list[tuple[int, int]]]
     quick: np.ndarray
-    short: dict[int, list[tuple[int, np.ndarray]]]
+    short: dict[int, dict[int, dict[bytes, list[int]]]]
 
 
 def block(items: list[tuple], names: bool) -> Block:
     t = canonical(pa.array([text or "" for _, text in items], pa.large_string()))
     words, slots = t.words(names), t.slots(names)
     number: dict[bytes, int] = {}
-    out = Block([], [], [], [], np.zeros(0, U), [], np.zeros(1 << 20, bool), defaultdict(list))
+    out = Block([], [], [], [], np.zeros(0, U), [], np.zeros(1 << 20, bool), {})
     found: dict[int, list[tuple[int, int]]] = defaultdict(list)
     cuts = np.searchsorted(t.doc, np.arange(len(items) + 1))
     for (item, _), a, b in zip(items, cuts[:-1], cuts[1:], strict=True):
@@ -149,7 +150,8 @@ def block(items: list[tuple], names: bool) -> Block:
             h = np.zeros(1, U)
             for w in words[a:b]:
                 h = mix(h * U(31) + w)
-            out.short[int(b - a)].append((k, h))
+            same = out.short.setdefault(int(b - a), {}).setdefault(int(h[0]), {})
+            same.setdefault(pattern(t.value[a:b][slots[a:b]]), []).append(k)
         for h, at in zip(*(x.tolist() for x in windows(words[a:b], np.zeros(b - a, np.int64))), strict=True):
             found[h].append((k, at))
     out.hashes = np.array(sorted(found), U)
@@ -164,6 +166,12 @@ def consistent(ours: np.ndarray, theirs: np.ndarray) -> bool:
     return pairs == len(np.unique(ours)) == len(np.unique(theirs))
 
 
+def pattern(values: np.ndarray) -> bytes:
+    """Which values are equal; the same for two lists if, and only if, they map one to one in their order."""
+    _, first, same = np.unique(values, return_index=True, return_inverse=True)
+    return first[same].tobytes()
+
+
 def judge(b: Block, k: int, hits: list[tuple[int, int]], words: np.ndarray, values: np.ndarray, slots: np.ndarray) -> float:
     """The share of question k found at one place of a text, 1.0 for a long stretch; hits: (place in the
     text, place in the question) of equal windows."""
@@ -251,13 +259,11 @@ def matches(b: Block, t: Template, names: bool, texts: int, share: float) -> lis
                 out[d][k] = s
     for size, questions in b.short.items():
         h, at = windows(words, t.doc, size)
-        table = {int(x[0]): k for k, x in questions}
-        wanted = np.sort(np.array(list(table), U))
+        wanted = np.sort(np.array(list(questions), U))
         for j in np.flatnonzero(_among(h, wanted)).tolist() if len(h) else []:
-            k, place = table[int(h[j])], int(at[j])
-            on = np.flatnonzero(b.slots[k])
-            if consistent(b.values[k][on], t.value[place + on]):
-                out[int(t.doc[place])][k] = 1.0
+            place = slice(int(at[j]), int(at[j]) + size)
+            for k in questions[int(h[j])].get(pattern(t.value[place][slots[place]]), ()):
+                out[int(t.doc[place.start])][k] = 1.0
     return out
 
 
