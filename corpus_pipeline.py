@@ -52,10 +52,16 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the document of least id stays."""
+    """Of each class of near duplicates, the document of least id stays; of rows equal in id and text, one."""
     rows, key = keyed(docs)
-    judged = minhash.classes(rows, also=[key])
-    return without(rows, key, judged.where(~F.col("kept")))
+    judged = minhash.classes(rows, also=[key]).groupBy(key).agg(F.max("kept").alias("stays"), F.min("kept").alias("all_stay"))
+    judged = materialise(judged.where(~F.col("all_stay")))
+    kept = rows.join(judged.where(~F.col("stays")).select(key), key, "left_anti")
+    repeated = judged.where("stays").select(key)
+    if not repeated.isEmpty():
+        one = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+        kept = kept.join(repeated, key, "left_anti").unionByName(one)
+    return kept.drop(key)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tests.llm import data
 from voxelmill.llm import decontam
 
@@ -64,3 +65,18 @@ def test_short_questions_of_one_template(spark):
     table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = decontam.contaminated(data.frame(spark, texts), table).collect()
     assert {r["doc_id"]: {*r["items"]} for r in got} == dict(enumerate(want))
+
+
+# ---------------------------------------------------------------- the pipeline
+
+
+def test_near_stage_of_repeated_rows(spark):
+    near = data.prose(41, 120)
+    rows = [
+        (1, data.prose(40, 60), "a"), (1, data.prose(40, 60), "b"), (2, near, "a"), (2, near, "a"), (3, near + " tail", "a"), (3, near + " tail", "a"),
+        (None, data.prose(43, 60), "a"), (None, data.prose(43, 60), "a"), (5, "", "a"), (5, None, "a"), (6, data.prose(42, 60), "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stays string").repartition(3)
+    got = corpus_pipeline.near_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got.collect()) == sorted((k or 0, t or "") for k, t, _ in (rows[0], rows[2], rows[6], *rows[8:]))
