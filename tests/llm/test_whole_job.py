@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm import data
-from voxelmill.llm import decontam
+from voxelmill.llm import decontam, toxicity
 
 
 # ---------------------------------------------------------------- decontamination
@@ -80,3 +80,38 @@ def test_near_stage_of_repeated_rows(spark):
     got = corpus_pipeline.near_stage(spark, docs, "")
     assert got.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got.collect()) == sorted((k or 0, t or "") for k, t, _ in (rows[0], rows[2], rows[6], *rows[8:]))
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+@pytest.fixture(scope="module")
+def language(spark):
+    texts = [data.prose(k, 60) + " you are an idiot and a stupid moron, loser; is this trash really pathetic? what an ass" for k in range(200)]
+    return toxicity.language_model(toxicity.trigram_counts(data.frame(spark, texts)))
+
+
+LONG = "so you are an idiot and a stupid moron and this is really trash " * 3
+
+
+@pytest.mark.parametrize(
+    "text,word",
+    [
+        ("id" + "i" * 60 + "ot", "idiot"), ("a-plain-and-very-long-chain/of,words-that-hides-1d10t-in-it-all", "idiot"), ("this/is/a/very/long/path/of/words,stup1d,and/more", "stupid"),
+        ("one a$$ more", "ass"), ("one a.s.s more", "ass"), ("such a lo$€r", "loser"), (" ".join(LONG.replace(" ", "")), "moron"), (".".join(LONG.replace(" ", "")), "moron"),
+        ("x" * 100 + "st0p" + "y" * 3 + "1d10t" * 30, None), ("i d i o t", "idiot"), ("y o u i d i o t", "idiot"),
+    ],
+)
+def test_long_and_short_disguises_are_restored(language, text, word):
+    column = pa.array([text, "Then another text"])
+    got = list(toxicity.features(column, language))
+    assert len(got) == 2
+    if word:
+        hashes, owner = next(toxicity.features(pa.array([word]), language))
+        assert {*hashes[:1].tolist()} <= {*got[1][0][got[1][1] == 0].tolist()}
+    assert set(got[1][1].tolist()) == {0}
+
+
+def test_reading_grows_with_the_text_only(language):
+    text = "1d10t" * 20_000
+    assert len(toxicity.restore(text, language)) >= 60_000

@@ -13,6 +13,7 @@ score is 0; with labels of one class only, the smoothed share of that class deci
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,6 +37,7 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 APART = " ._*-"
 #: Signs at a token's end that are punctuation rather than letters, and what it costs to drop another sign.
 ENDING, DROPPED = "!|+.,;:?#%&*\"')]}", 5.0
+#: Longer tokens are several words, or codes.
 LONGEST = 40
 
 _CODE = np.full(256, 27, np.int64)
@@ -45,8 +47,14 @@ _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LEET if ord(c) < 128]] = True
+_ENDING = np.zeros(256, bool)
+_ENDING[[ord(c) for c in ENDING]] = True
 _APART = np.zeros(256, bool)
 _APART[[ord(c) for c in APART]] = True
+#: What a long token is cut into; hex numbers, which have digits that stand for no letter; letters set apart.
+_PIECE = re.compile(rb"[a-z0-9@$!|+\x80-\xff]+")
+_HEX = re.compile(rb"(?=.*[269])[0-9a-f]+")
+_SET_APART = re.compile(f"(?:[^{APART}][{APART}])+[^{APART}]")
 
 
 # ---------------------------------------------------------------- the character model
@@ -118,10 +126,20 @@ def _number(c: str) -> int:
 
 
 def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest reading of a token, by Viterbi over its lattice; states are the last two letters."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(27, 27): (0.0, "")}
-    for options in readings(token):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+    """The likeliest reading of a token."""
+    return likeliest(readings(token), model)
+
+
+def parted(text: str, model: np.ndarray) -> str:
+    """A text without spaces, with the likeliest ones; letters set apart do not show where words end."""
+    return likeliest([x for c in text for x in (((c, 0.0),), (("", 0.0), (" ", 0.0)))][:-1], model)
+
+
+def likeliest(lattice: list[tuple[tuple[str, float], ...]], model: np.ndarray) -> str:
+    """Viterbi over a lattice; states are the last two letters, and texts are chains of pieces."""
+    best: dict[tuple[int, int], tuple[float, tuple]] = {(27, 27): (0.0, ())}
+    for options in lattice:
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (score, text) in best.items():
             for piece, cost in options:
                 x, y, s = a, b, score - cost
@@ -130,40 +148,60 @@ def restore(token: str, model: np.ndarray) -> str:
                     s += model[x, y, z]
                     x, y = y, z
                 if (x, y) not in new or new[x, y][0] < s:
-                    new[x, y] = (s, text + piece)
+                    new[x, y] = (s, (text, piece) if piece else text)
         best = new
-    return max(((s + model[a, b, 27], t) for (a, b), (s, t) in best.items()), default=(0.0, ""))[1]
+    return max(((s + model[a, b, 27], _text(t)) for (a, b), (s, t) in best.items()), default=(0.0, ""))[1]
+
+
+def _text(chain: tuple) -> str:
+    out = []
+    while chain:
+        chain, piece = chain
+        out.append(piece)
+    return "".join(reversed(out))
 
 
 def suspects(buf: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
     """(text, start, end) of tokens that may be disguised, in lower-cased bytes.
 
-    A sign or digit next to a letter, a letter three times, or four single characters set apart by one
-    sign each. Tokens longer than ``LONGEST`` are codes rather than words."""
+    A sign or digit next to a letter (punctuation after one does not count), a letter three times, or single
+    characters set apart by one sign each: four, or three if the sign is not always a space. Of tokens
+    longer than ``LONGEST`` the pieces between other signs are judged; hex numbers of that length, told by
+    digits that stand for no letter, are codes rather than words."""
     n = len(buf)
-    if n < 4:
+    if n < 3:
         return []
     letter, sign = _LETTER[buf], _SIGN[buf]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    joint = ~edge[1:-1]
     mark = np.zeros(n, bool)
-    mark[:-1] |= sign[:-1] & letter[1:]
-    mark[1:] |= (sign & (buf >= 48) & (buf < 58))[1:] & letter[:-1]
-    mark[:-2] |= letter[:-2] & (buf[:-2] == buf[1:-1]) & (buf[1:-1] == buf[2:])
+    mark[:-1] |= sign[:-1] & letter[1:] & joint
+    mark[1:] |= (sign & ~_ENDING[buf])[1:] & letter[:-1] & joint
+    mark[:-2] |= letter[:-2] & (buf[:-2] == buf[1:-1]) & (buf[1:-1] == buf[2:]) & joint[:-1] & joint[1:]
+    euro = np.flatnonzero((buf[:-2] == 0xE2) & (buf[1:-1] == 0x82) & (buf[2:] == 0xAC))
+    if len(euro):
+        near = lambda at, side: letter[np.clip(at, 0, n - 1)] & ~edge[side]
+        mark[euro[near(euro - 1, euro) | near(euro + 3, euro + 3)]] = True
     start, end, doc = word_spans(buf, offsets, np.arange(256) > 32)
     out = []
     for k in np.unique(np.searchsorted(start, np.flatnonzero(mark), "right") - 1).tolist():
-        if end[k] - start[k] <= LONGEST:
-            out.append((int(doc[k]), int(start[k]), int(end[k])))
+        d, a, b = int(doc[k]), int(start[k]), int(end[k])
+        if b - a <= LONGEST:
+            out.append((d, a, b))
+            continue
+        for piece in _PIECE.finditer(buf[a:b].tobytes()):
+            x, y = a + piece.start(), a + piece.end()
+            if mark[x:y].any() and not (y - x > LONGEST and _HEX.fullmatch(piece[0])):
+                out.append((d, x, y))
     solid = letter | sign | (buf >= 128)
-    alone = solid & ~np.append(False, solid[:-1]) & ~np.append(solid[1:], False)
+    alone = solid & ~(np.append(False, solid[:-1]) & ~edge[:-1]) & ~(np.append(solid[1:], False) & ~edge[1:])
     gap = _APART[buf]
-    if n > 6:
-        run = alone[:-6] & gap[1:-5] & alone[2:-4] & gap[3:-3] & alone[4:-2] & gap[5:-1] & alone[6:]
-        at = np.flatnonzero(run)
-        for group in np.split(at, np.flatnonzero(np.diff(at) != 2) + 1) if len(at) else []:
-            a, b = int(group[0]), int(group[-1]) + 7
-            d = int(np.searchsorted(offsets, a, "right") - 1)
-            if b <= offsets[d + 1] and b - a <= 4 * LONGEST:
-                out.append((d, a, b))
+    at = np.flatnonzero(alone[:-2] & gap[1:-1] & alone[2:] & joint[:-1] & joint[1:])
+    for group in np.split(at, np.flatnonzero(np.diff(at) != 2) + 1) if len(at) else []:
+        a, b = int(group[0]), int(group[-1]) + 3
+        if len(group) > 2 or len(group) == 2 and letter[a:b].any() and (buf[group + 1] != 32).any():
+            out.append((int(np.searchsorted(offsets, a, "right") - 1), a, b))
     return out
 
 
@@ -191,6 +229,9 @@ def features(column: pa.Array, model: np.ndarray) -> Iterator[tuple[np.ndarray,
         token = buf[a:b].tobytes().decode("utf-8", "ignore")
         if token not in known:
             known[token] = restore(token, model)
+            if _SET_APART.fullmatch(token):
+                words_of = parted(known[token], model)
+                known[token] += f" {words_of}" if " " in words_of else ""
         if known[token] != token:
             words.append((d, known[token]))
     if words:
