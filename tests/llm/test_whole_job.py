@@ -2,10 +2,11 @@
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import data
-from voxelmill.llm import decontam, toxicity
+from voxelmill.llm import decontam, packing, toxicity
 
 
 # ---------------------------------------------------------------- decontamination
@@ -115,3 +116,16 @@ def test_long_and_short_disguises_are_restored(language, text, word):
 def test_reading_grows_with_the_text_only(language):
     text = "1d10t" * 20_000
     assert len(toxicity.restore(text, language)) >= 60_000
+
+
+# ---------------------------------------------------------------- length buckets
+
+
+def test_buckets_of_very_long_texts_are_exact(spark, monkeypatch):
+    lengths = [40_001] * 5 + [40_007] * 3 + [100_003, 0]
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n long")
+    got = packing.pack(docs, length=F.col("n"), buckets=4).collect()
+    assert sorted((r["n_tokens"], r["padded_len"]) for r in got) == sorted((n, max(n, 1)) for n in lengths)
+    monkeypatch.setattr(packing, "MOST", 3)
+    got = packing.pack(docs, length=F.col("n"), buckets=4).collect()
+    assert len(got) == len(lengths) and all(1 <= r["padded_len"] and r["n_tokens"] <= r["padded_len"] <= max(1, r["n_tokens"]) * 1.001 for r in got)
