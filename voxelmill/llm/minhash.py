@@ -4,20 +4,24 @@ Each element of a weighted set owns a Poisson process of darts on (weight, rank)
 element alone. A set keeps the darts below its elements' weights and below a rank that falls with its
 total weight, so about k ln k darts are thrown for any size of set; each dart names one of k coordinates,
 and the dart of least rank in a coordinate is the signature's value there. Two sets agree in a
-coordinate with the probability of their weighted Jaccard similarity. Here weights are 1.
+coordinate with the probability of their weighted Jaccard similarity. An element is a shingle, its weight
+how often the text has it; where no shingle repeats, this is the similarity of shingle sets.
 
 Signatures are cut into bands. Texts with the same shingles are one node from the start. Within a bucket
-of few nodes all pairs are candidates; in a large one every node is paired with a leader drawn anew for
-each band, and the bucket is split again by the next band, where the same holds. Candidates are verified
-by the exact similarity of their shingle sets, first two partners of each node, then what still joins
+of few nodes all pairs are candidates; in a large one every node is paired with a leader, drawn in one of
+a few orders of all nodes, so that buckets with the same nodes have the same few leaders, and the bucket is
+split again by the next band, where the same holds. Candidates are verified
+by the weighted similarity itself, first two partners of each node, then what still joins
 different components. Nodes of a large bucket that don't belong to its main component after that are
 searched for exactly among all nodes of such buckets: two sets that are similar enough share one of their
 rarest shingles, so these are joined (prefix filtering). So no pair that meets in a bucket is lost, and no
 bucket's pairs are all formed. Classes are the connected components of the links.
 
 Words are runs of letters and digits, lower-cased. A text of fewer than five words is one shingle; a
-null text or one without words belongs to no class but its own. Rows with the same id are rows of their
-own. An empty table gives no rows.
+null text or one without words belongs to no class but its own. A very long text is signed and compared
+whole, in a part of its own. Rows with the same id are rows of their own; of rows equal in all, one is
+kept. Of ids that tie for the least, the row read first is kept. Null ids are kept only in classes without
+another. An empty table gives no rows. Only the id, the text and the columns ``also`` are read.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from voxelmill.llm.text import U, by_size, flat, lowered, mix, prefix_hash, shin
 
 WORDS, SIMILAR = 5, 0.8
 COORDINATES, BAND = 128, 4
-SMALL = 16
+SMALL, ORDERS = 16, 4
 KEPT_BYTES = 5
 _UNIT = 1.0 / (1 << 53)
 
@@ -99,15 +103,25 @@ def signatures(element: np.ndarray, owner: np.ndarray, weight: np.ndarray, sets:
     return out
 
 
-def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of all texts, sorted within each, and the text's number."""
+def weighted_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of all texts, sorted within each, the text's number, and how often it has them."""
     buf, offsets = flat(lowered(column))
     start, end, doc = word_spans(buf, offsets)
     h, owner = shingles(span_hash(prefix_hash(buf), start, end), doc, words)
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
-    once = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])) if len(h) else np.zeros(0, bool)
-    return h[once], owner[once]
+    once = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))) if len(h) else np.zeros(0, np.int64)
+    return h[once], owner[once], np.diff(np.append(once, len(h)))
+
+
+def units(h: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Each element as often as it weighs, under another name each time: plain sets of these have the
+    similarity that weighted sets have."""
+    nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    h = np.repeat(h, weight)
+    more = np.flatnonzero(nth)
+    h[more] = mix(h[more] + nth[more].astype(U) * U(0xD1B54A32D192ED03))
+    return h
 
 
 def packed(h: np.ndarray) -> np.ndarray:
@@ -124,15 +138,16 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def signed_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, k: int = COORDINATES, band: int = BAND, also: Sequence[str] = ()) -> DataFrame:
-    """_row, _id, k1, k2, n (of shingles), bands, set, and the columns ``also``."""
+    """_row, _id, k1, k2, n (of shingles, repeated ones too), bands, set (of ``units``), and the columns ``also``."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in by_size(whole, text_col):
                 rows = len(batch)
-                h, owner = shingle_sets(batch.column(text_col), words)
-                sig = signatures(h, owner, np.ones(len(h)), rows, k)
+                h, owner, weight = weighted_sets(batch.column(text_col), words)
+                sig = signatures(h, owner, weight.astype(float), rows, k)
+                h, owner = units(h, weight), np.repeat(owner, weight)
                 bands = np.zeros((rows, k // band), U)
                 for j in range(band):
                     bands = mix(bands * U(31) + sig[:, j::band])
@@ -153,31 +168,32 @@ def signed_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
     return docs.select(id_col, text_col, *also).mapInArrow(sign, f"_id {kind}, k1 long, k2 long, n long, bands array<long>, set binary{more}").withColumn("_row", F.monotonically_increasing_id())
 
 
-def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """a, b, times (how many bands name the pair) from nodes (_row, bands); and _row, h1 of large buckets."""
+def candidates(nodes: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """a, b, times (how many bands name the pair), size (of the largest bucket whose leader is one of them, or
+    0) from nodes (_row, bands), ``count`` at most; and _row, h1 of large buckets."""
     rows = nodes.select("_row", F.posexplode("bands").alias("_no", "h1"), "bands").select(
         "_row", "h1", F.xxhash64("h1", F.element_at("bands", F.pmod(F.col("_no") + 1, F.size("bands")) + 1)).alias("h2")
     )
-    drawn = lambda key: F.min_by("_row", F.xxhash64("_row", key)).alias("leader")
+    drawn = lambda key: F.min_by("_row", F.xxhash64("_row", F.pmod(key, F.lit(ORDERS)))).alias("leader")
     size = F.count(F.lit(1)).alias("size")
-    shared = rows.groupBy("h1").agg(size, drawn("h1")).where("size > 1")
-    met = materialise(rows.join(shared, "h1"))
+    shared = rows.groupBy("h1").agg(size, drawn(F.col("h1"))).where("size > 1")
+    met = materialise(rows.join(shared, "h1"), count * COORDINATES // BAND)
     large = met.where(F.col("size") > SMALL)
     again = large.select("_row", "h2").distinct()
-    split = again.groupBy("h2").agg(size, drawn("h2")).where("size > 1")
+    split = again.groupBy("h2").agg(size, drawn(F.col("h2"))).where("size > 1")
     met_again = again.join(split, "h2").select("_row", F.col("h2").alias("h1"), "size", "leader")
     both = met.select("_row", "h1", "size", "leader").unionByName(met_again)
     few = both.where(F.col("size") <= SMALL).groupBy("h1").agg(F.array_sort(F.collect_list("_row")).alias("own"))
-    pairs = few.select(F.posexplode("own").alias("i", "a"), "own").select("a", F.explode(F.slice("own", F.col("i") + 2, SMALL)).alias("b"))
-    star = both.where(F.col("size") > SMALL).select(F.least("_row", "leader").alias("a"), F.greatest("_row", "leader").alias("b"))
-    return pairs.unionByName(star).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")), large.select("_row", "h1")
+    pairs = few.select(F.posexplode("own").alias("i", "a"), "own").select("a", F.explode(F.slice("own", F.col("i") + 2, SMALL)).alias("b"), F.lit(0).cast("long").alias("size"))
+    star = both.where(F.col("size") > SMALL).select(F.least("_row", "leader").alias("a"), F.greatest("_row", "leader").alias("b"), "size")
+    return pairs.unionByName(star).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.max("size").alias("size")), large.select("_row", "h1")
 
 
-def unsettled(large: DataFrame, found: DataFrame) -> DataFrame:
+def unsettled(large: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """_row, rest: nodes of large buckets that hold several components; rest: not in a bucket's main one."""
     labelled = large.join(found.withColumnRenamed("node", "_row"), "_row", "left").withColumn("label", F.coalesce("label", "_row"))
     each = labelled.groupBy("h1", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = materialise(each.groupBy("h1").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    main = materialise(each.groupBy("h1").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), rows)
     return labelled.join(main, "h1").groupBy("_row").agg(F.max(F.col("label") != F.col("main")).alias("rest"))
 
 
@@ -198,8 +214,8 @@ def rarest(sets: DataFrame, similar: float) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["k", "n"])
 
     counts = np.zeros(COUNTERS, np.int64)
-    for k, n in sets.select("set").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n")).toLocalIterator():
-        counts[k] = n
+    seen = sets.select("set").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    counts[seen["k"].to_numpy()] = seen["n"].to_numpy()
     shared = sets.sparkSession.sparkContext.broadcast(counts)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,13 +242,15 @@ def rarest(sets: DataFrame, similar: float) -> DataFrame:
 
 def searched(nodes: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """Candidates (a, b) of the nodes marked ``rest`` among all of ``nodes``: they share a shingle early
-    enough that what follows it in both can still make them similar."""
-    rows = materialise(rarest(sets.join(nodes, "_row"), similar))
-    mine = rows.where("rest").select(F.col("_row").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("i"), "shingle")
-    theirs = rows.select(F.col("_row").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("j"), "rest", "shingle")
+    enough that what follows it in both can still make them similar. Sets that are similar differ in size
+    by one step of a geometric scale at most, so each meets only the steps next to its own."""
+    step = F.floor(F.log("n") / -np.log(similar) + 1e-9).cast("int")
+    rows = materialise(rarest(sets.join(nodes, "_row"), similar).withColumn("step", step))
+    mine = rows.where("rest").select(F.col("_row").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("i"), "shingle", F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1)))).alias("step"))
+    theirs = rows.select(F.col("_row").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("j"), "rest", "shingle", "step")
     enough = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) >= F.lit(similar / (1 + similar)) * (F.col("n_a") + F.col("n_b")) - 1e-6
     other = (F.col("a") != F.col("b")) & ((F.col("a") < F.col("b")) | ~F.col("rest"))
-    met = mine.alias("l").join(theirs.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & other & enough)
+    met = mine.alias("l").join(theirs.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.step") == F.col("r.step")) & other & enough)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -258,46 +276,50 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     """One row per row of docs: the id column, class_id (the least id of its class), class_size, kept
     (one row of each class, of the least id), n_shingles, and the columns ``also``."""
     table = materialise(signed_rows(docs, id_col, text_col, words, also=also))
+    total = table.count()
     rows = table.select("_row", "_id", "k1", "k2", "n", "bands", *also)
     with_words = rows.where("n > 0")
     # groups are written before rows join them: Spark can split a hot partition of a join only where both
     # sides come straight from a shuffle
-    same = materialise(with_words.groupBy("k1", "k2", "n").agg(F.min("_row").alias("rep")))
+    same = materialise(with_words.groupBy("k1", "k2", "n").agg(F.min("_row").alias("rep")), total)
     members = materialise(
         with_words.drop("bands").join(same, ["k1", "k2", "n"]).select("_row", "_id", "n", "rep", *also)
-        .unionByName(rows.where("n = 0").select("_row", "_id", "n", F.col("_row").alias("rep"), *also))
+        .unionByName(rows.where("n = 0").select("_row", "_id", "n", F.col("_row").alias("rep"), *also)), total
     )
     nodes = with_words.join(same.select(F.col("rep").alias("_row")), "_row", "left_semi").select("_row", "bands")
-    pairs, large = candidates(nodes)
-    pairs = materialise(pairs)
+    pairs, large = candidates(nodes, total)
+    pairs = materialise(pairs, 2 * total)
     ends = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row")))
     sets = materialise(only_of(table.select("_row", "set"), "_row", ends))
 
-    way = lambda x, y: pairs.select(F.col(x).alias("node"), F.col(y).alias("other"), "times")
-    ways = way("a", "b").unionByName(way("b", "a"))
-    # first each node's likeliest partner, and the one with the most partners, which holds a large group together
-    degree = materialise(ways.groupBy("node").agg(F.count(F.lit(1)).alias("degree")))
-    best = ways.join(degree.withColumnRenamed("node", "other"), "other").groupBy("node").agg(
-        F.max_by("other", F.struct("times", "other")).alias("near"), F.max_by("other", F.struct("degree", "other")).alias("hub")
-    )
+    def checked(some: DataFrame) -> tuple[DataFrame, int]:
+        """Those of written candidates that are similar, and how many; Python compares some thousands in a task."""
+        links = materialise(verified(some, sets, similar), some.count(), each=1 << 12)
+        return links, links.count()
+
+    way = lambda x, y: pairs.select(F.col(x).alias("node"), F.col(y).alias("other"), "times", "size")
+    # first each node's likeliest partner, and the leader of its largest bucket, which holds a group together
+    best = way("a", "b").unionByName(way("b", "a")).groupBy("node").agg(
+        F.max_by("other", F.struct("times", "other")).alias("near"), F.max_by("other", F.struct("size", "times", "other")).alias("hub")
+    )
     first = best.select("node", F.explode(F.array_distinct(F.array("near", "hub"))).alias("other"))
-    first = materialise(first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-    found = components(materialise(verified(first, sets, similar)))
+    first = materialise(first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), 2 * total)
+    found = components(*checked(first))
     rest = labelled(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), found).where("label_a <> label_b")
-    more = materialise(verified(rest, sets, similar))
-    if not more.isEmpty():
-        found = merged(found, more)
-    open_ = materialise(unsettled(large, found))
+    more, count = checked(materialise(rest, 2 * total))
+    if count:
+        found = merged(found, more, count)
+    open_ = materialise(unsettled(large, found, total), total)
     if not open_.where("rest").isEmpty():
-        last = materialise(verified(searched(open_, sets, similar), sets, similar))
-        if not last.isEmpty():
-            found = merged(found, last)
+        last, count = checked(materialise(searched(open_, sets, similar), total))
+        if count:
+            found = merged(found, last, count)
     placed = materialise(
-        members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("_row", "_id", "n", F.coalesce("label", "rep").alias("label"), *also)
+        members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("_row", "_id", "n", F.coalesce("label", "rep").alias("label"), *also), total
     )
     by_class = materialise(placed.groupBy("label").agg(
         F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.coalesce(F.min_by("_row", "_id"), F.min("_row")).alias("stays")
-    ))
+    ), total)
     return placed.join(by_class, "label").select(
         F.col("_id").alias(id_col), "class_id", "class_size", (F.col("_row") == F.col("stays")).alias("kept"), F.col("n").alias("n_shingles"), *also
     )

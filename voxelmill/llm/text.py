@@ -66,7 +66,7 @@ def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((c[end] - c[start]) * powers(len(c))[1][start] + (end - start).astype(U) * U(0xA24BAED4963EE407))
 
 
-def by_size(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text; a longer single text makes a part of its own."""
     col = batch.column(column)
     ends = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
