@@ -6,16 +6,23 @@ document's; hits that keep their order relative to a question are aligned with i
 found where at least 0.8 of its windows, or a stretch of 25 words, stand in one place of the document
 and the placeholders' values there can be mapped one to one onto the question's: the same number in the
 question is always the same number in the document. Where the mapping fails, only windows without
-placeholders count.
+placeholders count. A question of fewer than five words that aren't placeholders says too little by its
+template: it must stand there with its own values.
 
 Names are told by capitals within a sentence, which upper-cased documents lack; so every text is
-canonicalised twice, with names and without, and either may match. The benchmark is small and is sent
-to all tasks in blocks of bounded size; more blocks mean more passes over the documents, never a larger
-broadcast. Null and empty texts match nothing; repeated questions are found together.
+canonicalised twice, with names and without, and either may match. The benchmark's hash table is sent to
+all tasks, in blocks made of at most ``BLOCK_BYTES`` of questions; more blocks mean more passes over the
+documents, never a larger broadcast.
+
+Null, empty and wordless texts and questions match nothing; texts and questions are read whole, however
+long. Repeated questions are found together; an item without an id counts, as a null that stands last in
+``items``. Questions that tie are all returned. An empty benchmark finds nothing, an empty table gives no
+rows. Only the id, the text and the item columns are read.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,13 +38,15 @@ from voxelmill.llm.storage import materialise
 from voxelmill.llm.text import U, by_size, flat, lowered, mix, prefix_hash, span_hash, word_spans
 
 WINDOW, SHARE, STRETCH, DRIFT = 5, 0.8, 25, 4
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 
 #: Words that are units after a number, and number words.
 UNITS = "mm cm m km in ft yd mi mile miles inch inches feet foot yards meter meters metre metres g kg mg lb lbs oz gram grams pound pounds ton tons s sec second seconds min minute minutes h hour hours day days week weeks month months year years l ml liter liters litre litres gallon gallons usd eur dollar dollars cent cents euro euros percent mph kmh degrees celsius fahrenheit k w kw watt watts volt volts".split()
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 
 WORD_, NUM, NAME, UNIT = range(4)
+_WITHIN = np.zeros(256, bool)
+_WITHIN[[ord(c) for c in ",;)(\"'"]] = True
 _SIGN = mix(np.arange(1, 5, dtype=U) * U(0xC2B2AE3D27D4EB4F))
 
 
@@ -90,7 +99,8 @@ def canonical(column: pa.Array) -> Template:
     latin = (first == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)
     after = np.where(latin, buf[np.minimum(start + 2, end - 1)], second)
     capital = (((first >= 65) & (first < 91)) | latin) & ((after >= 97) & (after < 123) | (after >= 128)) & (end - start > 2)
-    inside = before & (gap == 1) & (buf[np.maximum(start - 1, 0)] == 32)
+    # one space, or a sign that doesn't end a sentence and a space
+    inside = before & (buf[np.maximum(start - 1, 0)] == 32) & ((gap == 1) | (gap == 2) & _WITHIN[buf[np.maximum(start - 2, 0)]])
     kind[capital & inside & (kind == WORD_)] = NAME
     # digits joined by a point or comma are one number
     joined = before & (gap == 1) & np.isin(buf[np.maximum(start - 1, 0)], (44, 46)) & (kind == NUM) & np.append(False, kind[:-1] == NUM)
@@ -115,155 +125,228 @@ def windows(words: np.ndarray, doc: np.ndarray, size: int = WINDOW) -> tuple[np.
 
 @dataclass
 class Block:
-    """Questions with equal templates and values share a number; ``ids`` has their item ids. ``short`` has
-    those without a whole window: by length, hash of the template and ``pattern`` of the values."""
+    """The hash table of a block of questions, in flat arrays. Questions with equal templates and values
+    share a number; ``ids`` has their item ids. Of question k, ``values``, ``slots`` and ``windows`` begin at
+    ``start[k]``; ``windows`` has the place of each window in ``hashes``. What stands at place i of ``hashes``
+    are the windows ``question[cut[i]:cut[i + 1]]``, ``at[...]``. ``short`` has the questions without a whole
+    window: by length, hashes of all their words in order, and the questions. Of those marked ``literal``, only
+    windows with equal values count."""
 
     ids: list[list]
-    values: list[np.ndarray]
-    words: list[np.ndarray]
-    slots: list[np.ndarray]
+    start: np.ndarray
+    size: np.ndarray
+    values: np.ndarray
+    slots: np.ndarray
+    windows: np.ndarray
     hashes: np.ndarray
-    where: list[list[tuple[int, int]]]
+    cut: np.ndarray
+    question: np.ndarray
+    at: np.ndarray
     quick: np.ndarray
-    short: dict[int, dict[int, dict[bytes, list[int]]]]
+    literal: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
+
+    def need(self, share: float) -> np.ndarray:
+        """So many windows of each question have to be met, for a share of it or a long stretch."""
+        return np.minimum(np.ceil(share * (self.size - WINDOW + 1) - 1e-9), STRETCH - WINDOW + 1)
 
 
 def block(items: list[tuple], names: bool) -> Block:
     t = canonical(pa.array([text or "" for _, text in items], pa.large_string()))
-    words, slots = t.words(names), t.slots(names)
-    number: dict[bytes, int] = {}
-    out = Block([], [], [], [], np.zeros(0, U), [], np.zeros(1 << 20, bool), {})
-    found: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    words, number, ids = t.words(names), {}, []
     cuts = np.searchsorted(t.doc, np.arange(len(items) + 1))
-    for (item, _), a, b in zip(items, cuts[:-1], cuts[1:], strict=True):
-        if a == b or item is None:
+    of, start, size = np.full(len(items) + 1, -1), [], []
+    for n, ((item, _), a, b) in enumerate(zip(items, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        if a == b:
             continue
-        k = number.setdefault(words[a:b].tobytes() + t.value[a:b].tobytes(), len(number))
-        if k < len(out.ids):
-            out.ids[k].append(item)
+        k = number.setdefault(hashlib.blake2b(words[a:b].tobytes() + t.value[a:b].tobytes(), digest_size=16).digest(), len(ids))
+        if k < len(ids):
+            ids[k].append(item)
             continue
-        out.ids.append([item])
-        out.values.append(t.value[a:b])
-        out.words.append(words[a:b])
-        out.slots.append(slots[a:b])
-        if b - a < WINDOW:
-            h = np.zeros(1, U)
-            for w in words[a:b]:
-                h = mix(h * U(31) + w)
-            same = out.short.setdefault(int(b - a), {}).setdefault(int(h[0]), {})
-            same.setdefault(pattern(t.value[a:b][slots[a:b]]), []).append(k)
-        for h, at in zip(*(x.tolist() for x in windows(words[a:b], np.zeros(b - a, np.int64))), strict=True):
-            found[h].append((k, at))
-    out.hashes = np.array(sorted(found), U)
-    out.where = [found[h] for h in out.hashes.tolist()]
-    out.quick[(out.hashes >> U(44)).astype(np.int64)] = True
-    return out
+        ids.append([item])
+        start.append(a)
+        size.append(b - a)
+        of[n] = k
+    first, length = np.array(start, np.int64), np.array(size, np.int64)
+    h, at = windows(words, t.doc)
+    own = of[t.doc[at]] >= 0
+    h, at = h[own], at[own]
+    question = of[t.doc[at]]
+    order = np.argsort(h, kind="stable")
+    hashes, place, counts = np.unique(h, return_inverse=True, return_counts=True)
+    index = np.full(len(words), -1, np.int32)
+    index[at] = place
+    quick = np.zeros(1 << 20, bool)
+    quick[(hashes >> U(44)).astype(np.int64)] = True
+    short = {}
+    for n in range(1, WINDOW):
+        g, x = windows(t.value, t.doc, n)
+        k = of[t.doc[x]]
+        some = np.flatnonzero((k >= 0) & (length[k] == n)) if len(k) else np.zeros(0, np.int64)
+        if len(some):
+            some = some[np.argsort(g[some], kind="stable")]
+            short[n] = (g[some], k[some])
+    slots = t.slots(names)
+    plain = np.append(0, np.cumsum(~slots))
+    literal = plain[first + length] - plain[first] < WINDOW
+    return Block(
+        ids, first, length, t.value, slots, index, hashes, np.append(0, np.cumsum(counts)), question[order].astype(np.int32),
+        (at - first[question])[order].astype(np.int32) if len(at) else at.astype(np.int32), quick, literal, short,
+    )
 
 
 def consistent(ours: np.ndarray, theirs: np.ndarray) -> bool:
     """Whether values map one to one."""
     pairs = len({*zip(ours.tolist(), theirs.tolist(), strict=True)})
-    return pairs == len(np.unique(ours)) == len(np.unique(theirs))
-
-
-def pattern(values: np.ndarray) -> bytes:
-    """Which values are equal; the same for two lists if, and only if, they map one to one in their order."""
-    _, first, same = np.unique(values, return_index=True, return_inverse=True)
-    return first[same].tobytes()
-
-
-def judge(b: Block, k: int, hits: list[tuple[int, int]], words: np.ndarray, values: np.ndarray, slots: np.ndarray) -> float:
-    """The share of question k found at one place of a text, 1.0 for a long stretch; hits: (place in the
-    text, place in the question) of equal windows."""
-    n = len(b.words[k]) - WINDOW + 1
-    by_line: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for d, q in hits:
-        by_line[d - q].append((d, q))
+    return pairs == len({*ours.tolist()}) == len({*theirs.tolist()})
+
+
+_STEPS = np.arange(WINDOW)
+
+
+def judge(b: Block, k: int, d: np.ndarray, q: np.ndarray, values: np.ndarray, share: float = SHARE) -> float:
+    """The share of question k found at one place of a text, 1.0 for a long stretch; d, q: places of equal
+    windows in the text and in the question. Below ``share``, any lesser number may be returned.
+
+    Windows are laid on the lines d - q. A line whose own values don't map one to one is known after a few
+    of its words, so a text of nothing but numbers costs little more than its hits."""
+    n = int(b.size[k]) - WINDOW + 1
+    base = int(b.start[k])
+    ours, slot = b.values[base : base + n + WINDOW - 1], b.slots[base : base + n + WINDOW - 1]
+    plain = ~np.lib.stride_tricks.sliding_window_view(slot, WINDOW).any(1)
+    if b.literal[k]:
+        for j in range(WINDOW):
+            same = values[d + j] == ours[q + j]
+            d, q = d[same], q[same]
+        if not len(d):
+            return 0.0
+    order = np.lexsort((q, d - q))
+    d, q = d[order], q[order]
+    begin = np.flatnonzero(np.append(True, np.diff(d - q) != 0))
+    lines, stop = (d - q)[begin], np.append(begin[1:], len(d))
+    low, high = np.searchsorted(lines, lines - DRIFT), np.searchsorted(lines, lines + DRIFT, "right") - 1
+    near = stop[high] - begin[low]
+    count = stop - begin
     best = 0.0
-    for line in sorted(by_line, key=lambda x: -len(by_line[x])):
+    some = np.flatnonzero((near >= share * n - 1e-9) | (count + WINDOW - 1 >= STRETCH))
+    for i in some[np.argsort(-count[some], kind="stable")].tolist():
         if best >= 1.0:
             break
-        near = [x for x in range(line - DRIFT, line + DRIFT + 1) if x in by_line]
-        if best and len({q for x in near for _, q in by_line[x]}) / n <= best and len(by_line[line]) + WINDOW - 1 < STRETCH:
+        a, z = int(begin[i]), int(stop[i])
+        if best and near[i] / n <= best and z - a + WINDOW - 1 < STRETCH:
             continue
-        own = agreeing(b, k, line, sorted(near, key=lambda x: (x != line, -len(by_line[x]), abs(x - line))), by_line, values)
-        share = len({q for _, q in own}) / n
-        straight = sorted(q for d, q in own if d - q == line)
+        if mapped(ours, slot, q[a : min(z, a + 8)], d[a : min(z, a + 8)], values) and mapped(ours, slot, q[a:z], d[a:z], values):
+            x, y = int(begin[low[i]]), int(stop[high[i]])
+            own = agreeing(ours, slot, plain, int(lines[i]), d[x:y], q[x:y], values)
+        else:
+            own = slice(int(begin[low[i]]), int(stop[high[i]]))
+            own = [(u, v) for u, v in zip(d[own].tolist(), q[own].tolist(), strict=True) if plain[v]] if plain.any() else []
+        found = len({v for _, v in own}) / n
+        straight = sorted(v for u, v in own if u - v == lines[i])
         run = longest = 0
-        for i, q in enumerate(straight):
-            run = run + 1 if i and q == straight[i - 1] + 1 else 1
+        for j, v in enumerate(straight):
+            run = run + 1 if j and v == straight[j - 1] + 1 else 1
             longest = max(longest, run)
-        if longest and longest + WINDOW - 1 >= STRETCH:
-            share = max(share, 1.0)
-        best = max(best, share)
+        best = max(best, 1.0 if longest and longest + WINDOW - 1 >= STRETCH else found)
     return best
 
 
-def agreeing(b: Block, k: int, line: int, near: list[int], by_line: dict[int, list[tuple[int, int]]], values: np.ndarray) -> list[tuple[int, int]]:
-    """The hits on and near a line whose values map one to one; without such a mapping, those without slots.
+def mapped(ours: np.ndarray, slot: np.ndarray, q: np.ndarray, d: np.ndarray, values: np.ndarray) -> bool:
+    """Whether the values under the windows map one to one."""
+    sides = np.unique(((q[:, None] + _STEPS) << 40 | d[:, None] + _STEPS).ravel())
+    i, j = sides >> 40, sides & (1 << 40) - 1
+    some = slot[i]
+    return consistent(ours[i[some]], values[j[some]])
+
+
+def agreeing(ours: np.ndarray, slot: np.ndarray, plain: np.ndarray, line: int, d: np.ndarray, q: np.ndarray, values: np.ndarray) -> list[tuple[int, int]]:
+    """The hits on and near a line, whose own values map one to one, that agree with it; without such a
+    mapping, those without slots.
 
     A template that repeats with a short period equals itself on several lines. So the line itself decides
     first; of the others, hits that take a word of either side for another one than before are left out
     unless their values are mapped so already."""
-    slot, ours = b.slots[k], b.values[k]
-    own = [hit for x in near for hit in by_line[x]]
-    plain = lambda: [(d, q) for d, q in own if not slot[q : q + WINDOW].any()]
-
-    def mapped(some: list[tuple[int, int]]) -> bool:
-        sides = {(d + j, q + j) for d, q in some for j in range(WINDOW) if slot[q + j]}
-        if not sides:
-            return True
-        d_at, q_at = (np.array(x) for x in zip(*sides, strict=True))
-        return consistent(ours[q_at], values[d_at])
-
-    if mapped(own):
+    own = list(zip(d.tolist(), q.tolist(), strict=True))
+    if mapped(ours, slot, q, d, values):
         return own
-    if not mapped(by_line[line]):
-        return plain()
+    by_line: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for u, v in own:
+        by_line[u - v].append((u, v))
     there, back, to, fro, out = {}, {}, {}, {}, []
-    for x in near:
-        for d, q in by_line[x]:
-            places = [(q + j, d + j) for j in range(WINDOW) if slot[q + j]]
+    for x in sorted(by_line, key=lambda x: (x != line, -len(by_line[x]), abs(x - line))):
+        for u, v in by_line[x]:
+            places = [(v + j, u + j) for j in range(WINDOW) if slot[v + j]]
             pairs = [(int(ours[i]), int(values[j])) for i, j in places]
-            if any(to.get(v, w) != w or fro.get(w, v) != v for v, w in pairs) or len({*pairs}) > min(len({v for v, _ in pairs}), len({w for _, w in pairs})):
+            if any(to.get(v1, w) != w or fro.get(w, v1) != v1 for v1, w in pairs) or len({*pairs}) > min(len({v1 for v1, _ in pairs}), len({w for _, w in pairs})):
                 if not any(there.get(i, j) != j or back.get(j, i) != i for i, j in places):
-                    return plain()  # no other line explains these words
+                    return [(u1, v1) for u1, v1 in own if plain[v1]]  # no other line explains these words
                 continue
-            if any(there.get(i, j) != j or back.get(j, i) != i for i, j in places) and any(v not in to for v, _ in pairs):
+            if any(there.get(i, j) != j or back.get(j, i) != i for i, j in places) and any(v1 not in to for v1, _ in pairs):
                 continue
-            out.append((d, q))
-            for (i, j), (v, w) in zip(places, pairs, strict=True):
+            out.append((u, v))
+            for (i, j), (v1, w) in zip(places, pairs, strict=True):
                 there.setdefault(i, j), back.setdefault(j, i)
-                to[v], fro[w] = w, v
+                to[v1], fro[w] = w, v1
     return out
 
 
+#: So many hits are laid out at once; a text with more is judged one question at a time.
+HITS = 1 << 22
+
+
 def matches(b: Block, t: Template, names: bool, texts: int, share: float) -> list[dict[int, float]]:
     """Per text: the found questions' numbers and shares."""
     out: list[dict[int, float]] = [{} for _ in range(texts)]
-    words, slots = t.words(names), t.slots(names)
-    h, at = windows(words, t.doc)
+    h, at = windows(t.words(names), t.doc)
     some = np.flatnonzero(b.quick[(h >> U(44)).astype(np.int64)]) if len(b.hashes) else np.zeros(0, np.int64)
     h, at = h[some], at[some]
-    if len(h):
-        i = np.minimum(np.searchsorted(b.hashes, h), len(b.hashes) - 1)
-        ok = b.hashes[i] == h
-        hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for place, w in zip(at[ok].tolist(), i[ok].tolist(), strict=True):
-            d = int(t.doc[place])
-            for k, q in b.where[w]:
-                hits[d, k].append((place, q))
-        for (d, k), own in hits.items():
-            s = judge(b, k, own, words, t.value, slots)
-            if s >= share:
-                out[d][k] = s
-    for size, questions in b.short.items():
-        h, at = windows(words, t.doc, size)
-        wanted = np.sort(np.array(list(questions), U))
+    i = np.minimum(np.searchsorted(b.hashes, h), len(b.hashes) - 1)
+    ok = b.hashes[i] == h if len(h) else np.zeros(0, bool)
+    i, at, need = i[ok], at[ok], b.need(share)
+    many = (b.cut[i + 1] - b.cut[i]).astype(np.int64)
+    total = np.append(0, np.cumsum(many))
+    begin = 0
+    while begin < len(at):
+        # as many whole texts as fit
+        end = max(int(np.searchsorted(total, total[begin] + HITS, "right")) - 1, begin + 1)
+        last = t.doc[at[end - 1]]
+        if end < len(at) and t.doc[at[end]] == last:
+            cut = int(np.searchsorted(t.doc[at], last))
+            end = cut if cut > begin else int(np.searchsorted(t.doc[at], last, "right"))
+        part = slice(begin, end)
+        if total[end] - total[begin] <= HITS:
+            d = np.repeat(at[part], many[part])
+            x = np.arange(len(d)) - np.repeat(total[begin:end] - total[begin], many[part]) + np.repeat(b.cut[i[part]], many[part])
+            k, q, doc = b.question[x].astype(np.int64), b.at[x].astype(np.int64), t.doc[d]
+            key = doc * len(b.ids) + k
+            order = np.argsort(key, kind="stable")
+            cuts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+            stops = np.append(cuts[1:], len(order))
+            for a, z in zip(cuts.tolist(), stops.tolist(), strict=True):
+                own = order[a:z]
+                one = int(k[own[0]])
+                if z - a >= need[one]:
+                    s = judge(b, one, d[own], q[own], t.value, share)
+                    if s >= share:
+                        out[int(doc[own[0]])][one] = s
+        else:  # one text: for each question, the places of its windows
+            order = np.argsort(i[part], kind="stable")
+            found, where = i[part][order], at[part][order]
+            for one in np.flatnonzero(b.size >= WINDOW).tolist():
+                own = b.windows[b.start[one] : b.start[one] + b.size[one] - WINDOW + 1].astype(np.int64)
+                a, z = np.searchsorted(found, own), np.searchsorted(found, own, "right")
+                if (z - a).sum() >= need[one]:
+                    q = np.repeat(np.arange(len(own)), z - a)
+                    d = where[np.arange(len(q)) - np.repeat(np.cumsum(z - a) - (z - a), z - a) + np.repeat(a, z - a)]
+                    s = judge(b, one, d, q, t.value, share)
+                    if s >= share:
+                        out[int(t.doc[d[0]])][one] = s
+        begin = end
+    for size, (wanted, questions) in b.short.items():
+        h, at = windows(t.value, t.doc, size)
         for j in np.flatnonzero(_among(h, wanted)).tolist() if len(h) else []:
-            place = slice(int(at[j]), int(at[j]) + size)
-            for k in questions[int(h[j])].get(pattern(t.value[place][slots[place]]), ()):
-                out[int(t.doc[place.start])][k] = 1.0
+            for k in questions[np.searchsorted(wanted, h[j]) : np.searchsorted(wanted, h[j], "right")].tolist():
+                out[int(t.doc[at[j]])][k] = 1.0
     return out
 
 
@@ -293,7 +376,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                                 for item in b.ids[k]:
                                     own[item] = max(s, own.get(item, 0.0))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id"), batch.column("row"), pa.array([sorted(x) for x in ids], lists), pa.array([max(x.values(), default=0.0) for x in ids], pa.float64())],
+                        [batch.column("id"), batch.column("row"), pa.array([sorted(x, key=lambda i: (i is None, i)) for x in ids], lists), pa.array([max(x.values(), default=0.0) for x in ids], pa.float64())],
                         ["id", "row", "items", "share"],
                     )
 
