@@ -7,8 +7,10 @@ beginnings, as written and as restored, each seen at least once, twice or four t
 regression over the features that tell the classes apart best is fitted on labelled rows. Labels, language, source and id never enter a score.
 
 The classifier learns from at most ``SAMPLE`` labelled rows, those of least id hash; all else covers every
-row and whole texts. Null or empty texts score as a text without features. Without labelled rows every
-score is 0; with labels of one class only, the smoothed share of that class decides.
+row and whole texts, very long ones in parts of their own. Null or empty texts score as a text without
+features, equal texts alike. A label given several times counts once, as toxic if any says so; rows that
+repeat a labelled id each count. Without labelled rows every score is 0; with labels of one class only, the
+smoothed share of that class decides. An empty table gives no rows. A column of the score's name is replaced.
 """
 
 from __future__ import annotations
@@ -331,21 +333,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not len(vocabulary):
         return none
 
+    used = np.zeros(len(model.weights), bool)
+    used[np.searchsorted(vocabulary, np.array([r[0] for r in chosen], np.int64).view(U)) * len(LEVELS) + [LEVELS.index(r[1]) for r in chosen]] = True
+    number = (np.cumsum(used) - 1).astype(np.uint16)
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in by_size(whole, "_text"):
                 doc, feature = model.present(batch.column("_text"))
-                cuts = np.searchsorted(doc, np.arange(len(batch) + 1))
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(feature, pa.int64()))
+                doc, feature = doc[used[feature]], number[feature[used[feature]]]
+                cuts = np.searchsorted(doc, np.arange(len(batch) + 1)) * feature.itemsize
+                lists = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(feature.tobytes())])
                 yield pa.RecordBatch.from_arrays([batch.column("_toxic"), lists], ["toxic", "found"])
 
-    got = rows.mapInArrow(find, "toxic int, found array<long>").toArrow()
-    used = np.zeros(len(model.weights), bool)
-    used[np.searchsorted(vocabulary, np.array([r[0] for r in chosen], np.int64).view(U)) * len(LEVELS) + [LEVELS.index(r[1]) for r in chosen]] = True
-    lists = got.column("found").combine_chunks()
-    owner, feature = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()
-    keep = used[feature]
-    model.weights, model.bias = regression(owner[keep], feature[keep], got.column("toxic").to_numpy().astype(float), len(used))
+    # two bytes for each chosen feature that a row has, of ``sample`` rows and ``VOCABULARY`` features at most
+    got = rows.mapInArrow(find, "toxic int, found binary").toArrow()
+    lists = got.column("found")
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), pc.binary_length(lists).to_numpy() // 2)
+    feature = np.frombuffer(b"".join(x.as_py() for x in lists), np.uint16).astype(np.int32)
+    weights, model.bias = regression(owner, feature, got.column("toxic").to_numpy().astype(float), int(used.sum()))
+    model.weights[used] = weights
     return model
 
 
