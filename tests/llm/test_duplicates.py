@@ -1,5 +1,6 @@
 """Exact, near and passage duplicates against brute force."""
 
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -49,10 +50,13 @@ def test_exact_groups_of_awkward_rows(spark):
     for i, t, _ in rows:
         groups[ascii_lower(t)].append(i)
     want = Counter()
-    for ids in groups.values():
+    for t, ids in groups.items():
         keep = max((i for i in ids if i is not None), default=None)
-        want.update((i, keep, len(ids), i == keep) for i in ids)
-    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == want
+        ties = sum(i == keep for i in ids)
+        want.update((i, keep, len(ids)) for i in ids)
+        kept = [r for r in got if r["kept"] and r["text_sha256"] == hashlib.sha256(t.encode()).hexdigest()]
+        assert len(kept) == 1 <= ties and kept[0]["doc_id"] == keep
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == want
     assert exact.deduplicate(*exact.halves(data.empty(spark))).count() == 0
 
 
@@ -72,6 +76,14 @@ def test_boilerplate_of_awkward_rows(spark):
     got = {(r["doc_id"], r["text"]) for r in out.where("doc_id in (3, 4)").collect()}
     assert got == {(3, ""), (4, "")}
     assert lines.remove_boilerplate(data.empty(spark)).count() == 0
+    assert set(data.CLASHING) <= set(out.columns)
+
+
+def test_lines_of_repeated_ids(spark):
+    rows = [(1, "a\nb", "s1"), (1, "a\nc", "s2"), (1, "a\nc", "s2"), (2, "b", "s2"), (None, "a", "s3"), (None, "d\nb", None)]
+    docs = data.clashing(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    out = lines.remove_boilerplate(docs, min_sites=3)
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter([(1, ""), (1, "c"), (1, "c"), (2, ""), (None, ""), (None, "d")])
 
 
 def test_spread_near_the_threshold_is_exact(spark):
@@ -106,7 +118,7 @@ def classes_by_brute_force(texts):
     sets = []
     for t in texts:
         w = re.findall(r"\w+", (t or "").lower())
-        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+        sets.append(Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter())
     parent = list(range(len(texts)))
 
     def root(x):
@@ -120,7 +132,7 @@ def classes_by_brute_force(texts):
             by[x].add(k)
     for k, s in enumerate(sets):
         for o in set().union(*(by[x] for x in s)) if s else ():
-            if o > k and len(s & sets[o]) >= 0.8 * len(s | sets[o]):
+            if o > k and (s & sets[o]).total() >= 0.8 * (s | sets[o]).total():
                 parent[max(root(k), root(o))] = min(root(k), root(o))
     return [root(k) for k in range(len(texts))]
 
@@ -144,6 +156,60 @@ def test_near_classes_like_brute_force(spark):
     assert all(x["kept"] == (x["class_id"] == k) for k, x in got.items())
 
 
+def test_weights_are_how_often_a_text_has_a_shingle(spark):
+    a, b = data.prose(61, 40), data.prose(62, 40)
+    texts = [" ".join([a] * 9), " ".join([a] * 10), a, " ".join([a] * 3 + [b] * 6), " ".join([a, b] * 4), " ".join([b, a] * 4)]
+    got = {x["doc_id"]: x["class_id"] for x in minhash.classes(data.frame(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == classes_by_brute_force(texts) == [0, 0, 2, 3, 4, 4]
+
+
+def test_large_tables_of_links_are_contracted(spark, monkeypatch):
+    monkeypatch.setattr(components, "AT_ONCE", 20)
+    r = random.Random(4)
+    edges = [(k, k + 1) for k in range(400)] + [(1000, 1000 + k) for k in range(1, 200)] + [(r.randint(2000, 2300), r.randint(2000, 2300)) for _ in range(140)] + [(5000, 5000), (6000, 6001), (6001, 6000)]
+    got = {x["node"]: x["label"] for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert got == {x: root(x) for x in parent if x != 5000}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_recall_of_planted_pairs(spark):
+    r = random.Random(12)
+    texts, near = [], 0
+    for k in range(400):
+        t = data.prose(7000 + k, r.randint(30, 300))
+        texts += [t, edited(t, r, r.uniform(0, 0.03))]
+    got = {x["doc_id"]: x["class_id"] for x in minhash.classes(data.frame(spark, texts)).collect()}
+    want = classes_by_brute_force(texts)
+    near = [k for k in range(len(texts)) if want[k] != k]
+    assert len(near) > 200 and sum(got[k] == want[k] for k in near) >= 0.99 * len(near)
+    assert all(got[k] == k for k in range(len(texts)) if want[k] == k)
+
+
+def test_hot_ids_and_ties_of_exact_copies(spark):
+    rows = [(5, f"text {k % 700}".upper() if k % 3 else f"text {k % 700}") for k in range(2100)] + [(k, "Text 1") for k in range(3)]
+    got = exact.deduplicate(*exact.halves(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))).collect()
+    assert len(got) == len(rows) and sum(r["kept"] for r in got) == 700
+    assert {r["keep_id"] for r in got} == {5} and Counter(r["group_size"] for r in got) == {3: 699 * 3, 6: 6}
+
+
+def test_a_batch_larger_than_its_snapshot(spark, monkeypatch):
+    monkeypatch.setattr(exact, "SHARD_KEYS", 5)
+    old, new = data.frame(spark, [data.prose(k, 8) for k in range(300)]), data.frame(spark, [data.prose(k, 8) for k in range(250, 2250)])
+    snapshot = exact.Snapshot.of(exact.digests(old))
+    batch = exact.groups(exact.digests(new))
+    assert 50 <= snapshot.screen(batch).count() <= 55
+    assert sum(r["kept"] for r in exact.deduplicate(old, new).collect()) == 2250
+
+
 def test_near_classes_of_awkward_rows(spark):
     docs, rows = data.awkward(spark)
     got = minhash.classes(docs).collect()

@@ -9,6 +9,8 @@ import numpy as np
 
 def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(batch, time, features) of feature numbers, -1 where there is none, and the lengths."""
+    if len(seqs) == 1:
+        return seqs[0][None], np.array([len(seqs[0])])
     out = np.full((len(seqs), max(map(len, seqs)), max(s.shape[1] for s in seqs)), -1, np.int32)
     for k, s in enumerate(seqs):
         out[k, : len(s), : s.shape[1]] = s
@@ -29,7 +31,11 @@ class Crf:
     begin: np.ndarray
 
     def _emissions(self, x: np.ndarray) -> np.ndarray:
-        return np.vstack([self.weights, np.zeros((1, self.weights.shape[1]))])[x].sum(2)
+        """Feature by feature, so that no more than the result and one summand are held."""
+        table, out = np.vstack([self.weights, np.zeros((1, self.weights.shape[1]))]), np.zeros((*x.shape[:2], self.weights.shape[1]))
+        for j in range(x.shape[2]):
+            out += table[x[:, :, j]]
+        return out
 
     @classmethod
     def fit(cls, seqs: list[np.ndarray], tags: list[np.ndarray], features: int, n_tags: int, epochs: int = 80, rate: float = 0.5, decay: float = 1e-4) -> Crf:
@@ -67,9 +73,11 @@ class Crf:
                 p += rate * g / np.sqrt(s)
         return m
 
-    def decode(self, seqs: list[np.ndarray], most: int = 200_000) -> list[np.ndarray]:
-        """The best tags of each sequence, by Viterbi over batches of like length and at most ``most`` cells."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(seqs)
+    def decode(self, seqs: list[np.ndarray], most: int = 200_000, piece: int = 4096) -> list[np.ndarray]:
+        """The best tags of each sequence, by Viterbi over batches of like length and at most ``most`` cells.
+        A longer sequence is a batch of its own: scores are carried from piece to piece, and what is held of
+        a whole sequence is one byte for each token and tag."""
+        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(seqs)
         order = [k for k in sorted(range(len(seqs)), key=lambda k: len(seqs[k])) if len(seqs[k])]
         at = 0
         while at < len(order):
@@ -77,17 +85,21 @@ class Crf:
             while to < len(order) and (to - at + 1) * len(seqs[order[to]]) <= most:
                 to += 1
             x, length = _padded([seqs[k] for k in order[at:to]])
-            e = self._emissions(x)
-            best, came = self.begin + e[:, 0], np.zeros((*e.shape,), np.int8)
-            rows = np.arange(len(x))
-            for i in range(1, e.shape[1]):
+            steps = x.shape[1]
+            came, rows = np.zeros((len(x), steps, self.weights.shape[1]), np.int8), np.arange(len(x))
+            for i in range(steps):
+                if i % piece == 0:
+                    e = self._emissions(x[:, i : i + piece])
+                if i == 0:
+                    best = self.begin + e[:, 0]
+                    continue
                 options = best[:, :, None] + self.moves
                 came[:, i] = options.argmax(1)
-                step = options.max(1) + e[:, i]
+                step = options.max(1) + e[:, i % piece]
                 best = np.where((i < length)[:, None], step, best)
             tag = best.argmax(1)
-            path = np.zeros(e.shape[:2], np.int64)
-            for i in range(e.shape[1] - 1, -1, -1):
+            path = np.zeros((len(x), steps), np.int8)
+            for i in range(steps - 1, -1, -1):
                 path[:, i] = tag
                 inside = (i > 0) & (i < length)
                 tag = np.where(inside, came[rows, i, tag], tag)

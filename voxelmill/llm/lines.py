@@ -2,12 +2,14 @@
 
 Every non-empty line (spaces at its ends removed) is hashed; HyperLogLog sketches of the sites are
 built per line hash on the map side and merged by the aggregation. Lines clearly above or below the
-threshold are decided by the estimate; lines near it get an exact distinct count. Lines seen on one
-site only are screened out before, by the least and greatest site hash, so sketches exist for few.
+threshold are decided by the estimate; lines near it get an exact distinct count.
 
 Hot lines are pre-aggregated in every count, and the joins from rows to lines have one row per line on
-the small side, so adaptive execution can split them. Defined results: a null text has no lines, a
-null site is a site of its own, empty lines always stay, a line repeated in one text goes each time.
+the small side, so adaptive execution can split them. Defined results: a null text has one empty line, a
+null site is a site of its own, empty lines always stay, a line repeated in one text goes each time. Rows
+with one id, repeated or not, lose the lines that any of them has on too many sites, which are the same for
+all. A very long text is one row as any other. An empty table gives no rows; columns n_lines and n_removed
+are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -54,18 +56,19 @@ def spread(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band:
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with the text cleaned and columns n_lines (of all lines) and n_removed, which replace
     columns of these names."""
-    docs = docs.drop("n_lines", "n_removed", "_key", "_gone", "_lines", "_set", "_kept")
+    docs = docs.drop("n_lines", "n_removed")
     rows = materialise(line_rows(docs, id_col, text_col, site_col))
     common = materialise(spread(rows, min_sites))
     found = (
-        rows.join(common, ["_h1", "_h2"]).groupBy("_id", "_h1").agg(F.lit(1).alias("_one"))
-        .groupBy("_id").agg(F.collect_list("_h1").alias("_gone")).withColumnRenamed("_id", "_key")
+        rows.join(common, ["_h1", "_h2"]).groupBy("_id", "_h1", "_h2").agg(F.lit(1).alias("_one"))
+        .groupBy("_id").agg(F.collect_list(F.struct("_h1", "_h2")).alias("gone"))
     )
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("_key")), "left")
-    gone, lines = F.coalesce("_gone", F.expr("array()").cast("array<bigint>")), split_lines(F.col(text_col))
-    kept = F.filter(F.col("_lines"), lambda x: ~((F.trim(x) != "") & F.array_contains(F.col("_set"), keys(x)[0])))
-    out = joined.withColumn("_lines", lines).withColumn("_set", gone).withColumn("_kept", F.when(F.size("_set") > 0, kept).otherwise(F.col("_lines")))
+    # a user's columns stand in a struct, so no name of theirs meets one of these
+    joined = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("key")).join(found, F.col("key").eqNullSafe(F.col("_id")), "left")
+    own = lambda x: F.struct(keys(x)[0].alias("_h1"), keys(x)[1].alias("_h2"))
+    kept = F.filter(F.col("lines"), lambda x: ~((F.trim(x) != "") & F.array_contains(F.col("gone"), own(x))))
+    out = joined.withColumn("lines", split_lines(F.col(f"row.`{text_col}`"))).withColumn("kept", F.when(F.size("gone") > 0, kept).otherwise(F.col("lines")))
     return out.select(
-        *(F.col(c) for c in docs.columns if c != text_col), F.array_join("_kept", "\n").alias(text_col),
-        F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - F.size("_kept")).cast("long").alias("n_removed"),
+        *(F.col(f"row.`{c}`") for c in docs.columns if c != text_col), F.array_join("kept", "\n").alias(text_col),
+        F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
     )

@@ -11,7 +11,10 @@ from voxelmill.llm.storage import materialise
 def numbered(rows: DataFrame, group: str, fine: Column, order: list[str], name: str) -> DataFrame:
     """Number rows 0, 1, 2, ... within each value of ``group``. ``fine`` cuts a group into many parts of
     bounded number (say some thousands in all): rows are numbered within parts, and parts are placed
-    behind one another by a prefix sum over their counts, which is small whatever the row count."""
+    behind one another by a prefix sum over their counts, which is small whatever the row count. Rows that tie
+    in ``order`` are numbered in any order. Columns _part, _start and _nth, and one of that ``name``, are
+    replaced."""
+    rows = rows.drop("_part", "_start", "_nth", name)
     cut = materialise(rows.withColumn("_part", fine))
     window = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

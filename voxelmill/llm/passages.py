@@ -13,7 +13,9 @@ isn't sorted in one block: the hashes of its windows are counted instead, with a
 shuffle, which is exact for it. Copies are counted, not gathered, so no task holds a hot passage.
 
 Rows are known by id and text hash: rows equal in both are interchangeable. A null text is empty. A text
-below 200 bytes keeps all its bytes. Matches never cross texts.
+below 200 bytes keeps all its bytes; a very long one is a part of its own. Matches never cross texts. Strings
+that tie for the least hash name the leftmost of them, in every window alike. An empty table gives no rows.
+Only the id and the text are read, whatever other columns are named.
 """
 
 from __future__ import annotations

@@ -7,7 +7,11 @@ the patterns' and must hold as many digits, a valid check digit or parts as its
 
 The field reads a stretch of text around every digit, "@" and spelled-out address; elsewhere it has
 nothing to tag. Every search takes time in proportion to the text, however long a run of one kind of
-character. Null texts count as empty; offsets are code points with exclusive ends.
+character, and a stretch of any length is described and decoded piece by piece.
+
+Null texts count as empty; offsets are code points with exclusive ends. Every row has a result of its own,
+equal rows equal ones; of spans that begin together, the kinds' order decides. An empty table gives no
+rows. Only the id and the text are read, whatever other columns are named.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from voxelmill.llm.crf import Crf
@@ -98,11 +103,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|[_\d]")
 _KNOWN = frozenset("at dot com org net edu mail email phone tel call fax mobile card visa ip host version page chapter on in for total items euro".split())
+FEATURES = 11
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 
 
-def tokens(text: str) -> list[Span]:
-    return [m.span() for m in _TOKEN.finditer(text)]
+def tokens(text: str, begin: int = 0, end: int | None = None) -> np.ndarray:
+    """(n, 2) starts and ends."""
+    found = (x for m in _TOKEN.finditer(text, begin, len(text) if end is None else end) for x in m.span())
+    return np.fromiter(found, np.int32).reshape(-1, 2)
 
 
 def shape(word: str) -> str:
@@ -127,6 +135,18 @@ def described(text: str, spans: list[Span]) -> list[list[str]]:
     ]
 
 
+def numbers(text: str, spans: list[Span] | np.ndarray, index: dict[str, int], piece: int = 4096) -> np.ndarray:
+    """Feature numbers of all tokens, -1 for features not seen in training; tokens are described some at a time,
+    with their neighbours."""
+    out = np.full((len(spans), FEATURES), -1, np.int32)
+    for p in range(0, len(spans), piece):
+        low = max(0, p - 2)
+        rows = described(text, [(int(a), int(b)) for a, b in spans[low : p + piece + 2]])[p - low : p - low + piece]
+        for k, row in enumerate(rows, p):
+            out[k] = [index.get(f, -1) for f in row]
+    return out
+
+
 def labelled_table(rows: int = 900, seed: int = 11) -> list[tuple[int, int, str, str]]:
     """(sentence, start, token, tag): sentences with personal data in many spellings, and others with
     dates, versions, prices, counts and references that are none."""
@@ -167,7 +187,7 @@ def labelled_table(rows: int = 900, seed: int = 11) -> list[tuple[int, int, str,
             else:
                 piece = r.choice(no)()
             text += f" {piece}{r.choice(('', '.', ',', '!!', '###'))} " + " ".join(word() for _ in range(r.randint(1, 5)))
-        for a, b in tokens(text):
+        for a, b in tokens(text).tolist():
             kind = next(((k, s) for k, s, e in marks if s <= a < e), None)
             out.append((sid, a, text[a:b], "O" if kind is None else f"{'B' if kind[1] == a else 'I'}-{kind[0]}"))
     return out
@@ -227,31 +247,35 @@ def valid(kind: str, s: str) -> bool:
     return bool(re.search(r"@|\bat\b", s, re.I) and re.search(r"\.|\bdot\b", s, re.I))
 
 
+def by_start(spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts in order, and the largest end so far."""
+    both = np.array(sorted((a, b) for _, a, b in spans), np.int64).reshape(-1, 2)
+    return both[:, 0], np.maximum.accumulate(both[:, 1]) if len(both) else both[:, 1]
+
+
 def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], model: tuple[dict[str, int], Crf]) -> list[list[tuple[int, int, int]]]:
     index, field = model
     where, seqs = [], []
     for k, text in enumerate(texts):
         for a, b in stretches(text):
-            spans = [(a + x, a + y) for x, y in tokens(text[a:b])]
-            if spans:
+            spans = tokens(text, a, b)
+            if len(spans):
                 where.append((k, spans))
-                seqs.append(np.array([[index.get(f, -1) for f in row] for row in described(text, spans)], np.int32))
+                seqs.append(numbers(text, spans, index))
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for (k, spans), path in zip(where, field.decode(seqs), strict=True):
         if not path.any():
             continue
-        names, i = [TAGS[t] for t in path], 0
-        while i < len(names):
-            if names[i][0] != "B":
-                i += 1
-                continue
-            kind, j = names[i][2:], i + 1
-            while j < len(names) and names[j] == f"I-{kind}":
+        # a tag B is followed by its own I; base spans are looked up by their starts
+        starts, last = by_start(base[k])
+        for i in np.flatnonzero(path % 2 == 1).tolist():
+            j = i + 1
+            while j < len(path) and path[j] == path[i] + 1:
                 j += 1
-            a, b = spans[i][0], spans[j - 1][1]
-            if valid(kind, texts[k][a:b]) and not any(s < b and a < e for _, s, e in base[k]):
-                out[k].append((KINDS.index(kind), a, b))
-            i = j
+            kind, a, b = int(path[i]) // 2, int(spans[i][0]), int(spans[j - 1][1])
+            before = int(np.searchsorted(starts, b))
+            if valid(KINDS[kind], texts[k][a:b]) and not (before and last[before - 1] > a):
+                out[k].append((kind, a, b))
     return out
 
 
@@ -272,7 +296,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
                 buf, offsets = flat(column)
                 hit = set(np.unique(np.searchsorted(offsets, np.flatnonzero(trigger[buf]), "right") - 1).tolist())
                 texts = [t or "" for t in column.to_pylist()]
-                hit |= {k for k, t in enumerate(texts) if "dot" in t or "Dot" in t or "DOT" in t}
+                hit |= set(np.flatnonzero(pc.fill_null(pc.match_substring(column, "dot", ignore_case=True), False).to_numpy(zero_copy_only=False)).tolist())
                 some = sorted(hit)
                 base = [base_spans(texts[k]) for k in some]
                 more = added_spans([texts[k] for k in some], base, model)

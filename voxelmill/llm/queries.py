@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelmill.llm import decontam, exact, lines, minhash, packing, passages, pii, secret_scan, sharding, toxicity
-from voxelmill.llm.storage import materialise, table
+from voxelmill.llm.storage import scratch, table
 
 SHARDS = 16
 
@@ -48,13 +48,16 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = materialise(table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        sharding.virtual_slot([F.col("doc_id"), text]).alias("vslot"),
-    ))
-    mapping = sharding.SlotMap.plan(sharding.slot_bytes(rows), SHARDS)
+    rows = sharding.slotted(table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("text_hash"),
+    ), ["doc_id", "text_hash", "text_crc32"])
+    maps = scratch(spark)
+    sharding.SlotMap.plan(sharding.slot_bytes(rows), SHARDS).store(spark, maps)
+    mapping = sharding.SlotMap.load(spark, maps)
     out = sharding.shard(rows, mapping, ["doc_id", "text_crc32", "size"])
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(mapping.version).alias("map_version")
+    )
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +82,46 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINES, "op8_exact_dedup": EXACT}
+    return {"op2_near_dedup": NEAR, "op3_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_repeated_passages": PASSAGES}
+
+
+NEAR = f"""
+with recursive words as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z_\\x{{80}}-\\x{{10FFFF}}]+') as w from documents),
+shingles as (
+  select doc_id, unnest([array_to_string(w[i:i + {minhash.WORDS - 1}], ' ') for i in range(1, greatest(len(w) - {minhash.WORDS - 2}, 2))]) as s
+  from words where len(w) > 0
+),
+sets as (select doc_id, s, count(*) as c from shingles group by all),
+sizes as (select doc_id, sum(c) as n from sets group by 1),
+common as (select a.doc_id as a, b.doc_id as b, sum(least(a.c, b.c)) as c from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where c >= {minhash.SIMILAR} * (x.n + y.n - c) - 1e-9),
+reach(a, b) as (
+  select doc_id, doc_id from documents
+  union select r.a, l.b from reach r join (select a, b from links union all select b, a from links) l on r.b = l.a
+),
+class as (select a as doc_id, min(b) as class_id, count(*) as class_size from reach group by 1)
+select doc_id, class_id, class_size, doc_id = class_id as kept, coalesce(n, 0)::bigint as n_shingles from class left join sizes using (doc_id)
+"""
+
+PASSAGES = f"""
+with raw as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+sizes as (select doc_id, x, length(x) // 2 as n from raw),
+blocks as (select doc_id, n, unnest(range(0, n - {passages.DEPTH - 1}, 500)) as p, x from sizes where n >= {passages.DEPTH}),
+pieces as (select doc_id, p, substr(x, 2 * p + 1, 2 * {passages.DEPTH + 499}) as x, least(500, n - {passages.DEPTH - 1} - p) as k from blocks),
+starts as (select doc_id, p, x, unnest(range(0, k)) as i from pieces),
+strings as (select doc_id, p + i as pos, md5(substr(x, 2 * i + 1, 2 * {passages.DEPTH})) as h from starts),
+twice as (select h from strings group by 1 having count(*) > 1),
+hits as (select doc_id, pos from strings join twice using (h)),
+marked as (select doc_id, pos, case when pos <= lag(pos) over (partition by doc_id order by pos) + {passages.DEPTH} then 0 else 1 end as new from hits),
+runs as (select doc_id, pos, sum(new) over (partition by doc_id order by pos) as run from marked),
+gone as (select doc_id, run, min(pos) as a, max(pos) + {passages.DEPTH} as b from runs group by all),
+cuts as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as after, lead(a) over (partition by doc_id order by a) is null as last from gone),
+kept as (
+  select doc_id, sum(b - a) as n_removed, count(*) as n_spans, string_agg(substr(x, 2 * after + 1, 2 * (a - after)) || case when last then substr(x, 2 * b + 1) else '' end, '' order by a) as x
+  from cuts join sizes using (doc_id) group by doc_id
+)
+select doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(k.x, s.x))) as kept_sha256 from sizes s left join kept k using (doc_id)
+"""
 
 
 LINES = f"""

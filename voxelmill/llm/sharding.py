@@ -5,19 +5,24 @@ a versioned map says which shard holds which slot. The map is small (one row per
 data, so it is planned on the driver and broadcast. Rebalancing edits the map: it writes a new
 version in which as few bytes as needed move, and rows follow their slot.
 
-A slot is chosen by a hash of the id and the text, so neither a hot source nor a null id makes a slot
-hot. Rows equal in both stay together. Null texts have no bytes; an empty table gives no rows.
+A slot is chosen by a hash of the id, the text and, among rows equal in both, a running number, so neither
+a hot source nor a null id nor a row repeated very often makes a slot hot. Null texts have no bytes, very
+long ones make their slot as large; an empty table gives no rows. Rows that tie in the order of a shard
+are placed in any order. Columns named vslot, shard and slot are replaced, and so are those that begin
+with an underscore and are named here.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelmill.llm.numbering import numbered
+from voxelmill.llm.storage import materialise
 
 SLOTS = 4096
 
@@ -26,6 +31,21 @@ def virtual_slot(keys: list[Column], slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
 
 
+def slotted(rows: DataFrame, keys: Sequence[str], slots: int = SLOTS) -> DataFrame:
+    """``rows`` with ``vslot``, written. Rows equal in ``keys`` are numbered in two steps, within the parts
+    they were read in and then part by part, so no task holds a hot group of them."""
+    rows = materialise(rows.drop("vslot", "_h", "_part", "_no").withColumns({"_h": F.xxhash64(*keys), "_part": F.spark_partition_id(), "_no": F.monotonically_increasing_id()}))
+    counts = materialise(rows.groupBy("_h", "_part").agg(F.count(F.lit(1)).alias("_n")))
+    more = materialise(counts.groupBy("_h").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_h"))
+    before = Window.partitionBy("_h").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialise(counts.join(more, "_h").withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_h", "_part", "_start"))
+    nth = F.row_number().over(Window.partitionBy("_h", "_part").orderBy("_no")) - 1
+    copies = rows.join(more, "_h", "left_semi").withColumn("_nth", nth).join(starts, ["_h", "_part"]).withColumn("_copy", F.col("_start") + F.col("_nth"))
+    single = rows.join(more, "_h", "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    out = single.unionByName(copies.select(*single.columns)).withColumn("vslot", virtual_slot([F.col("_h"), F.col("_copy")], slots))
+    return materialise(out.drop("_h", "_part", "_no", "_copy"))
+
+
 @dataclass(frozen=True)
 class SlotMap:
     """``shard_of[slot]`` under one version; ``bytes_of[slot]`` is what it was planned with."""
@@ -80,9 +100,9 @@ class SlotMap:
             load[low] += move[0]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """version, slot, shard, bytes: as it is stored."""
-        rows = [(self.version, k, s, b) for k, (s, b) in enumerate(zip(self.shard_of, self.bytes_of, strict=True))]
-        return spark.createDataFrame(rows, "version int, vslot int, shard int, slot_bytes long")
+        """version, shards, slot, shard, bytes: as it is stored."""
+        rows = [(self.version, self.shards, k, s, b) for k, (s, b) in enumerate(zip(self.shard_of, self.bytes_of, strict=True))]
+        return spark.createDataFrame(rows, "version int, shards int, vslot int, shard int, slot_bytes long")
 
     def store(self, spark: SparkSession, path: str) -> None:
         """Add this version to the table of maps; older versions stay readable."""
@@ -92,8 +112,8 @@ class SlotMap:
     def load(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
         maps = spark.read.parquet(path)
         version = version or maps.agg(F.max("version")).first()[0]
-        rows = sorted(maps.where(F.col("version") == version).select("vslot", "shard", "slot_bytes").collect())
-        return cls(version, max(r[1] for r in rows) + 1, tuple(r[1] for r in rows), tuple(r[2] for r in rows))
+        rows = sorted(maps.where(F.col("version") == version).select("vslot", "shard", "slot_bytes", "shards").collect())
+        return cls(version, rows[0][3], tuple(r[1] for r in rows), tuple(r[2] for r in rows))
 
 
 def slot_bytes(rows: DataFrame, slots: int = SLOTS, slot: str = "vslot", size: str = "size") -> list[int]:
@@ -105,6 +125,7 @@ def slot_bytes(rows: DataFrame, slots: int = SLOTS, slot: str = "vslot", size: s
 
 
 def shard(rows: DataFrame, mapping: SlotMap, order: list[str]) -> DataFrame:
-    """Add ``shard`` and ``slot``, the row's gapless place within its shard, to rows with ``vslot``."""
+    """Add ``shard`` and ``slot``, the row's gapless place within its shard, to rows with ``vslot``. The map
+    that is broadcast has one row for each of the fixed slots."""
     small = mapping.frame(rows.sparkSession).select("vslot", "shard")
-    return numbered(rows.join(F.broadcast(small), "vslot"), "shard", F.col("vslot"), order, "slot")
+    return numbered(rows.drop("shard", "slot").join(F.broadcast(small), "vslot"), "shard", F.col("vslot"), order, "slot")
