@@ -1,8 +1,10 @@
 """From raw documents to packed batches: each stage works on all rows that the one before it kept.
 
 Stages take and return rows with the columns of ``documents``; only the last returns batches instead.
-Rows are told apart by a hash of id and text, so null and repeated ids keep their own decisions; further
-columns pass through. An empty table stays empty.
+Rows are told apart by two hashes of id and text (128 bits), so null and repeated ids keep their own
+decisions; a null text counts as empty, very long ones are read whole, further columns pass through
+whatever their names. Of rows equal in id and text, the deduplicating stages keep one, and the others
+treat all alike. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelmill.llm import decontam, exact, minhash, packing, toxicity
-from voxelmill.llm.storage import materialise, table
+from voxelmill.llm.storage import freeing, materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,13 +27,21 @@ def free_name(docs: DataFrame, name: str) -> str:
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    key = free_name(docs, "_key")
-    return docs.withColumn(key, F.xxhash64("doc_id", F.coalesce("text", F.lit("")))), key
+    key, text = free_name(docs, "_key"), F.coalesce("text", F.lit(""))
+    return docs.withColumn(key, F.struct(F.xxhash64("doc_id", text).alias("a"), F.xxhash64(text, "doc_id", F.lit(1)).alias("b"))), key
 
 
-def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
-    """``docs`` but for the keys in ``gone``, which Spark broadcasts only if its written size allows it."""
-    return docs.join(materialise(gone.select(key).distinct()), key, "left_anti").drop(key)
+def kept_once(docs: DataFrame, key: str, judged: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``judged`` (key, kept: one row per row) keeps. Rows that share a key are
+    interchangeable: one of them stays if any is kept. Spark broadcasts the keys only if their written
+    size allows it."""
+    some = materialise(judged.groupBy(key).agg(F.max("kept").alias("stays"), F.min("kept").alias("all_stay")).where(~F.col("all_stay")))
+    rows = docs.join(some.where("not stays").select(key), key, "left_anti")
+    repeated = some.where("stays").select(key)
+    if not repeated.isEmpty():
+        once = rows.join(repeated, key, "left_semi").dropDuplicates([key])
+        rows = rows.join(repeated, key, "left_anti").unionByName(once)
+    return rows.drop(key)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,33 +52,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays; of rows equal in id and text, one stays."""
+    """Of equal texts (A-Z lower-cased), the row with the largest id stays, one of those that tie for it."""
     rows, key = keyed(docs)
-    judged = materialise(exact.deduplicate(*exact.halves(rows), also=[key]))
-    kept = without(rows, key, judged.where(~F.col("kept")))
-    stay = judged.where("kept")
-    repeated = stay.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    return kept_once(rows, key, exact.deduplicate(*exact.halves(rows), also=[key]).select(key, "kept"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the document of least id stays; of rows equal in id and text, one."""
+    """Of each class of near duplicates, the document of least id stays, one of those that tie for it."""
     rows, key = keyed(docs)
-    judged = minhash.classes(rows, also=[key]).groupBy(key).agg(F.max("kept").alias("stays"), F.min("kept").alias("all_stay"))
-    judged = materialise(judged.where(~F.col("all_stay")))
-    kept = rows.join(judged.where(~F.col("stays")).select(key), key, "left_anti")
-    repeated = judged.where("stays").select(key)
-    if not repeated.isEmpty():
-        one = kept.join(repeated, key, "left_semi").dropDuplicates([key])
-        kept = kept.join(repeated, key, "left_anti").unionByName(one)
-    return kept.drop(key)
+    return kept_once(rows, key, minhash.classes(rows, also=[key]).select(key, "kept"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark question go."""
     rows, key = keyed(docs)
     judged = decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=key)
-    return without(rows, key, judged.where("contaminated"))
+    return rows.join(materialise(judged.where("contaminated").select(key).distinct()), key, "left_anti").drop(key)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,7 +88,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Of each stage, only what it returns is left on disk when the next one begins."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with freeing() as kept:
+            docs = materialise(stage(spark, docs, sf_dir))
+            kept.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
