@@ -165,6 +165,10 @@ def test_label_errors_and_borders(spark):
     with pytest.raises(Exception, match="no new label"):
         labels.remapped(df, {1: 2}).collect()
     assert labels.remapped(df, {}) is df
+    large = {k: k + 1 for k in range(labels.IN_PLAN + 1)}
+    assert sorted(r["v"] for r in labels.remapped(df, large).collect()) == [1, 2, 3]
+    with pytest.raises(Exception, match="no new label"):
+        labels.remapped(df.withColumn("v", F.col("v") + 10_000), large).collect()
 
 
 def test_array_summary(spark):
@@ -184,6 +188,35 @@ def test_options_given_flat():
         f(1, nothing=2)
 
 
+def test_writers_and_orders_that_are_known():
+    assert config.ArrayOptions(driver="tensorstore").driver == "tensorstore"
+    with pytest.raises(config.UnsupportedDriverError):
+        config.ArrayOptions(driver="nothing")
+    with pytest.raises(ValueError):
+        config.ArrayOptions(order="K")
+
+
+def test_verbose_logs_more(spark, tmp_path):
+    import logging
+
+    from voxelmill.pipelines import cli
+    from voxelmill.sources import tiff
+
+    tiff.write_tiff(str(tmp_path / "s.tiff"), np.ones((2, 4, 4), np.uint8))
+    before = logging.getLogger().level
+    try:
+        for flags, level in ((["--verbose"], logging.DEBUG), (["--log-level", "error"], logging.ERROR)):
+            cli.main(["lsm", "single_volume", str(tmp_path / "s.tiff"), "--out", str(tmp_path / f"{level}.zarr"), "--levels", "0", *flags], spark)
+            assert logging.getLogger().level == level
+    finally:
+        logging.getLogger().setLevel(before)
+
+
+def test_small_sides_are_broadcast_after_a_look(spark):
+    assert "broadcast" in tiles.bounded(spark.range(3))._jdf.queryExecution().toString().lower()
+    assert "broadcast" not in tiles.bounded(spark.range(3), 2)._jdf.queryExecution().toString().lower()
+
+
 def test_regions_and_formats():
     assert region("1:3,...", (5, 6, 7)) == [(1, 3), (0, 6), (0, 7)] and region(None, (2,)) == [(0, 2)] and region("-2:", (5,)) == [(3, 5)]
     with pytest.raises(ValueError):

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from voxelmill.pipelines import cli, df, lsm, psoct, wk
-from voxelmill.sources import files, mat, nifti, spool, tiff, zarr
+from voxelmill.sources import files, mat, nifti, spool, tiff, wkw, zarr
 from voxelmill.sources.blocks import opened
 
 BRAIN = (np.random.default_rng(4).integers(0, 900, (10, 256, 256)) + np.arange(256)[None, None]).astype(np.uint16)
@@ -177,12 +177,100 @@ def test_wk_webknossos(spark, tmp_path):
     assert zarr.attributes(w.path)["multiscales"] == [{"name": "x"}]
 
 
+def test_wk_files(spark, tmp_path):
+    mask = np.zeros((5, 70, 66), np.uint8)
+    mask[0, 20:30, 24:40], mask[2, 0:8, 56:64], mask[4, 69, 0] = 1, 2, 3
+    image = _levels(str(tmp_path / "image"), np.arange(5 * 70 * 66, dtype=np.int32).reshape(5, 70, 66), 2)
+    for level in range(2):
+        wkw.write_wkw(str(tmp_path / "masks" / wk.mask_name(level)), np.ascontiguousarray(mask[:, :: 2**level, :: 2**level]), 8, 2, wkw.RAW if level else wkw.LZ4)
+    with pytest.raises(Exception, match="no new label"):
+        wk.webknossos(spark, str(tmp_path / "masks"), image, '{"1": 5}', out=str(tmp_path / "p.zarr"))
+    w = wk.webknossos(spark, str(tmp_path / "masks"), image, '{"1": 5, "2": 6, "3": 7}', out=str(tmp_path / "o.zarr"), max_load=16)
+    assert (stored(w.path, 1) == np.array([0, 5, 6, 7])[mask[:, ::2, ::2]]).all()
+    fine = stored(w.path)
+    assert (fine[0, 20:30, 24:40] == 5).all() and (fine[2, 0:8, 56:64] == 6).all() and not fine[1].any()
+
+
+@pytest.mark.parametrize("order", ["C", "F"])
+def test_shards_are_written_chunk_by_chunk_and_read_by_range(spark, tmp_path, monkeypatch, order):
+    from voxelmill.operators.grid import BLOCKS, block_table
+    from voxelmill.plans.config import ArrayOptions
+    from voxelmill.sinks import zarr as sink
+
+    a = np.random.default_rng(1).integers(0, 9, (30, 41, 50)).astype(np.int32)
+    a[:8, :16] = 0
+    pieces = [([z, y, 0], a[z : z + 7, y : y + 13]) for z in range(0, 30, 7) for y in range(0, 41, 13)]
+    blocks = spark.createDataFrame(block_table(pieces).to_pylist(), BLOCKS).repartition(5)
+    path = str(tmp_path / "a")
+    got = sink.write_array(path, blocks, a.shape, [4, 8, 10], [16, 16, 30], "int32", ArrayOptions(order=order, compressor="gzip"))
+    layout = zarr.opened(path)
+    assert got["files"] == 12 and (layout.read([(0, n) for n in a.shape]) == a).all()
+    box = [(3, 21), (10, 18), (29, 50)]
+    assert (layout.read(box) == a[3:21, 10:18, 29:50]).all()
+    assert layout.part(4 * 4 * 8 * 10 * 4) == [8, 16, 10] or math.prod(layout.part(4 * 4 * 8 * 10 * 4)) <= 4 * 4 * 8 * 10
+    read = []
+    real = files.read
+    monkeypatch.setattr(files, "read", lambda p, offset=0, size=None: read.append(size) or real(p, offset, size))
+    assert (layout.read([(16, 17), (16, 17), (0, 1)]) == a[16:17, 16:17, :1]).all() and None not in read and sum(read) < 2000
+
+
+def test_large_arrays_are_read_in_groups(tmp_path):
+    from voxelmill.sources import blocks as b
+
+    cells = b.Cells([10**7, 10**6], [100, 100], [(0, 10**7), (50, 10**6 - 50)])
+    assert len(cells) == 10**9 and cells[10**9 - 1].origin == (10**7 - 100, 10**6 - 100) and cells[10**4].origin == (100, 0)
+    with pytest.raises(IndexError):
+        cells[10**9]
+    assert len(b.Cells([5, 5], [2, 2], [(0, 0), (1, 5)])) == 0
+
+
+def test_groups(tmp_path):
+    from voxelmill.plans.config import ArrayOptions
+    from voxelmill.sinks.groups import Group
+
+    for version in (2, 3):
+        g = Group.create(str(tmp_path / f"g{version}"), ArrayOptions(zarr_version=version, compressor="zlib"))
+        g["0"] = BRAIN[:2, :8, :8]
+        child = g.create_group("sub")
+        child.create_array("x", [4, 4], "uint8", [2, 2], [4, 4] if version == 3 else None)
+        like = g.create_array_like("1", [1, 4, 4])
+        assert g.keys() == ["0", "1", "sub"] and len(g) == 3 and "sub/x" in g and "y" not in g and [*g["sub"]] == ["x"]
+        assert (g["0"].read([(0, 2), (0, 8), (0, 8)]) == BRAIN[:2, :8, :8]).all()
+        assert like.shape == (1, 4, 4) and like.dtype == g["0"].dtype and not g["1"].read([(0, 1), (0, 4), (0, 4)]).any()
+        g.update({"a": 1})
+        assert g.attrs == {"a": 1}
+        del g["1"]
+        assert "1" not in g
+        for name in ("1", "z"):
+            with pytest.raises(KeyError):
+                g[name]
+        with pytest.raises(KeyError):
+            Group(str(tmp_path / "nothing"))
+
+
+@pytest.mark.parametrize("compression", tiff.ENCODERS)
+@pytest.mark.parametrize("cell", [None, (16, 16), (7, 101), (48, 32)])
+def test_tiff_compressions(tmp_path, compression, cell):
+    r = np.random.default_rng(2)
+    for dtype in ("uint8", "uint16", "float32"):
+        a = (r.integers(0, 200, (2, 37, 101)) * (r.random((2, 37, 101)) < 0.4)).astype(dtype)
+        for predictor in (1, 2) if dtype != "float32" else (1,):
+            tiff.write_tiff(str(tmp_path / "a.tiff"), a, compression, predictor, cell)
+            assert (np.stack([tiff.read_page(str(tmp_path / "a.tiff"), p) for p in tiff.pages(str(tmp_path / "a.tiff"))]) == a).all()
+
+
+def test_lzw_of_the_standard_example():
+    # codes 256 7 258 8 8 258 6 6 257 of nine bits each
+    assert tiff.unpacked_lzw(bytes([0x80, 0x01, 0xE0, 0x40, 0x80, 0x44, 0x08, 0x0C, 0x06, 0x80, 0x80])) == bytes([7, 7, 7, 8, 8, 7, 7, 6, 6])
+    assert tiff.unpacked_bits(bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA])) == bytes.fromhex("AAAAAA80002AAAAAAAAA80002A22" + "AA" * 10)
+
+
 def test_region_of_a_stored_level(spark, tmp_path):
     tiff.write_tiff(str(tmp_path / "s.tiff"), BRAIN)
     w = lsm.single_volume(spark, str(tmp_path / "s.tiff"), out=str(tmp_path / "o.zarr"), chunk=(64,), levels=0)
     blocks, _ = opened(spark, "zarr", w.path, level=0, region="2:5,...,10:70")
     rows = blocks.collect()
-    assert len(rows) == 8 and sum(math.prod(r["shape"]) for r in rows) == 3 * 256 * 60
+    assert blocks.rdd.getNumPartitions() <= 8 and len(rows) == 8 and sum(math.prod(r["shape"]) for r in rows) == 3 * 256 * 60
     for r in rows:
         a = np.frombuffer(r["data"], r["dtype"]).reshape(r["shape"])
         assert (a == BRAIN[tuple(slice(o, o + n) for o, n in zip(r["origin"], r["shape"]))]).all()

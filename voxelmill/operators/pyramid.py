@@ -106,6 +106,23 @@ def reduce_array(a: np.ndarray, f: Sequence[int], mode: str | Callable[..., np.n
     return function(split, axis=tuple(range(1, split.ndim, 2))).astype(a.dtype)
 
 
+def cut_pieces(batches: Iterator[pa.RecordBatch], shape: Sequence[int], chunk: Sequence[int]) -> Iterator[tuple[list[list[int]], list[tuple[list[int], np.ndarray]]]]:
+    """Of every block, the grid indices and pieces (origin, array) that its chunks make of it."""
+    for batch in batches:
+        for origin, a in arrays(batch):
+            spans = [range(o // c, -(-min(o + n, s) // c)) for o, n, s, c in zip(origin, a.shape, shape, chunk, strict=True)]
+            if not all(spans):
+                continue
+            at, pieces = [], []
+            for cell in np.ndindex(*(len(s) for s in spans)):
+                index = [s[i] for s, i in zip(spans, cell, strict=True)]
+                lo = [max(o, i * c) for o, i, c in zip(origin, index, chunk, strict=True)]
+                hi = [min(o + n, (i + 1) * c, s) for o, n, i, c, s in zip(origin, a.shape, index, chunk, shape, strict=True)]
+                at.append(index)
+                pieces.append((lo, a[tuple(slice(x - o, y - o) for x, y, o in zip(lo, hi, origin, strict=True))]))
+            yield at, pieces
+
+
 def rechunked(blocks: DataFrame, shape: Sequence[int], chunk: Sequence[int], dtype: str) -> DataFrame:
     """Any boxes to whole chunks of a grid, in one shuffle. Pieces are cut where they are read; a chunk is
     put together in one task, zeros where nothing is, later origins over earlier ones."""
@@ -113,21 +130,10 @@ def rechunked(blocks: DataFrame, shape: Sequence[int], chunk: Sequence[int], dty
     keys = [f"k{i}" for i in range(ndim)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for origin, a in arrays(batch):
-                spans = [range(o // c, -(-min(o + n, s) // c)) for o, n, s, c in zip(origin, a.shape, shape, chunk, strict=True)]
-                if not all(spans):
-                    continue
-                at, pieces = [], []
-                for cell in np.ndindex(*(len(s) for s in spans)):
-                    index = [s[i] for s, i in zip(spans, cell, strict=True)]
-                    lo = [max(o, i * c) for o, i, c in zip(origin, index, chunk, strict=True)]
-                    hi = [min(o + n, (i + 1) * c, s) for o, n, i, c, s in zip(origin, a.shape, index, chunk, shape, strict=True)]
-                    at.append(index)
-                    pieces.append((lo, a[tuple(slice(x - o, y - o) for x, y, o in zip(lo, hi, origin, strict=True))]))
-                t = block_table(pieces)
-                t = pa.table([*(pa.array([i[d] for i in at], pa.int64()) for d in range(ndim)), *t.columns], [*keys, *t.schema.names])
-                yield from t.to_batches()
+        for at, pieces in cut_pieces(batches, shape, chunk):
+            t = block_table(pieces)
+            t = pa.table([*(pa.array([i[d] for i in at], pa.int64()) for d in range(ndim)), *t.columns], [*keys, *t.schema.names])
+            yield from t.to_batches()
 
     def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         origin = [k.as_py() * c for k, c in zip(key, chunk, strict=True)]
@@ -140,9 +146,10 @@ def rechunked(blocks: DataFrame, shape: Sequence[int], chunk: Sequence[int], dty
     return pieces.groupBy(*keys).applyInArrow(build, BLOCKS)
 
 
-def coarsened_blocks(chunks: DataFrame, shape: Sequence[int], chunk: Sequence[int], dtype: str, pooled: Sequence[bool], mode: str | Callable[..., np.ndarray] = "mean") -> tuple[DataFrame, list[int]]:
-    """The next level of whole chunks with even sizes on pooled axes: windows never cross chunks, so they
-    are reduced where they lie, and only an eighth of the data is shuffled into the new chunks."""
+def coarsened_blocks(chunks: DataFrame, shape: Sequence[int], chunk: Sequence[int], dtype: str, pooled: Sequence[bool], mode: str | Callable[..., np.ndarray] = "mean", whole: bool = True) -> tuple[DataFrame, list[int]]:
+    """The next level of boxes of whole chunks with even sizes on pooled axes: windows never cross chunks, so
+    they are reduced where they lie, and only an eighth of the data is shuffled into the new chunks. Without
+    ``whole`` the reduced boxes stay as they are, and nothing is shuffled."""
     f = [2 if p and n > 1 else 1 for p, n in zip(pooled, shape, strict=True)]
     if any(k == 2 and c % 2 and c < n for k, c, n in zip(f, chunk, shape, strict=True)):
         raise ValueError("pooled axes need chunks of even size")
@@ -155,4 +162,5 @@ def coarsened_blocks(chunks: DataFrame, shape: Sequence[int], chunk: Sequence[in
                 if b.size:
                     yield from block_table([([o // k for o, k in zip(origin, f, strict=True)], b)]).to_batches()
 
-    return rechunked(chunks.mapInArrow(shrink, BLOCKS), new, chunk, dtype), new
+    small = chunks.mapInArrow(shrink, BLOCKS)
+    return rechunked(small, new, chunk, dtype) if whole else small, new

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelmill.functions.arithmetic import floor_div
+from voxelmill.operators.tiles import bounded
 
 
 def stitched(voxels: DataFrame, layout: DataFrame, key: str, axis: str) -> DataFrame:
     """Voxels of tiles at their place: ``layout`` has one row per value of ``key`` with lo, hi, start.
 
     It is a few rows per axis, so the join is a broadcast one and the voxels aren't shuffled."""
-    small = F.broadcast(layout.select(key, "lo", "hi", "start").distinct())
+    small = bounded(layout.select(key, "lo", "hi", "start").distinct())
     met = voxels.join(small, key).where((F.col(axis) >= F.col("lo")) & (F.col(axis) < F.col("hi")))
     return met.withColumn(axis, F.col(axis) - F.col("lo") + F.col("start")).drop(key, "lo", "hi", "start")
 
@@ -37,13 +38,13 @@ def stacked(slices: DataFrame, path: str, axis: str) -> DataFrame:
     """A new axis: the rank of the slice's name. Names are few; voxels aren't sorted."""
     ordered = slices.select(path).distinct().agg(F.array_sort(F.collect_list(path)).alias("_all"))
     rank = ordered.select(F.posexplode("_all").alias(axis, path)).withColumn(axis, F.col(axis).cast("long"))
-    return slices.join(F.broadcast(rank), path).drop(path)
+    return slices.join(bounded(rank), path).drop(path)
 
 
 def centred(voxels: DataFrame, sizes: DataFrame, key: str, axes: dict[str, str]) -> DataFrame:
     """Images of different sizes in the middle of the largest: ``axes`` gives each axis's size column.
     What is left over is divided evenly, the odd row or column goes behind."""
-    most = sizes.agg(*(F.max(s).alias(f"_m{s}") for s in axes.values()))
-    moves = sizes.join(F.broadcast(most)).select(key, *(floor_div(F.col(f"_m{s}") - F.col(s), 2).alias(f"_d{k}") for k, s in axes.items()))
-    out = voxels.join(F.broadcast(moves), key)
+    most = dict(zip(axes, sizes.agg(*(F.max(s) for s in axes.values())).first() or (), strict=True))
+    moves = sizes.select(key, *(floor_div(F.lit(most[k]).cast("long") - F.col(s), 2).alias(f"_d{k}") for k, s in axes.items()))
+    out = voxels.join(bounded(moves), key)
     return out.withColumns({k: F.col(k) + F.col(f"_d{k}") for k in axes}).drop(*(f"_d{k}" for k in axes))

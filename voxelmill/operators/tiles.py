@@ -18,6 +18,11 @@ PLANE = r"_plane(\d+)_c(\d+)\.tiff?$"
 _NUMBERS = {"run", "y", "z", "plane", "c"}
 
 
+def bounded(df: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """``df`` with a hint to broadcast it if it has no more rows than that; otherwise as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def parsed(df: DataFrame, name: str, kind: str) -> DataFrame:
     """``df`` with the columns of the name pattern; names that don't match have nulls."""
     pattern, groups = PATTERNS[kind]
@@ -65,8 +70,13 @@ def duplicates(tiles: DataFrame) -> DataFrame:
 
 
 def dtype_groups(tiles: DataFrame) -> DataFrame:
-    """Tiles of each type: dtype, n, tiles (as y/z, sorted)."""
-    return tiles.groupBy("dtype").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list(F.format_string("%03d/%03d", "y", "z"))), " ").alias("tiles"))
+    """How many tiles there are of each type: dtype, n."""
+    return tiles.groupBy("dtype").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tiles_by_dtype(tiles: DataFrame) -> DataFrame:
+    """The tiles of each type, a row for each: dtype, n (of the type), tile (as y/z)."""
+    return tiles.join(bounded(dtype_groups(tiles)), "dtype").select("dtype", "n", F.format_string("%03d/%03d", "y", "z").alias("tile"))
 
 
 def index_stats(tiles: DataFrame, axis: str) -> DataFrame:
@@ -89,7 +99,7 @@ def placed(tiles: DataFrame, axis: str, size: str, overlap: int = 0, compat: boo
     many = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) > 1
     lo = F.when(many & ~first, head).otherwise(0)
     out = sizes.select(axis, lo.cast("long").alias("lo"), (F.col("_size") - F.when(many & ~last, tail).otherwise(0)).cast("long").alias("hi"), (before + lo).cast("long").alias("start"))
-    return tiles.join(F.broadcast(out), axis)
+    return tiles.join(bounded(out), axis)
 
 
 def extent(tiles: DataFrame, axis: str, size: str, overlap: int = 0) -> DataFrame:

@@ -73,7 +73,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             given[k] = "auto" if v == ["auto"] else tuple(v)
         if k == "compressor_opt" and isinstance(v, list):
             given[k] = {a: _value(b) for a, _, b in (x.partition("=") for x in v)}
-    logging.basicConfig(level=str(given.get("log_level", "info")).upper())
+    logging.basicConfig()
+    logging.getLogger().setLevel("DEBUG" if given.get("verbose") else str(given.get("log_level", "info")).upper())
     logging.captureWarnings(True)
     return function(spark or SparkSession.builder.getOrCreate(), **given)
 

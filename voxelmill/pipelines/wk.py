@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import json
 
-import numpy as np
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from voxelmill.operators import labels
-from voxelmill.operators.grid import pack, unpack
 from voxelmill.pipelines.common import Written
 from voxelmill.plans.config import ArrayOptions, GeneralOptions, autoconfig
 from voxelmill.sinks import zarr as sink
@@ -32,23 +29,20 @@ def webknossos(spark: SparkSession, wkw_dir: str, ome_dir: str, dic: str | None
     sink.create_group(path, array)
     shapes = [list(zarr_array(f"{ome_dir}/{level}").shape[-3:]) for level in range(count)]
 
-    def mask(level: int):  # noqa: ANN202
+    def mask(level: int) -> tuple[DataFrame, str]:
         z, y, x = shapes[level]
         blocks, info = opened(spark, fmt, f"{wkw_dir}/{mask_name(level)}", shape=f"{x},{y},{z}", maxLoad=general.max_load)
         if list(info.shape) != shapes[level]:
             raise ValueError(f"mask {mask_name(level)} has shape {info.shape}, the image {shapes[level]}")
-        return unpack(blocks, "uint8", sparse=True), info.dtype
+        return blocks, info.dtype
 
     _, h, w = shapes[-1]
-    coarse, kind = mask(count - 1)
-    boxes = labels.borders(coarse, h, w)
+    boxes = labels.block_borders(mask(count - 1)[0], h, w)
     for level in range(count):
-        voxels, kind = mask(level)
+        blocks, kind = mask(level)
         _, h, w = shapes[level]
-        inside = labels.remapped(labels.inside(voxels, labels.scaled(boxes, count, level), h, w), mapping)
         chunk = [min(c, s) for c, s in zip(zarr_array(f"{ome_dir}/{level}").chunk[-3:], shapes[level], strict=True)]
-        out = inside.where(F.col("v") != 0)
-        sink.write_array(f"{path}/{level}", pack(out, shapes[level], chunk, np.dtype(kind).name), shapes[level], chunk, None, kind, array, aligned=True)
+        sink.write_array(f"{path}/{level}", labels.clipped_blocks(blocks, boxes, 2 ** (count - level - 1), h, w, mapping), shapes[level], chunk, None, kind, array)
     copied = attributes(ome_dir)
     sink.update_attributes(path, {k: copied[k] for k in ("multiscales", "ome") if k in copied})
     return Written(path, shapes, chunk, None)

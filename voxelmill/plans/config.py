@@ -10,11 +10,19 @@ from dataclasses import dataclass, field, fields, is_dataclass, replace
 from typing import Any, Literal
 
 AXIS = {"x": 2, "y": 1, "z": 0}
+#: Who writes arrays. All names mean the tasks of this engine, so options of other writers stay valid.
+DRIVERS = ("spark", "zarr-python", "tensorstore")
+
+
+class UnsupportedDriverError(ValueError):
+    pass
 
 
 @dataclass(frozen=True)
 class ArrayOptions:
-    """How arrays are stored. ``driver``, ``order`` are accepted for compatibility and have no effect."""
+    """How arrays are stored. ``driver`` names who writes them, of which there is one.
+
+    Names and defaults are fixed values: commands and callers rely on them."""
 
     zarr_version: Literal[2, 3] = 3
     chunk: tuple[int, ...] = (128,)
@@ -35,6 +43,10 @@ class ArrayOptions:
     driver: str = "spark"
 
     def __post_init__(self) -> None:
+        if self.driver not in DRIVERS:
+            raise UnsupportedDriverError(f"no such driver: {self.driver}; there are {', '.join(DRIVERS)}")
+        if self.order not in ("C", "F"):
+            raise ValueError("order is C or F")
         if self.zarr_version not in (2, 3):
             raise ValueError("zarr_version is 2 or 3")
         if self.zarr_version == 2 and (self.shard or self.shard_channels or self.shard_time):
@@ -43,7 +55,8 @@ class ArrayOptions:
 
 @dataclass(frozen=True)
 class GeneralOptions:
-    """``max_load`` bounds the voxels per axis that a reader loads at once."""
+    """``max_load`` bounds the voxels per axis that a reader loads at once. ``verbose`` logs at level debug,
+    whatever ``log_level`` says. Names and defaults are fixed values."""
 
     out: str | None = None
     max_load: int = 1024

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +16,20 @@ from voxelmill.operators import grid, pyramid
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.plans.layout import layout
 from voxelmill.queries import query
-from voxelmill.queries.views import VOLUME, shape, volume
+from voxelmill.queries.views import SIDE, VOLUME, WIDTH, depth, shape, volume
 from voxelmill.sinks import zarr as sink
+from voxelmill.sinks.groups import Group
+from voxelmill.sources import nifti, tiff, wkw
 from voxelmill.sources.blocks import opened
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new place in the folder that driver and executors share."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="voxelmill-")
+    """A new place in the folder that driver and executors share; only a session in one process may do without."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="voxelmill-")
     return f"{named}/arrays/{uuid.uuid4().hex}"
 
 
@@ -60,3 +70,72 @@ def rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = list(shape(spark, sf_dir).values())
     other = pyramid.rechunked(grid.pack(volume(spark, sf_dir), size, [8, 8, 16], "int32"), size, [10, 7, 20], "int32")
     return grid.unpack(other, "int32").groupBy(*(F.expr(f"{a} div {n}").alias(f"c{a}") for a, n in zip("zyx", (10, 7, 20), strict=True))).agg(F.count("v").alias("n"), F.sum("v").alias("total"))
+
+
+@query(f"with {VOLUME} select z, y, x, v from vol")
+def zarr_first_axis_fastest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks stored with the first axis running fastest, within shards."""
+    path, _ = _stored(spark, sf_dir, ArrayOptions(chunk=(4, 10, 16), shard=(8, 20, 32), order="F"))
+    return grid.unpack(opened(spark, "zarr", path)[0], "int32")
+
+
+def _one_file(spark: SparkSession, sf_dir: str, write: Callable[[str, np.ndarray], None]) -> str:
+    """The volume as one file, put together by one task, as its format wants it."""
+    path, size = scratch(spark), list(shape(spark, sf_dir).values())
+
+    def build(rows: pa.Table) -> pa.Table:
+        a = np.zeros(size, np.int32)
+        a[tuple(rows.column(c).to_numpy() for c in "zyx")] = rows.column("v").to_numpy()
+        write(path, a)
+        return pa.table({"n": pa.array([a.size], pa.int64())})
+
+    volume(spark, sf_dir).withColumn("_k", F.lit(0)).groupBy("_k").applyInArrow(build, "n long").collect()
+    return path
+
+
+@query(f"with {VOLUME} select z, y, x, v from vol")
+def nifti_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _one_file(spark, sf_dir, lambda p, a: nifti.write_nifti(f"{p}/v.nii.gz", a))
+    return grid.unpack(opened(spark, "nifti", f"{path}/v.nii.gz")[0], "int32")
+
+
+@query(f"with {VOLUME} select z, y, x, v from vol where z >= 2 and z < 7 and x >= 9 and x < 50")
+def wkw_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed blocks on a space-filling curve, read by region."""
+    path = _one_file(spark, sf_dir, lambda p, a: wkw.write_wkw(f"{p}/1", a, 4, 2))
+    z, y, x = shape(spark, sf_dir).values()
+    return grid.unpack(opened(spark, "wkw", f"{path}/1", shape=f"{x},{y},{z}", region="2:7,:,9:50")[0], "int32")
+
+
+@query(f"""with {VOLUME} select z % 4 as k, z, y, x, v from vol""")
+def tiff_compressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by each way of compression, in tiles and strips: every fourth slice goes one way."""
+    path, n = scratch(spark), depth(spark, sf_dir)
+    ways = ((tiff.LZW, 2, (16, 16)), (tiff.PACKBITS, 1, (7, WIDTH)), (tiff.ZSTD, 2, (SIDE, WIDTH)), (tiff.DEFLATE, 1, (32, 48)))
+
+    def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        k = key[0].as_py()
+        a = np.zeros((-(-(n - k) // 4), SIDE, WIDTH), np.int32)
+        a[rows.column("z").to_numpy() // 4, rows.column("y").to_numpy(), rows.column("x").to_numpy()] = rows.column("v").to_numpy()
+        compression, predictor, cell = ways[k]
+        tiff.write_tiff(f"{path}/{k}.tiff", a, compression, predictor, cell)
+        return pa.table({"n": pa.array([a.size], pa.int64())})
+
+    volume(spark, sf_dir).withColumn("k", F.col("z") % 4).groupBy("k").applyInArrow(build, "n long").collect()
+    parts = [grid.unpack(opened(spark, "tiff", f"{path}/{k}.tiff")[0], "int32").select(F.lit(k).cast("long").alias("k"), (F.col("z") * 4 + k).alias("z"), "y", "x", "v") for k in range(min(4, n))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(f"with {VOLUME} select name, z, y, x, v from (select 'a' as name, * from vol union all select 'b/c', z, y, x, cast(0 as integer) from vol where z < 2)")
+def group_of_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group's arrays by name; one is made with another's layout and has no values yet."""
+    path, size = scratch(spark), list(shape(spark, sf_dir).values())
+    o = ArrayOptions(compressor="zlib")
+    g = Group.create(path, o)
+    sink.write_array(f"{path}/a", grid.pack(volume(spark, sf_dir), size, [8, 8, 16], "int32"), size, [8, 8, 16], None, "int32", o, aligned=True)
+    g.create_group("b").create_array("gone", [4], "int32", [4])
+    g.create_array_like("b/c", [min(2, size[0]), *size[1:]], base="a")
+    del g["b/gone"]
+    if g.keys() != ["a", "b"] or list(g["b"]) != ["c"] or "b/gone" in g:
+        raise ValueError(f"the group holds {g.keys()}")
+    return reduce(DataFrame.unionByName, [grid.unpack(opened(spark, "zarr", f"{path}/{k}")[0], "int32").select(F.lit(k).alias("name"), "z", "y", "x", "v") for k in ("a", "b/c")])

@@ -35,12 +35,12 @@ def depth_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {EVENTS_SQL}, lim as (select min(t) as t0, max(t) as t1, max(y) as y1 from evt),
-full_grid as (select unnest(range(0, 48)) as t, y from (select unnest(range(0, y1 + 1)) as y from lim))
+full_grid as (select unnest(range(0, t1 - t0 + 1)) as t, y from (select t0, t1, unnest(range(0, y1 + 1)) as y from lim))
 select g.t, g.y, coalesce(e.v, 0) as v from full_grid g left join (select t - t0 as t, y, v from evt, lim) e on g.t = e.t and g.y = e.y""")
 def densify_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     plane = events_grid(spark, sf_dir)
-    t0, y1 = plane.agg(F.min("t"), F.max("y")).first()
-    return grid.densify(grid.shifted(plane, {"t": -int(t0)}), {"t": 48, "y": int(y1) + 1})
+    t0, t1, y1 = plane.agg(F.min("t"), F.max("t"), F.max("y")).first()
+    return grid.densify(grid.shifted(plane, {"t": -int(t0)}), {"t": int(t1) - int(t0) + 1, "y": int(y1) + 1})
 
 
 @query(f"""with d as (select max(vec_id) // {SIDE} + 1 as n from embeddings),
@@ -123,11 +123,11 @@ def stitch_last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stitch.last_wins(moved, AXES, "tile")
 
 
-@query(f"""with {VOLUME} select x % 3 as c, z * 2 + y // 10 as z, y % 10 as y, x // 3 as x, v from vol where x < 63""")
+@query(f"""with {VOLUME} select x % 4 as c, z * 2 + y // 10 as z, y % 10 as y, x // 4 as x, v from vol""")
 def mosaic_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Planes of two rows of tiles and three channels, as a four-dimensional volume."""
-    v = volume(spark, sf_dir).where("x < 63")
-    parts = v.select(F.pmod("x", F.lit(3)).alias("c"), "z", (F.col("y") / 10).cast("int").alias("tile"), F.pmod("y", F.lit(10)).alias("y"), (F.col("x") / 3).cast("long").alias("x"), "v")
+    """Planes of two rows of tiles and four channels, as a four-dimensional volume."""
+    v = volume(spark, sf_dir)
+    parts = v.select(F.pmod("x", F.lit(4)).alias("c"), "z", (F.col("y") / 10).cast("int").alias("tile"), F.pmod("y", F.lit(10)).alias("y"), (F.col("x") / 4).cast("long").alias("x"), "v")
     rows = spark.range(2).select(F.col("id").cast("int").alias("tile"), F.lit(0).alias("plane"))
     return parts.join(F.broadcast(rows), "tile").select("c", (F.col("z") * 2 + F.col("tile") + F.col("plane")).alias("z"), "y", "x", "v")
 
@@ -165,3 +165,9 @@ def tile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.missing(inventory(spark, sf_dir))
 
 
+
+
+@query(f"with {VOLUME} select 0 as t, 0 as c, z, y, x, v from vol")
+def axes_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A volume as an array of more axes."""
+    return grid.with_axes(volume(spark, sf_dir), ["t", "c"]).select("t", "c", *AXES, "v")

@@ -5,44 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelmill.functions import naming
+from voxelmill.functions import arithmetic, naming
 from voxelmill.operators import tiles
 from voxelmill.queries import query
-from voxelmill.queries.views import NAMES, TILES, names, read
+from voxelmill.queries.views import TILES, names, read
 from voxelmill.queries.views import tiles as inventory
 
 
-def _parse_sql(column: str, kind: str) -> str:
-    pattern, groups = tiles.PATTERNS[kind]
-    cells = [
-        f"case when regexp_matches({column}, '{pattern}') then " + (f"cast(regexp_extract({column}, '{pattern}', {k}) as integer)" if g not in ("prefix", "suffix") else f"regexp_extract({column}, '{pattern}', {k})") + f" end as {g}"
-        for k, g in enumerate(groups, 1)
-    ]
-    return f"with {NAMES} select id, {', '.join(cells)} from names"
+#: What the names were made of, so that the SQL needs no pattern.
+_FROM = "select o_orderkey as id, cast(o_custkey % 23 as integer) as y, cast(o_orderkey % 17 as integer) as z, lower(o_orderstatus) as s, o_orderstatus as big, o_custkey as k from orders"
 
 
 def _parsed(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return tiles.parsed(names(spark, sf_dir), kind, kind).select("id", *tiles.PATTERNS[kind][1])
 
 
-@query(_parse_sql("mosaic", "mosaic"))
+@query(f"""with n as ({_FROM}), ok as (select *, id % 5 <> 0 as ok from n)
+select id, case when ok then s end as prefix, case when ok then z end as z, case when ok then y end as y, case when ok then '_HR' end as suffix from ok""")
 def tile_parse_mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir, "mosaic")
 
 
-@query(_parse_sql("multi_slice", "multi_slice"))
+@query(f"""with n as ({_FROM}) select id, big as prefix, y, cast(id % 170 as integer) as z, case when id % 3 = 0 then '_A' else '' end as suffix from n""")
 def tile_parse_multislice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir, "multi_slice")
 
 
-@query(_parse_sql("spool", "spool"))
+@query(f"""with n as ({_FROM}) select id, s as prefix, cast(k % 4 as integer) as run, y, z, '_HR' as suffix from n""")
 def tile_parse_spool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir, "spool")
 
 
-@query(rf"""with {NAMES}, t as (select id, substr(plane, length(mosaic) + 1) as tail from names)
-select id, cast(regexp_extract(tail, '{tiles.PLANE}', 1) as integer) as plane, cast(regexp_extract(tail, '{tiles.PLANE}', 2) as integer) as c
-from t where regexp_matches(tail, '^{tiles.PLANE}')""")
+@query(f"""with n as ({_FROM}) select id, cast(id % 40 as integer) as plane, cast(k % 4 as integer) as c from n where id % 9 <> 0""")
 def tile_parse_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = names(spark, sf_dir).withColumnRenamed("plane", "file")
     tail = F.substring(F.col("file"), F.length("mosaic") + 1, F.length("file"))
@@ -63,9 +57,9 @@ def tile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {TILES}, one as (select distinct y, z, dtype from tiles)
-select dtype, count(*) as n, string_agg(format('{{:03d}}/{{:03d}}', y, z), ' ' order by y, z) as tiles from one group by dtype""")
+select dtype, count(*) over (partition by dtype) as n, format('{{:03d}}/{{:03d}}', y, z) as tile from one""")
 def tile_dtype_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiles.dtype_groups(inventory(spark, sf_dir).select("y", "z", "dtype").distinct())
+    return tiles.tiles_by_dtype(inventory(spark, sf_dir).select("y", "z", "dtype").distinct())
 
 
 @query(f"with {TILES} select min(y) as least, max(y) as greatest, count(distinct y) as n from tiles")
@@ -142,3 +136,18 @@ def mask_level_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_key_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = F.array(F.col("p_partkey") % 7, F.col("p_size").cast("long"), F.col("p_partkey") % 11)
     return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), naming.chunk_key(index, 3).alias("v3"), naming.chunk_key(index, 2).alias("v2"))
+
+
+@query("""select o_orderkey as id, lower(o_orderstatus) || '_HR' as name, '/data/' || lower(o_orderstatus) as folder from orders where o_orderkey % 5 <> 0""")
+def default_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an output is called that was given no name, and names without folders and extensions."""
+    t = tiles.parsed(names(spark, sf_dir), "mosaic", "mosaic").where("z is not null")
+    folder = F.concat(F.lit("/data/"), tiles.stem(F.concat(F.lit("/a.b/c/"), F.col("prefix"), F.lit(".tiff"))))
+    return t.select("id", tiles.default_name(t).alias("name"), folder.alias("folder"))
+
+
+@query("""select o_orderkey as id, cast(floor((o_custkey - 700) / 7.0) as bigint) as down, cast(ceil((o_custkey - 700) / 7.0) as bigint) as up from orders""")
+def division_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotients rounded down and up, of negative numbers too."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") - 700).alias("n"))
+    return o.select("id", arithmetic.floor_div("n", 7).alias("down"), arithmetic.ceil_div("n", 7).alias("up"))

@@ -10,11 +10,6 @@ from voxelmill.queries import query
 from voxelmill.queries.views import NOTES, notes, read
 
 
-def _values(table: dict) -> str:
-    quoted = lambda x: "'" + x.replace("'", "''") + "'" if isinstance(x, str) else f"{x!r}::double"
-    return ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in table.items())
-
-
 _N = metadata_text.NUMBER
 _THREE, _ONE = f"^({'x'.join([_N] * 3)})(\\w*)\\.?$", f"^({_N})(\\w*)\\.?$"
 _LINE = "trim(regexp_extract(note, '(?:^|\\n){}: *([^\\n]*)', 1))"
@@ -57,39 +52,46 @@ _MEASURED = f"""u as (select {_UNITS!r} as names), measured as (select p_partkey
   names[p_partkey % {len(_UNITS)} + 1] as a, names[(p_partkey + p_size) % {len(_UNITS)} + 1] as b from part, u)"""
 
 
-@query(f"""with {_MEASURED}, scale(name, s) as (values {_values({u: units.SCALE[u] for u in _UNITS})})
+@query(f"""with {_MEASURED}, scale(name, s) as (values ('um', 1e-6), ('mm', 1e-3), ('cm', 1e-2), ('m', 1.0), ('km', 1e3), ('nm', 1e-9), ('in', 0.0254), ('ft', 0.3048),
+  ('micron', 1e-6), ('millimeter', 1e-3), ('s', 1.0), ('ms', 1e-3), ('h', 3600.0), ('day', 86400.0))
 select id, a as source, b as target, value * (x.s / y.s) as converted from measured join scale x on x.name = a join scale y on y.name = b""")
 def unit_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _measured(spark, sf_dir)
     return m.select("id", F.col("a").alias("source"), F.col("b").alias("target"), units.convert_col(F.col("value"), F.col("a"), F.col("b")).alias("converted"))
 
 
-_SYMBOLS = sorted({*units.NAME, *units.NAME.values(), "bogus", "micron"})
-_OME = {s: n for s in _SYMBOLS if (n := units.NAME.get(s, s)) in units.OME_UNITS}
-
-
-def _symbols(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in _SYMBOLS], "unit string")
+#: Symbols and names of units, with what SQL takes them for: OME name, header name, scale. Written out
+#: here, so that a wrong value in the library's own tables shows.
+_NAMED = """('um', 'micrometer', 'micron', 1e-6), ('mm', 'millimeter', 'mm', 1e-3), ('m', 'meter', 'meter', 1.0), ('cm', 'centimeter', 'unknown', 1e-2), ('km', 'kilometer', 'unknown', 1e3),
+('nm', 'nanometer', 'unknown', 1e-9), ('pm', 'picometer', 'unknown', 1e-12), ('fm', 'femtometer', 'unknown', 1e-15), ('am', 'attometer', 'unknown', 1e-18), ('Mm', 'megameter', 'unknown', 1e6),
+('Gm', 'gigameter', 'unknown', 1e9), ('Tm', 'terameter', 'unknown', 1e12), ('Ym', 'yottameter', 'unknown', 1e24), ('ym', 'yoctometer', 'unknown', 1e-24), ('hm', 'hectometer', 'unknown', 1e2),
+('dm', 'decimeter', 'unknown', 1e-1), ('μm', 'micrometer', 'micron', 1e-6), ('in', 'inch', 'unknown', 0.0254), ('ft', 'foot', 'unknown', 0.3048), ('yd', 'yard', 'unknown', 0.9144),
+('mi', 'mile', 'unknown', 1609.344), ('Å', 'angstrom', 'unknown', 1e-10), ('pc', 'parsec', 'unknown', 3.0857e16), ('s', 'second', 'sec', 1.0), ('ms', 'millisecond', 'msec', 1e-3),
+('us', 'microsecond', 'usec', 1e-6), ('ns', 'nanosecond', 'unknown', 1e-9), ('ks', 'kilosecond', 'unknown', 1e3), ('d', 'day', 'unknown', 86400.0), ('h', 'hour', 'unknown', 3600.0),
+('meter', 'meter', 'meter', 1.0), ('micrometer', 'micrometer', 'micron', 1e-6), ('millimeter', 'millimeter', 'mm', 1e-3), ('second', 'second', 'sec', 1.0), ('minute', 'minute', 'unknown', 60.0),
+('hour', 'hour', 'unknown', 3600.0), ('day', 'day', 'unknown', 86400.0), ('inch', 'inch', 'unknown', 0.0254), ('micron', null, null, 1e-6), ('year', null, null, 31557600.0), ('bogus', null, null, null)"""
+_SYMBOLS = [x.split("'")[1] for x in _NAMED.replace("\n", "").split("(")[1:]]
+_SYMBOL_SQL = f"known(unit, ome, nifti, scale) as (values {_NAMED}), asked as (select p_partkey as id, {_SYMBOLS!r}[p_partkey % {len(_SYMBOLS)} + 1] as unit from part)"
 
 
-def _symbols_sql() -> str:
-    return "symbols(unit) as (values " + ", ".join("('" + s.replace("'", "''") + "')" for s in _SYMBOLS) + ")"
+def _symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(*map(F.lit, _SYMBOLS))
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.get(names, F.pmod("p_partkey", F.lit(len(_SYMBOLS))).cast("int")).alias("unit"))
 
 
-@query(f"with {_symbols_sql()}, ome(unit, name) as (values {_values(_OME)}) select unit, name as ome from symbols left join ome using (unit)")
+@query(f"with {_SYMBOL_SQL} select id, unit, ome from asked join known using (unit)")
 def unit_to_ome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _symbols(spark).select("unit", units.ome_col(F.col("unit"), strict=False).alias("ome"))
+    return _symbols(spark, sf_dir).select("id", "unit", units.ome_col(F.col("unit"), strict=False).alias("ome"))
 
 
-@query(f"""with {_symbols_sql()}, ome(unit, name) as (values {_values(_OME)}), nii(name, code) as (values {_values(units.NIFTI)})
-select unit, case when name is not null then coalesce(code, 'unknown') end as nifti from symbols left join ome using (unit) left join nii using (name)""")
+@query(f"with {_SYMBOL_SQL} select id, unit, nifti from asked join known using (unit)")
 def unit_to_nifti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _symbols(spark).select("unit", units.nifti_col(F.col("unit"), strict=False).alias("nifti"))
+    return _symbols(spark, sf_dir).select("id", "unit", units.nifti_col(F.col("unit"), strict=False).alias("nifti"))
 
 
-@query(f"with {_symbols_sql()}, scale(unit, s) as (values {_values({s: units.SCALE[s] for s in _SYMBOLS if s in units.SCALE})}) select unit, s as scale from symbols left join scale using (unit)")
+@query(f"with {_SYMBOL_SQL} select id, unit, cast(scale as double) as scale from asked join known using (unit)")
 def unit_to_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _symbols(spark).select("unit", units.scale_col(F.col("unit"), strict=False).alias("scale"))
+    return _symbols(spark, sf_dir).select("id", "unit", units.scale_col(F.col("unit"), strict=False).alias("scale"))
 
 
 _CODES = ["RAS", "LPS", "PIR", "LI", "LP", "PI", "RA", "AS", "coronal", "axial", "sagittal", "SLA"]

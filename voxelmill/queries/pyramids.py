@@ -76,12 +76,12 @@ def mip_z(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {EVENTS}, t as (select t - (select min(t) from evt) as t, y, v from evt)
-select t // 2 as t, y, cast(trunc(sum(v) / 2) as bigint) as v from t where t < 700 group by 1, 2""")
+select t // 2 as t, y, cast(trunc(sum(v) / 2) as bigint) as v from t where t < (select max(t) + 1 from t) // 2 * 2 group by 1, 2""")
 def time_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours in pairs; an hour without events counts as zero."""
     plane = events_grid(spark, sf_dir)
-    t0 = plane.agg(F.min("t")).first()[0]
-    return pyramid.coarsened(plane.withColumn("t", F.col("t") - t0).where("t < 700"), {"t": 700}, "mean")
+    t0, t1 = plane.agg(F.min("t"), F.max("t")).first()
+    return pyramid.coarsened(plane.withColumn("t", F.col("t") - t0), {"t": int(t1 - t0) + 1}, "mean")
 
 
 _SIZES = "select p_partkey as id, p_partkey * 37 % 5000 + 1 as sz, p_size * 64 as sy, p_partkey % 3000 + 1 as sx from part"

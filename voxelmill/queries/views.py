@@ -81,15 +81,6 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-NAMES = """
-mos as (select o_orderkey as id, o_custkey as k, o_orderstatus as s,
-  format('{}_z{:02d}_y{:02d}{}', lower(o_orderstatus), o_orderkey % 17, o_custkey % 23, case when o_orderkey % 5 = 0 then '-x' else '_HR' end) as mosaic from orders),
-names as (select id, mosaic,
-  format('{}_y{:d}_z{:03d}{}', s, k % 23, id % 170, case when id % 3 = 0 then '_A' else '' end) as multi_slice,
-  format('{}_run{:d}_{}y{:02d}_z{:02d}_HR', lower(s), k % 4, case when id % 2 = 0 then '_' else '' end, k % 23, id % 17) as spool,
-  mosaic || format('_plane{:03d}_c{:d}.{}', id % 40, k % 4, case when id % 9 = 0 then 'png' else 'tiff' end) as plane from mos)"""
-
-
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata texts, made of parts: id, size, note."""
     p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size"), F.round("p_retailprice").cast("long").alias("price"))

@@ -1,7 +1,7 @@
 """Chunked arrays and multi-scale groups written from blocks.
 
 A file is a chunk or, with shards, many of them; each belongs to one task, which writes it beside and
-moves it into place, so tasks may be tried again. Metadata are written on the driver, attributes as a
+moves it into place, so tasks may be tried again. A shard is written chunk by chunk and may be of any size. Metadata are written on the driver, attributes as a
 whole document each time."""
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelmill.operators.grid import arrays
-from voxelmill.operators.pyramid import rechunked
+from voxelmill.operators.grid import BLOCKS, arrays, block_table
+from voxelmill.operators.pyramid import cut_pieces, rechunked
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.sources import files
 from voxelmill.sources.zarr import ABSENT, Layout, attributes, crc32c, detect, v2_dtype
@@ -36,6 +36,8 @@ def array_document(shape: Sequence[int], chunk: Sequence[int], shard: Sequence[i
         name = "gzip"
     default = {"gzip": {"level": 5}, "zstd": {"level": 5, "checksum": False}, "blosc": {"cname": "lz4", "clevel": 5, "shuffle": "shuffle", "typesize": np.dtype(dtype).itemsize, "blocksize": 0}}.get(name, {})
     codecs: list[dict] = [{"name": "bytes", "configuration": {"endian": "little"}}]
+    if o.order == "F" and len(shape) > 1:
+        codecs.insert(0, {"name": "transpose", "configuration": {"order": list(range(len(shape)))[::-1]}})
     if name != "none":
         codecs.append({"name": name, "configuration": default | options})
     if shard is not None:
@@ -87,28 +89,84 @@ def delete_child(path: str, name: str) -> None:
 
 
 def encoded(layout: Layout, a: np.ndarray) -> bytes | None:
-    """The file of a chunk or shard, None where it holds nothing but zeros."""
+    """The bytes of a chunk (of a shard, if there are any), None where it holds nothing but zeros."""
     if not a.any():
         return None
-    full = np.zeros(layout.chunk, layout.dtype)
+    full = np.zeros(layout.inner or layout.chunk, layout.dtype)
     full[tuple(slice(0, n) for n in a.shape)] = a
-    if layout.inner is None:
-        return layout.codec[0](full.tobytes(order=layout.order))
-    counts = [s // c for s, c in zip(layout.chunk, layout.inner, strict=True)]
-    table, out = np.full((*counts, 2), ABSENT, "<u8"), bytearray()
-    for cell in np.ndindex(*counts):
-        piece = full[tuple(slice(i * c, i * c + c) for i, c in zip(cell, layout.inner, strict=True))]
-        if piece.any():
-            data = layout.codec[0](np.ascontiguousarray(piece).tobytes())
-            table[cell] = len(out), len(data)
-            out += data
-    index = table.tobytes()
-    return bytes(out) + index + int(crc32c(index)).to_bytes(4, "little")
+    return layout.bytes_of(full)
+
+
+class _Shard:
+    """A shard being written: chunks in any order, then the index."""
+
+    def __init__(self, layout: Layout, index: Sequence[int]) -> None:
+        self.layout, self.out = layout, files.Stream(layout.file(index))
+        self.table = np.full((*(s // c for s, c in zip(layout.chunk, layout.inner or layout.chunk, strict=True)), 2), ABSENT, "<u8")
+
+    def put(self, cell: tuple[int, ...], a: np.ndarray) -> None:
+        data = encoded(self.layout, a)
+        if data is not None:
+            self.table[cell] = self.out.write(data), len(data)
+
+    def close(self) -> int | None:
+        """Its size, None if it held nothing."""
+        if not self.out.size:
+            self.out.drop()
+            return None
+        index = self.table.tobytes()
+        self.out.write(index + int(crc32c(index)).to_bytes(4, "little"))
+        self.out.close()
+        return self.out.size
+
+
+def _sharded(blocks: DataFrame, layout: Layout, dtype: str) -> DataFrame:
+    """Write blocks of any boxes as shards: n, the size of each. Blocks are cut at the chunks and shuffled
+    once, by shard; a task holds one chunk at a time."""
+    shape, chunk, many = layout.shape, layout.inner, [s // c for s, c in zip(layout.chunk, layout.inner, strict=True)]
+    ndim = len(shape)
+    keys = [f"s{d}" for d in range(ndim)]
+    path, document = layout.path, layout.document
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, pieces in cut_pieces(batches, shape, chunk):
+            t = block_table(pieces)
+            cells = [int(np.ravel_multi_index([i % m for i, m in zip(x, many, strict=True)], many)) for x in at]
+            t = pa.table([*(pa.array([x[d] // many[d] for x in at], pa.int64()) for d in range(ndim)), pa.array(cells, pa.int64()), *t.columns], [*keys, "cell", *t.schema.names])
+            yield from t.to_batches()
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Layout(path, *document)
+        shard = at = cell = held = None
+
+        def flush() -> None:
+            if held is not None:
+                shard.put(tuple(np.unravel_index(cell, many)), held)
+
+        for batch in batches:
+            sizes = []
+            where = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            for index, number, (origin, a) in zip(where, batch.column("cell").to_pylist(), arrays(batch), strict=True):
+                if (index, number) != (at, cell):
+                    flush()
+                    if index != at:
+                        if shard is not None:
+                            sizes.append(shard.close())
+                        shard, at = _Shard(own, index), index
+                    cell, held = number, np.zeros(chunk, dtype)
+                held[tuple(slice(o % c, o % c + n) for o, c, n in zip(origin, chunk, a.shape, strict=True))] = a
+            yield pa.RecordBatch.from_arrays([pa.array([n for n in sizes if n is not None], pa.int64())], ["n"])
+        flush()
+        if shard is not None and (last := shard.close()) is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64())], ["n"])
+
+    pieces = blocks.select("origin", "shape", "dtype", "data").mapInArrow(cut, ", ".join(f"{k} long" for k in [*keys, "cell"]) + f", {BLOCKS}")
+    return pieces.repartition(*keys).sortWithinPartitions(*keys, "cell", "origin").mapInArrow(store, "n long")
 
 
 def write_array(path: str, blocks: DataFrame, shape: Sequence[int], chunk: Sequence[int], shard: Sequence[int] | None, dtype: str, o: ArrayOptions, aligned: bool = False) -> dict:
-    """Write blocks of any boxes as an array; with ``aligned`` they are its files' boxes already, and
-    nothing is shuffled. Returns how many files and bytes were written."""
+    """Write blocks of any boxes as an array; with ``aligned`` they are its chunks' boxes already, and
+    without shards nothing is shuffled. Returns how many files and bytes were written."""
     doc = array_document(shape, chunk, shard, dtype, o)
     version = o.zarr_version
     files.make_dir(path)
@@ -125,8 +183,11 @@ def write_array(path: str, blocks: DataFrame, shape: Sequence[int], chunk: Seque
                     sizes.append(len(data))
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n"])
 
-    whole = blocks if aligned else rechunked(blocks, shape, cell, dtype)
-    n, total = whole.mapInArrow(store, "n long").agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if shard is not None:
+        stored = _sharded(blocks, Layout(path, version, doc), dtype)
+    else:
+        stored = (blocks if aligned else rechunked(blocks, shape, cell, dtype)).mapInArrow(store, "n long")
+    n, total = stored.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # the metadata come last: an array without them isn't there
     files.write(f"{path}/{'zarr.json' if version == 3 else '.zarray'}", _json(doc))
     return {"files": n, "bytes": total}

@@ -1,13 +1,14 @@
 """Spark data sources that yield boxes of voxels.
 
-A format says how large its array is and how it is cut into parts; each part becomes a partition that is
-read on an executor. ``.option("region", "0:4,:,10:20")`` leaves out parts that lie outside and crops
-the others; without it the whole array is read."""
+A format says how large its array is and how it is cut into parts; neighbouring parts become a partition of
+bounded size, which is read on an executor part by part. ``.option("region", "0:4,:,10:20")`` leaves out
+parts that lie outside and crops the others; without it the whole array is read."""
 
 from __future__ import annotations
 
 import importlib
 import importlib.util
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -34,8 +35,44 @@ class Part(InputPartition):
         super().__init__(self.origin)
 
 
+class Group(InputPartition):
+    """Parts ``first`` to ``last - 1``."""
+
+    def __init__(self, first: int, last: int) -> None:
+        self.first, self.last = first, last
+        super().__init__((first, last))
+
+
+#: Parts are grouped up to this size, but into no fewer partitions than the second number if there are as many.
+GROUP_BYTES, GROUPS = 128 << 20, 64
+Bounds = list[tuple[int, int]]
+
+
+class Cells(Sequence[Part]):
+    """The boxes of a regular grid that meet the bounds, made when they are asked for: a large array has
+    millions."""
+
+    def __init__(self, shape: Sequence[int], cell: Sequence[int], bounds: Bounds) -> None:
+        self.shape, self.cell = shape, cell
+        self.first = [lo // c for (lo, _), c in zip(bounds, cell, strict=True)]
+        self.counts = [max(0, -(-hi // c) - f) if hi > lo else 0 for (lo, hi), c, f in zip(bounds, cell, self.first, strict=True)]
+
+    def __len__(self) -> int:
+        return math.prod(self.counts)
+
+    def __getitem__(self, k):  # noqa: ANN001, ANN204
+        if not 0 <= k < len(self):
+            raise IndexError(k)
+        origin = []
+        for c, f, n in zip(reversed(self.cell), reversed(self.first), reversed(self.counts), strict=True):
+            origin.insert(0, (f + k % n) * c)
+            k //= n
+        return Part(origin, [min(c, s - o) for c, s, o in zip(self.cell, self.shape, origin, strict=True)])
+
+
 class Format:
-    """What a format brings: ``info`` from headers, ``parts``, and ``load`` of one part."""
+    """What a format brings: ``info`` from headers, ``parts``, and ``load`` of one part. One with very many
+    parts or with cheap access to some of a part has its own ``within`` and ``load_box``."""
 
     def __init__(self, path: str, options: dict[str, str]) -> None:
         self.path, self.options = path, options
@@ -49,8 +86,18 @@ class Format:
     def load(self, info: Info, part: Part) -> np.ndarray:
         raise NotImplementedError
 
+    def within(self, info: Info, bounds: Bounds) -> Sequence[Part]:
+        """The parts that meet the bounds."""
+        return [p for p in self.parts(info) if all(o < hi and o + n > lo for o, n, (lo, hi) in zip(p.origin, p.shape, bounds, strict=True))]
 
-def region(text: str | None, shape: Sequence[int]) -> list[tuple[int, int]]:
+    def load_box(self, info: Info, part: Part, bounds: Bounds) -> tuple[list[int], np.ndarray]:
+        """Origin and array of what of a part lies within the bounds."""
+        a = self.load(info, part)
+        cut = tuple(slice(max(lo - o, 0), min(hi - o, n)) for o, n, (lo, hi) in zip(part.origin, a.shape, bounds, strict=True))
+        return [o + c.start for o, c in zip(part.origin, cut, strict=True)], a[cut]
+
+
+def region(text: str | None, shape: Sequence[int]) -> Bounds:
     """``a:b`` for each axis, ``...`` for as many as are missing; no strides or single indices."""
     if not text:
         return [(0, n) for n in shape]
@@ -74,21 +121,19 @@ class _Reader(DataSourceReader):
         self.info = made.info()
         self.bounds = region(made.options.get("region"), self.info.shape)
 
-    def _inside(self, p: Part) -> bool:
-        return all(o < hi and o + n > lo for o, n, (lo, hi) in zip(p.origin, p.shape, self.bounds, strict=True))
-
     def partitions(self) -> Sequence[InputPartition]:
-        return [p for p in self.made.parts(self.info) if self._inside(p)] or [Part((), ())]
+        parts = self.made.within(self.info, self.bounds)
+        size = math.prod(parts[0].shape) * np.dtype(self.info.dtype).itemsize if len(parts) else 1
+        step = max(1, min(GROUP_BYTES // max(1, size), -(-len(parts) // GROUPS)))
+        return [Group(k, min(k + step, len(parts))) for k in range(0, len(parts), step)] or [Group(0, 0)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        assert isinstance(partition, Part)
-        if not partition.shape:
-            return
-        a = self.made.load(self.info, partition)
-        cut = tuple(slice(max(lo - o, 0), min(hi - o, n)) for o, n, (lo, hi) in zip(partition.origin, a.shape, self.bounds, strict=True))
-        origin = [o + c.start for o, c in zip(partition.origin, cut, strict=True)]
-        if a[cut].size:
-            yield from block_table([(origin, a[cut])]).to_batches()
+        assert isinstance(partition, Group)
+        parts = self.made.within(self.info, self.bounds) if partition.last else []
+        for k in range(partition.first, partition.last):
+            origin, a = self.made.load_box(self.info, parts[k], self.bounds)
+            if a.size:
+                yield from block_table([(origin, a)]).to_batches()
 
 
 class BlockSource(DataSource):
@@ -112,7 +157,7 @@ class BlockSource(DataSource):
 #: Formats by name, with the modules that they need beyond this package's own.
 FORMATS = {
     "spool": ("voxelmill.sources.spool", ()), "zarr": ("voxelmill.sources.zarr", ()), "mat": ("voxelmill.sources.mat", ()), "tiff": ("voxelmill.sources.tiff", ()),
-    "nifti": ("voxelmill.sources.nifti", ()), "jp2": ("voxelmill.sources.optional", ("glymur",)), "wkw": ("voxelmill.sources.optional", ("wkw",)),
+    "nifti": ("voxelmill.sources.nifti", ()), "jp2": ("voxelmill.sources.optional", ("glymur",)), "wkw": ("voxelmill.sources.wkw", ()),
 }
 
 

@@ -53,6 +53,30 @@ def write(path: str, data: bytes) -> None:
     f.move(part, p)
 
 
+class Stream:
+    """A file written piece by piece, beside its place until it is closed."""
+
+    def __init__(self, path: str) -> None:
+        self.fs, self.path = located(path)
+        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
+        self.part = f"{self.path}.{uuid.uuid4().hex}.part"
+        self.file, self.size = self.fs.open_output_stream(self.part), 0
+
+    def write(self, data: bytes) -> int:
+        """Returns where the piece begins."""
+        self.file.write(data)
+        self.size += len(data)
+        return self.size - len(data)
+
+    def close(self) -> None:
+        self.file.close()
+        self.fs.move(self.part, self.path)
+
+    def drop(self) -> None:
+        self.file.close()
+        self.fs.delete_file(self.part)
+
+
 def delete(path: str) -> None:
     f, p = located(path)
     kind = f.get_file_info(p).type

@@ -1,4 +1,4 @@
-"""Formats whose decoders are separate packages: JPEG 2000 (glymur) and WKW (wkw)."""
+"""JPEG 2000, whose decoder is a separate package (glymur)."""
 
 from __future__ import annotations
 
@@ -58,29 +58,3 @@ class Jp2Format(Format):
 
 class Jp2Source(BlockSource):
     kind, short = Jp2Format, "jp2"
-
-
-class WkwFormat(Format):
-    """Axes: slice, row, column of channel 0. Options: ``shape`` (x,y,z) of the volume; ``maxLoad``."""
-
-    def info(self) -> Info:
-        import wkw
-
-        with wkw.Dataset.open(self.path) as d:
-            x, y, z = (int(n) for n in self.options["shape"].split(","))
-            return Info((z, y, x), np.dtype(d.header.voxel_type).name)
-
-    def parts(self, info: Info) -> list[Part]:
-        step = int(self.options.get("maxLoad", 1024))
-        cells = np.ndindex(*(-(-n // step) for n in info.shape))
-        return [Part([i * step for i in c], [min(step, n - i * step) for i, n in zip(c, info.shape, strict=True)]) for c in cells]
-
-    def load(self, info: Info, part: Part) -> np.ndarray:
-        import wkw
-
-        with wkw.Dataset.open(self.path) as d:
-            return d.read(tuple(reversed(part.origin)), tuple(reversed(part.shape)))[0].transpose(2, 1, 0)
-
-
-class WkwSource(BlockSource):
-    kind, short = WkwFormat, "wkw"

@@ -1,4 +1,5 @@
-"""Baseline TIFF files: grey or multi-sample pages in strips, plain or deflated, also in 64-bit form."""
+"""TIFF files: grey or multi-sample pages in strips or tiles, also in 64-bit form; plain or compressed by
+deflate, LZW, PackBits or Zstandard, with or without differences of neighbours."""
 
 from __future__ import annotations
 
@@ -14,7 +15,9 @@ from voxelmill.sources.blocks import BlockSource, Format, Info, Part
 #: Fixed values of the format: bytes of a field type, tags, sample formats.
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
 CODES = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 13: "I", 16: "Q", 17: "q", 18: "Q"}
-WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 317, 339
+WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, PLANAR, PREDICTOR, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 284, 317, 339
+TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 322, 323, 324, 325
+NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE, ZSTD = 1, 5, 8, 32773, 32946, 50000
 KINDS = {1: "u", 2: "i", 3: "f"}
 
 
@@ -28,6 +31,7 @@ class Page:
     predictor: int
     offsets: tuple[int, ...]
     counts: tuple[int, ...]
+    cell: tuple[int, int]  # rows and columns of a strip or tile
 
     @property
     def shape(self) -> tuple[int, ...]:
@@ -61,20 +65,91 @@ def pages(path: str) -> list[Page]:
             tags[tag] = struct.unpack(f"{order}{n}{CODES[kind]}", value[:size])
         one = lambda t, d: tags.get(t, (d,))[0]  # noqa: E731, B023
         dtype = f"{order}{KINDS.get(one(FORMAT, 1), 'u')}{one(BITS, 8) // 8}"
-        if COMPRESSION in tags and one(COMPRESSION, 1) not in (1, 8, 32946):
-            raise ValueError(f"TIFF compression {one(COMPRESSION, 1)} isn't supported: {path}")
-        out.append(Page(one(HEIGHT, 0), one(WIDTH, 0), one(SAMPLES, 1), dtype, one(COMPRESSION, 1), one(PREDICTOR, 1), tags.get(OFFSETS, ()), tags.get(COUNTS, ())))
+        if one(COMPRESSION, NONE) not in (NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE, ZSTD):
+            raise ValueError(f"TIFF compression {one(COMPRESSION, NONE)} isn't supported: {path}")
+        if one(PREDICTOR, 1) not in (1, 2) or one(PLANAR, 1) != 1 and one(SAMPLES, 1) > 1 or one(BITS, 8) % 8:
+            raise ValueError(f"this layout of samples isn't supported: {path}")
+        height, columns = one(HEIGHT, 0), one(WIDTH, 0)
+        tiled = TILE_WIDTH in tags
+        cell = (one(TILE_HEIGHT, 0), one(TILE_WIDTH, 0)) if tiled else (min(one(ROWS, height), height), columns)
+        offsets, counts = (tags.get(t, ()) for t in ((TILE_OFFSETS, TILE_COUNTS) if tiled else (OFFSETS, COUNTS)))
+        out.append(Page(height, columns, one(SAMPLES, 1), dtype, one(COMPRESSION, NONE), one(PREDICTOR, 1), offsets, counts, cell))
         at = struct.unpack(f"{order}{'Q' if big else 'I'}", table[-room:])[0]
     return out
 
 
+def unpacked_bits(data: bytes) -> bytes:
+    """PackBits: a count, then so many bytes, or one byte so many times."""
+    out, at = bytearray(), 0
+    while at < len(data):
+        n = data[at]
+        if n < 128:
+            out += data[at + 1 : at + 2 + n]
+            at += n + 2
+        else:
+            if n > 128:
+                out += data[at + 1 : at + 2] * (257 - n)
+            at += 2
+    return bytes(out)
+
+
+CLEAR, END = 256, 257
+
+
+def unpacked_lzw(data: bytes) -> bytes:
+    """Codes of 9 to 12 bits, the highest bit first; codes grow one entry before the table is full."""
+    single = [bytes([k]) for k in range(256)] + [b"", b""]
+    table, out, last = list(single), [], b""
+    held = bits = 0
+    width = 9
+    for byte in data:
+        held = held << 8 | byte
+        bits += 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits
+        held &= (1 << bits) - 1
+        if code == END:
+            break
+        if code == CLEAR:
+            table, width, last = list(single), 9, b""
+            continue
+        if not last:
+            last = table[code]
+        else:
+            entry = table[code] if code < len(table) else last + last[:1]
+            table.append(last + entry[:1])
+            last = entry
+        out.append(last)
+        width = min(12, max(9, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
+def _zstd(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompressobj().decompress(data)
+
+
+DECODERS = {NONE: bytes, LZW: unpacked_lzw, DEFLATE: zlib.decompress, OLD_DEFLATE: zlib.decompress, PACKBITS: unpacked_bits, ZSTD: _zstd}
+
+
 def read_page(path: str, p: Page) -> np.ndarray:
-    strips = [files.read(path, o, n) for o, n in zip(p.offsets, p.counts, strict=True)]
-    data = b"".join(zlib.decompress(s) if p.compression != 1 else s for s in strips)
-    a = np.frombuffer(data, p.dtype, p.height * p.width * p.samples).reshape(p.shape)
-    if p.predictor == 2:
-        a = np.cumsum(a, axis=1, dtype=a.dtype)
-    return a.astype(a.dtype.newbyteorder("="))
+    out = np.zeros((p.height, p.width, p.samples), np.dtype(p.dtype).newbyteorder("="))
+    (h, w), across = p.cell, -(-p.width // p.cell[1])
+    first, last = (min(p.offsets), max(o + n for o, n in zip(p.offsets, p.counts, strict=True))) if p.offsets else (0, 0)
+    # strips that lie next to one another are read at once
+    near = files.read(path, first, last - first) if last - first <= 2 * sum(p.counts) else None
+    for k, (o, n) in enumerate(zip(p.offsets, p.counts, strict=True)):
+        y, x = k // across * h, k % across * w
+        rows = h if p.cell[1] != p.width else min(h, p.height - y)
+        data = DECODERS[p.compression](files.read(path, o, n) if near is None else near[o - first : o - first + n])
+        a = np.frombuffer(data, p.dtype, rows * w * p.samples).reshape(rows, w, p.samples).astype(out.dtype)
+        if p.predictor == 2:
+            a = np.cumsum(a, axis=1, dtype=a.dtype)
+        out[y : y + rows, x : x + w] = a[: p.height - y, : p.width - x]
+    return out.reshape(p.shape)
 
 
 class TiffFormat(Format):
@@ -99,18 +174,105 @@ class TiffSource(BlockSource):
     kind, short = TiffFormat, "tiff"
 
 
-def write_tiff(path: str, stack: np.ndarray) -> None:
-    """Pages (page, row, column) of a numeric array, uncompressed."""
+def packed_bits(data: bytes) -> bytes:
+    """Runs of three bytes and more are counted, the rest is copied."""
+    out, at = bytearray(), 0
+    while at < len(data):
+        n = 1
+        while n < 128 and data[at + n : at + n + 1] == data[at : at + 1]:
+            n += 1
+        if n > 2:
+            out += bytes([257 - n]) + data[at : at + 1]
+            at += n
+            continue
+        stop = at + n
+        while stop < len(data) and stop - at < 128 and not (data[stop] == data[stop - 1] == data[stop - 2]):
+            stop += 1
+        out += bytes([stop - at - 1]) + data[at:stop]
+        at = stop
+    return bytes(out)
+
+
+def packed_lzw(data: bytes) -> bytes:
+    held, bits, out = 0, 0, bytearray()
+
+    def put(code: int, width: int) -> None:
+        nonlocal held, bits
+        held, bits = held << width | code, bits + width
+        while bits >= 8:
+            bits -= 8
+            out.append(held >> bits)
+            held &= (1 << bits) - 1
+
+    fresh = {bytes([k]): k for k in range(256)}
+    table, width, last = dict(fresh), 9, b""
+    put(CLEAR, 9)
+    for k in range(len(data)):
+        more = last + data[k : k + 1]
+        if more in table:
+            last = more
+            continue
+        put(table[last], width)
+        table[more] = len(table) + 2
+        width = (len(table) + 2).bit_length()
+        if len(table) + 2 >= 4094:
+            put(CLEAR, 12)
+            table, width = dict(fresh), 9
+        last = data[k : k + 1]
+    if last:
+        put(table[last], width)
+        width = min(12, (len(table) + 3).bit_length())
+    put(END, width)
+    put(0, -bits % 8)
+    return bytes(out)
+
+
+def _zstd_packed(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor().compress(data)
+
+
+ENCODERS = {NONE: bytes, LZW: packed_lzw, DEFLATE: zlib.compress, PACKBITS: packed_bits, ZSTD: _zstd_packed}
+
+
+def write_tiff(path: str, stack: np.ndarray, compression: int = NONE, predictor: int = 1, cell: tuple[int, int] | None = None) -> None:
+    """Pages (page, row, column) of a numeric array, in strips of so many rows, or in tiles if a cell isn't as
+    wide as the page."""
     stack = stack[None] if stack.ndim == 2 else stack
     kind = {"u": 1, "i": 2, "f": 3}[stack.dtype.kind]
     data = stack.astype(stack.dtype.newbyteorder("<"))
-    size = data[0].nbytes
-    entries = 8
+    (height, width), (h, w) = stack.shape[1:], cell or stack.shape[1:]
+    tiled = w != width
     out = bytearray(struct.pack("<2sHI", b"II", 42, 8))
     for k, page in enumerate(data):
+        pieces = []
+        for y in range(0, height, h):
+            for x in range(0, width, w):
+                a = page[y : y + h, x : x + w]
+                if tiled:
+                    a = np.pad(a, ((0, h - a.shape[0]), (0, w - a.shape[1])))
+                if predictor == 2:
+                    a = np.diff(a, axis=1, prepend=a.dtype.type(0))
+                pieces.append(ENCODERS[compression](a.astype(data.dtype).tobytes()))
+        n = len(pieces)
+        where, counts = (TILE_OFFSETS, TILE_COUNTS) if tiled else (OFFSETS, COUNTS)
+        size = [(TILE_WIDTH, 4, w), (TILE_HEIGHT, 4, h)] if tiled else [(ROWS, 4, h)]
+        tags = [(WIDTH, 4, width), (HEIGHT, 4, height), (BITS, 3, page.itemsize * 8), (COMPRESSION, 3, compression), (PREDICTOR, 3, predictor), (FORMAT, 3, kind), *size, (where, 4, None), (counts, 4, None)]
         at = len(out)
-        body = at + 2 + entries * 12 + 4
-        tags = [(WIDTH, 4, page.shape[1]), (HEIGHT, 4, page.shape[0]), (BITS, 3, page.itemsize * 8), (COMPRESSION, 3, 1), (OFFSETS, 4, body), (ROWS, 4, page.shape[0]), (COUNTS, 4, size), (FORMAT, 3, kind)]
-        out += struct.pack("<H", entries) + b"".join(struct.pack("<HHII", t, c, 1, v) for t, c, v in tags)
-        out += struct.pack("<I", body + size if k + 1 < len(data) else 0) + page.tobytes()
+        lists = at + 2 + len(tags) * 12 + 4
+        body = lists + (8 * n if n > 1 else 0)
+        starts = [body + sum(map(len, pieces[:j])) for j in range(n)]
+        values = {where: starts, counts: [len(x) for x in pieces]}
+        places = {where: lists, counts: lists + 4 * n}
+        out += struct.pack("<H", len(tags))
+        for t, c, v in sorted(tags):
+            out += struct.pack("<HHII", t, c, 1 if v is not None else n, v if v is not None else places[t] if n > 1 else values[t][0])
+        stop = starts[-1] + len(pieces[-1])
+        stop += stop % 2
+        out += struct.pack("<I", stop if k + 1 < len(data) else 0)
+        if n > 1:
+            out += struct.pack(f"<{2 * n}I", *starts, *values[counts])
+        out += b"".join(pieces)
+        out += b"\0" * (stop - len(out))
     files.write(path, bytes(out))

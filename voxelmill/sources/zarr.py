@@ -5,16 +5,18 @@ from __future__ import annotations
 import bz2
 import gzip
 import importlib.util
+import itertools
 import json
+import math
 import struct
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
 
 from voxelmill.sources import files
-from voxelmill.sources.blocks import BlockSource, Format, Info, Part
+from voxelmill.sources.blocks import Bounds, BlockSource, Cells, Format, Info, Part
 
 Codec = tuple[Callable[[bytes], bytes], Callable[[bytes], bytes]]
 ABSENT = (1 << 64) - 1
@@ -106,11 +108,12 @@ class Layout:
     """Where an array's chunks are and how they are encoded."""
 
     def __init__(self, path: str, version: int, doc: dict[str, Any]) -> None:
-        self.path, self.version = path, version
+        self.path, self.version, self.document = path, version, (version, doc)
         self.shape = tuple(doc["shape"])
         self.fill = doc.get("fill_value") or 0
         self.order = "C"
         self.inner: tuple[int, ...] | None = None
+        self.turned: tuple[int, ...] | None = None
         if version == 2:
             self.dtype, self.chunk, self.order = np.dtype(doc["dtype"]), tuple(doc["chunks"]), doc.get("order", "C")
             c = doc.get("compressor")
@@ -120,11 +123,13 @@ class Layout:
         self.dtype, self.chunk = np.dtype(doc["data_type"]), tuple(doc["chunk_grid"]["configuration"]["chunk_shape"])
         key = doc["chunk_key_encoding"]
         self.prefix, self.separator = key["name"] == "default", key.get("configuration", {}).get("separator", "/" if key["name"] == "default" else ".")
-        codecs = doc["codecs"]
+        codecs = list(doc["codecs"])
         if codecs[0]["name"] == "sharding_indexed":
             inner = codecs[0]["configuration"]
-            self.inner, codecs = tuple(inner["chunk_shape"]), inner["codecs"]
+            self.inner, codecs = tuple(inner["chunk_shape"]), list(inner["codecs"])
             self.index_first = inner.get("index_location", "end") == "start"
+        # an array whose first axis runs fastest is stored as its transpose
+        self.turned = tuple(codecs.pop(0)["configuration"]["order"]) if codecs[0]["name"] == "transpose" else None
         self.big = any(c["name"] == "bytes" and c.get("configuration", {}).get("endian") == "big" for c in codecs)
         self.dtype = self.dtype.newbyteorder(">") if self.big else self.dtype
         rest = [c for c in codecs if c["name"] not in ("bytes", "crc32c")]
@@ -138,31 +143,70 @@ class Layout:
             parts = f"c{self.separator}{parts}"
         return f"{self.path}/{parts}"
 
+    def bytes_of(self, a: np.ndarray) -> bytes:
+        """An encoded chunk."""
+        return self.codec[0](a.tobytes(order=self.order) if self.turned is None else np.ascontiguousarray(a.transpose(self.turned)).tobytes())
+
     def _decoded(self, data: bytes, shape: Sequence[int]) -> np.ndarray:
-        return np.frombuffer(self.codec[1](data), self.dtype).reshape(shape, order=self.order).astype(self.dtype.newbyteorder("="))
+        flat = np.frombuffer(self.codec[1](data), self.dtype)
+        a = flat.reshape(shape, order=self.order) if self.turned is None else flat.reshape([shape[k] for k in self.turned]).transpose(np.argsort(self.turned))
+        return a.astype(self.dtype.newbyteorder("="))
+
+    def index_of(self, name: str) -> np.ndarray:
+        """Offset and size of every chunk of a shard."""
+        counts = [s // c for s, c in zip(self.chunk, self.inner or self.chunk, strict=True)]
+        length = 16 * math.prod(counts) + 4
+        raw = files.read(name, 0 if self.index_first else files.length(name) - length, length)
+        if struct.unpack("<I", raw[-4:])[0] != crc32c(raw[:-4]):
+            raise ValueError(f"the index of {name} is damaged")
+        return np.frombuffer(raw[:-4], "<u8").reshape(*counts, 2)
+
+    def read(self, bounds: Bounds) -> np.ndarray:
+        """A box, the fill value where nothing is stored. Of a chunk the whole file is read, of a shard its
+        index and the chunks that meet the box."""
+        out = np.full([hi - lo for lo, hi in bounds], self.fill, self.dtype.newbyteorder("="))
+        if not out.size:
+            return out
+
+        def put(origin: Sequence[int], a: np.ndarray) -> None:
+            lo = [max(o, x) for o, (x, _) in zip(origin, bounds, strict=True)]
+            hi = [min(o + n, y) for o, n, (_, y) in zip(origin, a.shape, bounds, strict=True)]
+            out[tuple(slice(x - b, y - b) for x, y, (b, _) in zip(lo, hi, bounds, strict=True))] = a[tuple(slice(x - o, y - o) for x, y, o in zip(lo, hi, origin, strict=True))]
+
+        for index in _meeting(bounds, self.chunk):
+            name, corner = self.file(index), [i * c for i, c in zip(index, self.chunk, strict=True)]
+            if not files.exists(name):
+                continue
+            if self.inner is None:
+                put(corner, self._decoded(files.read(name), self.chunk))
+                continue
+            table = self.index_of(name)
+            inside = [(max(lo - o, 0), min(hi - o, c)) for (lo, hi), o, c in zip(bounds, corner, self.chunk, strict=True)]
+            for cell in _meeting(inside, self.inner):
+                at, n = (int(x) for x in table[cell])
+                if at != ABSENT:
+                    put([o + i * c for o, i, c in zip(corner, cell, self.inner, strict=True)], self._decoded(files.read(name, at, n), self.inner))
+        return out
 
     def load(self, index: Sequence[int]) -> np.ndarray:
-        """A whole chunk or shard, clipped to the array; the fill value where nothing is stored."""
-        size = [min(c, s - i * c) for i, c, s in zip(index, self.chunk, self.shape, strict=True)]
-        clip = tuple(slice(0, n) for n in size)
-        name = self.file(index)
-        if not files.exists(name):
-            return np.full(size, self.fill, self.dtype.newbyteorder("="))
-        data = files.read(name)
+        """A whole chunk or shard, clipped to the array."""
+        return self.read([(i * c, min(i * c + c, s)) for i, c, s in zip(index, self.chunk, self.shape, strict=True)])
+
+    def part(self, most: int = 128 << 20) -> list[int]:
+        """The boxes to read at once: chunks or shards, or of a shard that is too large as many of its chunks
+        as are no larger than ``most`` bytes and divide it evenly."""
         if self.inner is None:
-            return self._decoded(data, self.chunk)[clip]
-        out = np.full(self.chunk, self.fill, self.dtype.newbyteorder("="))
-        counts = [s // c for s, c in zip(self.chunk, self.inner, strict=True)]
-        length = 16 * int(np.prod(counts)) + 4
-        raw = data[:length] if self.index_first else data[-length:]
-        table = np.frombuffer(raw[:-4], "<u8").reshape(*counts, 2)
-        if struct.unpack("<I", raw[-4:])[0] != crc32c(raw[:-4]):
-            raise ValueError(f"the index of {name} is damaged")
-        for cell in np.ndindex(*counts):
-            at, n = (int(x) for x in table[cell])
-            if at != ABSENT:
-                out[tuple(slice(i * c, i * c + c) for i, c in zip(cell, self.inner, strict=True))] = self._decoded(data[at : at + n], self.inner)
-        return out[clip]
+            return list(self.chunk)
+        many = [s // c for s, c in zip(self.chunk, self.inner, strict=True)]
+        while math.prod(many) > 1 and math.prod(many) * math.prod(self.inner) * self.dtype.itemsize > most:
+            k = max(range(len(many)), key=lambda k: many[k])
+            many[k] = max(d for d in range(1, many[k]) if many[k] % d == 0)
+        return [n * c for n, c in zip(many, self.inner, strict=True)]
+
+
+def _meeting(bounds: Bounds, cell: Sequence[int]) -> Iterator[tuple[int, ...]]:
+    """Cells of a grid that meet a box."""
+    return itertools.product(*(range(lo // c, -(-hi // c)) for (lo, hi), c in zip(bounds, cell, strict=True)))
 
 
 def opened(path: str) -> Layout:
@@ -180,15 +224,23 @@ class ZarrFormat(Format):
 
     def info(self) -> Info:
         a = opened(self._path())
-        return Info(a.shape, a.dtype.newbyteorder("=").name, {"chunk": a.inner or a.chunk, "cell": a.chunk})
+        return Info(a.shape, a.dtype.newbyteorder("=").name, {"chunk": a.inner or a.chunk, "cell": a.part(), "layout": a.document})
+
+    def _layout(self, info: Info) -> Layout:
+        return Layout(self._path(), *info.extra["layout"])
 
-    def parts(self, info: Info) -> list[Part]:
-        cell = info.extra["cell"]
-        cells = np.ndindex(*(-(-s // c) for s, c in zip(info.shape, cell, strict=True)))
-        return [Part([i * c for i, c in zip(x, cell, strict=True)], [min(c, s - i * c) for i, c, s in zip(x, cell, info.shape, strict=True)], index=x) for x in cells]
+    def parts(self, info: Info) -> Sequence[Part]:
+        return self.within(info, [(0, n) for n in info.shape])
+
+    def within(self, info: Info, bounds: Bounds) -> Sequence[Part]:
+        return Cells(info.shape, info.extra["cell"], bounds)
 
     def load(self, info: Info, part: Part) -> np.ndarray:
-        return opened(self._path()).load(part.what["index"])
+        return self.load_box(info, part, [(0, n) for n in info.shape])[1]
+
+    def load_box(self, info: Info, part: Part, bounds: Bounds) -> tuple[list[int], np.ndarray]:
+        box = [(max(o, lo), min(o + n, hi)) for o, n, (lo, hi) in zip(part.origin, part.shape, bounds, strict=True)]
+        return [lo for lo, _ in box], self._layout(info).read(box)
 
 
 class ZarrSource(BlockSource):
