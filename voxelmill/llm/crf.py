@@ -17,11 +17,6 @@ def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, np.array([len(s) for s in seqs])
 
 
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
-
-
 @dataclass
 class Crf:
     """``weights``: features x tags; ``moves``: tag to tag; ``begin``: first tag."""
@@ -51,23 +46,26 @@ class Crf:
         steps = live[:, 1:, None, None]
         pairs = (one[:, :-1, :, None] * one[:, 1:, None, :] * steps).sum((0, 1))
         sums = [np.full_like(p, 1e-6) for p in (m.weights, m.moves, m.begin)]
+        flat = np.where(x < 0, features, x)[live]
         for _ in range(epochs):
-            e = m._emissions(x)
-            fore, back = np.zeros((b, t, n_tags)), np.zeros((b, t, n_tags))
-            fore[:, 0] = m.begin + e[:, 0]
-            for i in range(1, t):
-                step = e[:, i] + _logsum(fore[:, i - 1, :, None] + m.moves, 1)
-                fore[:, i] = np.where(live[:, i, None], step, fore[:, i - 1])
-            for i in range(t - 2, -1, -1):
-                step = _logsum(m.moves + (e[:, i + 1] + back[:, i + 1])[:, None, :], 2)
-                back[:, i] = np.where(live[:, i + 1, None], step, 0)
-            total = _logsum(fore[:, -1], 1)
-            node = np.exp(fore + back - total[:, None, None]) * live[..., None]
-            edge = np.exp(fore[:, :-1, :, None] + m.moves + (e[:, 1:] + back[:, 1:])[:, :, None, :] - total[:, None, None, None]) * steps
-            diff = one - node
-            grad = np.zeros((features + 1, n_tags))
-            np.add.at(grad, x.ravel(), np.repeat(diff.reshape(-1, n_tags), x.shape[2], 0))
-            for p, g, s in zip((m.weights, m.moves, m.begin), (grad[:-1], pairs - edge.sum((0, 1)), diff[:, 0].sum(0)), sums, strict=True):
+            # forward and backward in probabilities, scaled at every step
+            e = np.ones((b, t, n_tags))
+            own = m._emissions(x[live][None])[0]
+            e[live] = np.exp(own - own.max(1, keepdims=True))
+            move = np.exp(m.moves)
+            fore, back, scale = np.zeros((b, t, n_tags)), np.ones((b, t, n_tags)), np.ones((b, t, 1))
+            for i in range(t):
+                step = (fore[:, i - 1] @ move if i else np.exp(m.begin)) * e[:, i]
+                scale[:, i] = step.sum(1, keepdims=True)
+                fore[:, i] = np.where(live[:, i, None], step / scale[:, i], fore[:, i - 1] if i else 0)
+            after = np.zeros((b, t, n_tags))
+            for i in range(t - 1, 0, -1):
+                after[:, i] = e[:, i] * back[:, i] / scale[:, i] * live[:, i, None]
+                back[:, i - 1] = np.where(live[:, i, None], after[:, i] @ move.T, 1)
+            edge = move * (fore[:, :-1].reshape(-1, n_tags).T @ after[:, 1:].reshape(-1, n_tags))
+            diff = one - fore * back * live[..., None]
+            grad = np.stack([np.bincount(flat.ravel(), np.repeat(diff[live][:, k], flat.shape[1]), features + 1) for k in range(n_tags)], 1)
+            for p, g, s in zip((m.weights, m.moves, m.begin), (grad[:-1], pairs - edge, diff[:, 0].sum(0)), sums, strict=True):
                 g = g / b - decay * p
                 s += g * g
                 p += rate * g / np.sqrt(s)
