@@ -41,16 +41,18 @@ def bitmap(wanted: DataFrame, key: str) -> Bitmap:
 def filtered(rows: DataFrame, key: str, shared: Bitmap, inside: bool = True) -> DataFrame:
     """Rows whose key may be in the bitmap's column, or those whose key can't be. The more keys a bitmap
     holds, the fewer rows it tells apart, but no row is lost: a join of the first part must follow."""
-    data = shared.data
+    data, bit = shared.data, "_bit"
+    while bit in rows.columns:
+        bit += "_"
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(data.value, np.uint8)
         for batch in batches:
-            at = batch.column("_bit").to_numpy()
+            at = batch.column(bit).to_numpy()
             yield batch.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) == inside))
 
-    marked = rows.withColumn("_bit", _bit(key, shared.bits))
-    return marked.mapInArrow(keep, marked.schema).drop("_bit")
+    marked = rows.withColumn(bit, _bit(key, shared.bits))
+    return marked.mapInArrow(keep, marked.schema).drop(bit)
 
 
 def only_of(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
