@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelmill.llm import decontam, exact, minhash, packing, toxicity
+from voxelmill.llm.bitmap import bitmap, filtered
 from voxelmill.llm.storage import freeing, materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -33,15 +34,17 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 def kept_once(docs: DataFrame, key: str, judged: DataFrame) -> DataFrame:
     """Rows of ``docs`` that ``judged`` (key, kept: one row per row) keeps. Rows that share a key are
-    interchangeable: one of them stays if any is kept. Spark broadcasts the keys only if their written
-    size allows it."""
+    interchangeable: one of them stays if any is kept. Texts of rows that a bitmap of the other keys tells
+    apart aren't shuffled."""
     some = materialise(judged.groupBy(key).agg(F.max("kept").alias("stays"), F.min("kept").alias("all_stay")).where(~F.col("all_stay")))
-    rows = docs.join(some.where("not stays").select(key), key, "left_anti")
+    shared = bitmap(some, key)
+    sure, rows = filtered(docs, key, shared, inside=False), filtered(docs, key, shared)
+    rows = rows.join(some.where("not stays").select(key), key, "left_anti")
     repeated = some.where("stays").select(key)
     if not repeated.isEmpty():
         once = rows.join(repeated, key, "left_semi").dropDuplicates([key])
         rows = rows.join(repeated, key, "left_anti").unionByName(once)
-    return rows.drop(key)
+    return sure.unionByName(rows).drop(key)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +70,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents that hold a benchmark question go."""
     rows, key = keyed(docs)
     judged = decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=key)
-    return rows.join(materialise(judged.where("contaminated").select(key).distinct()), key, "left_anti").drop(key)
+    return kept_once(rows, key, judged.select(key, (~F.col("contaminated")).alias("kept")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
