@@ -33,7 +33,7 @@ from voxelmill.llm.suffix import repeated
 from voxelmill.llm.text import U, by_size, flat, mix, prefix_hash, signed, span_hash
 
 DEPTH, ANCHOR, CROWD = 200, 50, 2048
-PART, BLOCK = 1 << 19, 1 << 19
+PART, BLOCK = 1 << 18, 1 << 18
 _PLACE = U(31)
 
 
