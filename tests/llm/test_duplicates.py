@@ -267,9 +267,22 @@ def without_repeats(texts, depth):
     return out
 
 
-@pytest.mark.parametrize("crowd", [2048, 3])
-def test_passages_like_brute_force(spark, monkeypatch, crowd):
+@pytest.mark.parametrize("most", [400, 1000, 4096])
+def test_anchors_of_pieces_are_those_of_the_whole(most):
+    for text in (data.prose(1, 700), "x" * 3000, "ab" * 900 + data.prose(2, 300) + "\0" * 800, "é" * 1500):
+        buf = np.frombuffer(text.encode(), np.uint8)
+        offsets = np.array([0, len(buf)])
+        want = passages.anchors(buf, offsets)
+        got = [np.concatenate(x) for x in zip(*passages.in_pieces(buf, offsets, 200, most))]
+        assert len(want[0]) > 5
+        for a, b in zip(got, want):
+            assert a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("crowd, hot", [(2048, 1000), (3, 1), (2048, 1e9)])
+def test_passages_like_brute_force(spark, monkeypatch, crowd, hot):
     monkeypatch.setattr(passages, "CROWD", crowd)
+    monkeypatch.setattr(passages, "HOT", hot)
     r = random.Random(2)
     shared = [data.prose(900 + k, n) for k, n in enumerate((40, 60, 200))]
     texts = [None, "", "x" * 700, "é" * 300, data.prose(1, 300) + data.prose(1, 300)]

@@ -13,7 +13,8 @@ isn't sorted in one block: the hashes of its windows are counted instead, with a
 shuffle, which is exact for it. Copies are counted, not gathered, so no task holds a hot passage.
 
 Rows are known by id and text hash: rows equal in both are interchangeable. A null text is empty. A text
-below 200 bytes keeps all its bytes; a very long one is a part of its own. Matches never cross texts. Strings
+below 200 bytes keeps all its bytes; a very long one is searched for anchors in pieces that share a whole
+context, so memory doesn't grow with its length there. Matches never cross texts. Strings
 that tie for the least hash name the leftmost of them, in every window alike. An empty table gives no rows.
 Only the id and the text are read, whatever other columns are named.
 """
@@ -33,6 +34,8 @@ from voxelmill.llm.suffix import repeated
 from voxelmill.llm.text import U, by_size, flat, mix, prefix_hash, signed, span_hash
 
 DEPTH, ANCHOR, CROWD = 200, 50, 2048
+#: A context with more than this part of all rows is joined by broadcast: there are at most so many.
+HOT = 1000
 PART, BLOCK = 1 << 18, 1 << 18
 _PLACE = U(31)
 
@@ -70,6 +73,18 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, depth: int = DEPTH, size: int
     return h[place[first]], context, np.searchsorted(offsets, first, "right") - 1, first, last
 
 
+def in_pieces(buf: np.ndarray, offsets: np.ndarray, depth: int, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``anchors`` of a buffer; one long text is taken in pieces of ``most`` bytes. The last anchor of a
+    piece may go on, so the next piece begins at its first window."""
+    at = 0
+    while len(offsets) == 2 and len(buf) - at > most:
+        h, context, doc, first, last = anchors(buf[at : at + most], np.array([0, most]), depth)
+        yield h[:-1], context[:-1], doc[:-1], first[:-1] + at, last[:-1] + at
+        at += int(first[-1])
+    h, context, doc, first, last = anchors(buf[at:], np.append(offsets[:1], offsets[1:] - at), depth)
+    yield h, context, doc, first + at, last + at
+
+
 def anchor_rows(docs: DataFrame, depth: int) -> DataFrame:
     """h, c, _id, _text_hash, first, last: one row per anchor of a text."""
     kind = docs.schema["_id"].dataType.simpleString()
@@ -78,13 +93,13 @@ def anchor_rows(docs: DataFrame, depth: int) -> DataFrame:
         for whole in batches:
             for batch in by_size(whole, "_text", PART):
                 buf, offsets = flat(batch.column("_text"))
-                h, c, doc, first, last = anchors(buf, offsets, depth)
-                owner = pa.array(doc)
-                base = offsets[doc]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(h)), pa.array(signed(c)), batch.column("_id").take(owner), batch.column("_text_hash").take(owner), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
-                    ["h", "c", "_id", "_text_hash", "first", "last"],
-                )
+                for h, c, doc, first, last in in_pieces(buf, offsets, depth, PART):
+                    owner = pa.array(doc)
+                    base = offsets[doc]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(h)), pa.array(signed(c)), batch.column("_id").take(owner), batch.column("_text_hash").take(owner), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
+                        ["h", "c", "_id", "_text_hash", "first", "last"],
+                    )
 
     return docs.mapInArrow(find, f"h long, c long, _id {kind}, _text_hash long, first int, last int")
 
@@ -208,13 +223,20 @@ def spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """_id, _text_hash, span (start << 32 | end), overlapping ones too, of docs (_id, _text, _text_hash)."""
     found = materialise(anchor_rows(docs, depth))
     twice = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
-    rows = materialise(only_of(found, "h", twice).join(twice, "h"))
+    rows = materialise(only_of(found, "h", twice).join(twice, "h", "left_semi"))
     context = rows.groupBy("h", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min("_text_hash").alias("_text_hash"), F.min_by("_id", "_text_hash").alias("_id"),
         F.min_by("first", "_text_hash").alias("first"), F.min_by("last", "_text_hash").alias("last"),
     )
     context = materialise(context)
-    whole = rows.join(context.where("n > 1").select("h", "c"), ["h", "c"])
+    # rows of a hot context aren't dealt out by it
+    often = context.where("n > 1")
+    hot = often.where(F.col("n") > rows.count() / HOT).select("h", "c")
+    if hot.isEmpty():
+        whole = rows.join(often.select("h", "c"), ["h", "c"])
+    else:
+        rest = rows.join(F.broadcast(hot), ["h", "c"], "left_anti")
+        whole = rows.join(F.broadcast(hot), ["h", "c"], "left_semi").unionByName(rest.join(often.select("h", "c"), ["h", "c"]))
     span = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("last").cast("long") + depth).alias("span")
     full = whole.select("_id", "_text_hash", span)
     mixed = context.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")

@@ -35,12 +35,14 @@ def two_stage(texts: list[bytes], starts: list[int], depth: int) -> tuple[np.nda
     np.add.at(edge, stop + 1, -1)
     active = np.cumsum(edge[:-1]) > 0
     direct = np.flatnonzero(active & small)
-    ends = (base + sizes - 1)[np.searchsorted(base, direct, "right") - 1]
-    keys = [joined[a:b] for a, b in zip(direct.tolist(), np.minimum(ends, direct + depth).tolist(), strict=True)]
-    direct = direct[np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)] if keys else direct
     # an end mark sorts before a zero byte: both have an empty key or none, so symbols decide first
     direct = direct[np.argsort(t[direct], kind="stable")]
     cuts = np.searchsorted(t[direct], np.arange(258))
+    ends = np.minimum((base + sizes - 1)[np.searchsorted(base, direct, "right") - 1], direct + depth)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        # keys of one bucket at a time
+        keys = [joined[x:y] for x, y in zip(direct[a:b].tolist(), ends[a:b].tolist(), strict=True)]
+        direct[a:b] = direct[a:b][np.array(sorted(range(b - a), key=keys.__getitem__), np.int64)]
     large = active & ~small
     waiting: list[list[np.ndarray]] = [[] for _ in range(258)]
     order: list[np.ndarray] = []
