@@ -79,6 +79,13 @@ def centred_col(matrix: Column, shape: Column) -> Column:
     return F.concat(F.transform(F.slice(matrix, 1, 3), move), F.slice(matrix, 4, 1))
 
 
+def chosen_col(loaded: Column, code: Column, voxel_size: Column, shape: Column, center: Column) -> Column:
+    """``chosen`` for columns: ``loaded`` is null where there is no matrix, ``code`` is normalised."""
+    made = affine_col(F.coalesce(code, F.lit("RAS")), voxel_size)
+    stands = loaded.isNotNull() & (code.isNull() | (code == "RAS")) & ~center
+    return F.when(stands, loaded).when(center, centred_col(made, shape)).otherwise(made)
+
+
 def world_col(matrix: Column, point: Column) -> Column:
     """Where a voxel (array of three coordinates) is."""
     with_one = F.concat(point.cast("array<double>"), F.array(F.lit(1.0)))

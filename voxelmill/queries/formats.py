@@ -79,7 +79,7 @@ def zarr_first_axis_fastest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.unpack(opened(spark, "zarr", path)[0], "int32")
 
 
-def _one_file(spark: SparkSession, sf_dir: str, write: Callable[[str, np.ndarray], None]) -> str:
+def one_file(spark: SparkSession, sf_dir: str, write: Callable[[str, np.ndarray], None]) -> str:
     """The volume as one file, put together by one task, as its format wants it."""
     path, size = scratch(spark), list(shape(spark, sf_dir).values())
 
@@ -95,14 +95,14 @@ def _one_file(spark: SparkSession, sf_dir: str, write: Callable[[str, np.ndarray
 
 @query(f"with {VOLUME} select z, y, x, v from vol")
 def nifti_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _one_file(spark, sf_dir, lambda p, a: nifti.write_nifti(f"{p}/v.nii.gz", a))
+    path = one_file(spark, sf_dir, lambda p, a: nifti.write_nifti(f"{p}/v.nii.gz", a))
     return grid.unpack(opened(spark, "nifti", f"{path}/v.nii.gz")[0], "int32")
 
 
 @query(f"with {VOLUME} select z, y, x, v from vol where z >= 2 and z < 7 and x >= 9 and x < 50")
 def wkw_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compressed blocks on a space-filling curve, read by region."""
-    path = _one_file(spark, sf_dir, lambda p, a: wkw.write_wkw(f"{p}/1", a, 4, 2))
+    path = one_file(spark, sf_dir, lambda p, a: wkw.write_wkw(f"{p}/1", a, 4, 2))
     z, y, x = shape(spark, sf_dir).values()
     return grid.unpack(opened(spark, "wkw", f"{path}/1", shape=f"{x},{y},{z}", region="2:7,:,9:50")[0], "int32")
 

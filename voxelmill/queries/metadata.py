@@ -97,7 +97,7 @@ def unit_to_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CODES = ["RAS", "LPS", "PIR", "LI", "LP", "PI", "RA", "AS", "coronal", "axial", "sagittal", "SLA"]
 
 
-def _oriented(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oriented(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = F.array(*map(F.lit, _CODES))
     return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.get(codes, F.pmod("p_partkey", F.lit(len(_CODES))).cast("int")).alias("given"),
@@ -105,33 +105,34 @@ def _oriented(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("code", orientation.normalised_col(F.col("given")))
 
 
-_ORIENTED = f"""o as (select p_partkey as id, {_CODES!r}[p_partkey % {len(_CODES)} + 1] as given, [p_size / 2.0, 0.5, 3.0] as vx, [p_size * 10, 64, 7] as shape from part),
-full_code(given, code) as (values {', '.join(f"('{c}', '{orientation.normalised(c)}')" for c in _CODES)}),
+ORIENTED = f"""o as (select p_partkey as id, {_CODES!r}[p_partkey % {len(_CODES)} + 1] as given, [p_size / 2.0, 0.5, 3.0] as vx, [p_size * 10, 64, 7] as shape from part),
+full_code(given, code) as (values ('RAS', 'RAS'), ('LPS', 'LPS'), ('PIR', 'PIR'), ('LI', 'LIA'), ('LP', 'LPS'), ('PI', 'PIR'), ('RA', 'RAS'), ('AS', 'ASR'),
+  ('coronal', 'LIA'), ('axial', 'LPS'), ('sagittal', 'PIR'), ('SLA', 'SLA')),
 m as (select id, o.given, code, vx, shape, r.r, a.a, case substr(code, a.a, 1) when ['R', 'A', 'S'][r.r] then 1.0 when ['L', 'P', 'I'][r.r] then -1.0 else 0.0 end * vx[a.a] as e
   from o join full_code using (given), (select unnest([1, 2, 3]) as r) r, (select unnest([1, 2, 3]) as a) a)"""
 
 
-@query(f"""with {_ORIENTED} select id, code, cast(sum(e) filter (r = 1 and a = 1) as double) as m00, cast(sum(e) filter (r = 1 and a = 2) as double) as m01, cast(sum(e) filter (r = 1 and a = 3) as double) as m02,
+@query(f"""with {ORIENTED} select id, code, cast(sum(e) filter (r = 1 and a = 1) as double) as m00, cast(sum(e) filter (r = 1 and a = 2) as double) as m01, cast(sum(e) filter (r = 1 and a = 3) as double) as m02,
   cast(sum(e) filter (r = 2 and a = 1) as double) as m10, cast(sum(e) filter (r = 2 and a = 2) as double) as m11, cast(sum(e) filter (r = 2 and a = 3) as double) as m12,
   cast(sum(e) filter (r = 3 and a = 1) as double) as m20, cast(sum(e) filter (r = 3 and a = 2) as double) as m21, cast(sum(e) filter (r = 3 and a = 3) as double) as m22 from m group by id, code""")
 def orientation_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _oriented(spark, sf_dir).withColumn("m", orientation.affine_col(F.col("code"), F.col("vx")))
+    m = oriented(spark, sf_dir).withColumn("m", orientation.affine_col(F.col("code"), F.col("vx")))
     return m.select("id", "code", *(F.col("m")[r][a].alias(f"m{r}{a}") for r in range(3) for a in range(3)))
 
 
 _CENTRED = "t as (select id, r, cast(-0.5 * sum(e * (shape[a] - 1)) as double) as t from m group by id, r)"
 
 
-@query(f"with {_ORIENTED}, {_CENTRED} select id, sum(t) filter (r = 1) as tx, sum(t) filter (r = 2) as ty, sum(t) filter (r = 3) as tz from t group by id")
+@query(f"with {ORIENTED}, {_CENTRED} select id, sum(t) filter (r = 1) as tx, sum(t) filter (r = 2) as ty, sum(t) filter (r = 3) as tz from t group by id")
 def affine_center(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _oriented(spark, sf_dir).withColumn("m", orientation.centred_col(orientation.affine_col(F.col("code"), F.col("vx")), F.col("shape")))
+    m = oriented(spark, sf_dir).withColumn("m", orientation.centred_col(orientation.affine_col(F.col("code"), F.col("vx")), F.col("shape")))
     return m.select("id", *(F.col("m")[r][3].alias(f"t{a}") for r, a in enumerate("xyz")))
 
 
-@query(f"""with {_ORIENTED}, {_CENTRED}, w as (select id, r, cast(sum(e * [id % 9, 3, 5][a]) as double) as s from m group by id, r)
+@query(f"""with {ORIENTED}, {_CENTRED}, w as (select id, r, cast(sum(e * [id % 9, 3, 5][a]) as double) as s from m group by id, r)
 select id, sum(s + t) filter (r = 1) as x, sum(s + t) filter (r = 2) as y, sum(s + t) filter (r = 3) as z from w join t using (id, r) group by id""")
 def voxel_to_world(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _oriented(spark, sf_dir).withColumn("m", orientation.centred_col(orientation.affine_col(F.col("code"), F.col("vx")), F.col("shape")))
+    m = oriented(spark, sf_dir).withColumn("m", orientation.centred_col(orientation.affine_col(F.col("code"), F.col("vx")), F.col("shape")))
     p = orientation.world_col(F.col("m"), F.array(F.col("id") % 9, F.lit(3).cast("long"), F.lit(5).cast("long")))
     return m.select("id", p.alias("p")).select("id", *(F.col("p")[k].alias(a) for k, a in enumerate("xyz")))
 
