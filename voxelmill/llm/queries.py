@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelmill.llm import decontam, exact, lines, minhash, packing, passages, pii, secret_scan, sharding, toxicity
+from voxelmill.llm import decontam, exact, lines, minhash, packing, passages, phrases, pii, ranking, secret_scan, sharding, toxicity, vectors
 from voxelmill.llm.storage import scratch, table
 
 SHARDS = 16
@@ -77,12 +77,24 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op7_decontamination, op8_exact_dedup, op9_length_buckets, op10_repeated_passages)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_line_dedup, op4_toxicity, op5_personal_data, op6_virtual_slots, op7_decontamination, op8_exact_dedup, op9_length_buckets, op10_repeated_passages, op11_near_vectors, op12_ranked_search, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_dedup": NEAR, "op3_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_repeated_passages": PASSAGES}
+    return {"op2_near_dedup": NEAR, "op3_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_repeated_passages": PASSAGES, "op11_near_vectors": VECTORS, "op12_ranked_search": RANKED, "op13_phrases": PHRASES}
 
 
 NEAR = f"""
@@ -146,3 +158,54 @@ with n as (
 g as (select t, max(doc_id) as keep_id, count(*) as group_size from n group by t)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from n join g using (t)
 """
+
+VECTORS = """
+with recursive usable as (
+  select row_number() over () as no, vec_id, label, embedding::double[] as v,
+    label is not null and coalesce(len(embedding) > 0 and list_bool_and([x is not null and isfinite(x) for x in embedding]) and list_bool_or([x <> 0 for x in embedding]), false) as ok
+  from embeddings
+),
+links as (
+  select a.no as a, b.no as b from usable a join usable b on a.label = b.label and len(a.v) = len(b.v) and a.no <> b.no and a.ok and b.ok
+  where list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98
+),
+reach(a, b) as (select no, no from usable union select r.a, l.b from reach r join (select a, b from links) l on r.b = l.a),
+least as (select r.a as no, min(u.vec_id) as component_id from reach r join usable u on u.no = r.b group by 1),
+degree as (select a as no, count(*) as n from links group by 1)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, coalesce(vec_id = component_id, false) as kept from usable join least using (no) left join degree using (no)
+"""
+
+RANKED = """
+with d as (select row_number() over () as no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+') as w from documents),
+i as (select row_number() over () as item, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+')) as term from benchmark),
+q as (select item, item_id, term, count(*) as q from i group by all),
+s as (select count(*) as docs, sum(len(w))::bigint as total from d where len(w) > 0),
+each as (select no, doc_id, len(w) as n, unnest(w) as term from d),
+p as (select no, doc_id, n, term, count(*) as tf from each where term in (select term from q) group by all),
+df as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from p, s group by term, docs),
+scores as (
+  select item, item_id, no, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::bigint as score
+  from p join df using (term) join q using (term), s group by item, item_id, no, doc_id
+),
+ranked as (select *, row_number() over (partition by item order by score desc, doc_id, no) as rank from scores where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+"""
+
+PHRASES = f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents
+),
+w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::hugeint as n from w group by 1),
+grams as (select lang, k, unnest([w[i:i + k - 1] for i in range(1, len(w) - k + 2)]) as p from w, (select unnest(range(1, {phrases.WORDS + 1})) as k) where len(w) >= k),
+f as (select lang, k, p, count(*) as a from grams group by all having count(*) >= {phrases.LEAST}),
+cuts as (
+  select c.lang, c.p, c.a, c.k, x.k as cut, x.a as l, y.a as r, n, (1000 * c.a::hugeint * n) // (x.a::hugeint * y.a) as score
+  from f c join f x on x.lang = c.lang and x.k < c.k and x.p = c.p[1:x.k] join f y on y.lang = c.lang and y.p = c.p[x.k + 1:] join totals t on t.lang = c.lang
+),
+scored as (select *, row_number() over (partition by lang, p order by score, cut) as no from cuts),
+inner_ as (select lang, p[s:s + m - 1] as p, max(a) as within from (select lang, p, a, k, m, unnest(range(1, k - m + 2)) as s from (select *, unnest(range(2, k)) as m from f where k > 2)) group by all),
+kept as (select s.*, array_to_string(s.p, ' ') as phrase from scored s left join inner_ i on i.lang = s.lang and i.p = s.p where no = 1 and (within is null or 100 * within < 100 * s.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked where rank <= {phrases.FIRST}
+"""
