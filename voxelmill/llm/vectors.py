@@ -222,7 +222,7 @@ def near_vectors(rows: DataFrame, ids: str = "vec_id", vector: str = "embedding"
     groups = rows.where("ok").groupBy("d1", "d2").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("weight"), F.min("id").alias("least"))
     reps = materialise(groups.withColumns({"node": F.monotonically_increasing_id(), "dims": F.size("vec")}))
     most = reps.groupBy("label", "dims").count().agg(F.max("count")).first()[0] or 0
-    depth = max(0, int(-(-most // leaf) - 1).bit_length())
+    depth = int(max(0, -(-most // leaf) - 1)).bit_length()
     trees = _trees(reps, depth)
     kinds = reps.schema["label"].dataType.simpleString(), reps.schema["vec"].dataType.simpleString()
     where = ["label", "dims", "block", "leaf"]
