@@ -24,7 +24,7 @@ from voxelmill.llm.text import U, by_size, flat, mix, prefix_hash, signed, span_
 LEAST, WORDS, FIRST = 100, 5, 2000
 #: While so many words are frequent (a dictionary of 32 MB) they are numbered by 4 bytes; beyond, by 8 bytes of their hash.
 NUMBERED = 1 << 22
-PART = 8 << 20
+PART = 2 << 20
 
 #: Bytes that end a piece, and bytes between words besides (fixed).
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
