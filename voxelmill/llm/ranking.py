@@ -27,7 +27,7 @@ TIERS = (0.7, 0.9)
 FINISH = 1000
 #: So many of the best documents, as far as they have been read, are scored in full to find the score to beat: a multiple of the result.
 AHEAD = 2
-PART = 4 << 20
+PART = 2 << 20
 
 #: Bytes of a term (fixed): ASCII letters and digits, and every byte of a non-ASCII character.
 TERM = np.zeros(256, bool)
