@@ -135,11 +135,23 @@ def unpack(blocks: DataFrame, dtype: str, axes: Sequence[str] = AXES, v: str = "
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for origin, a in arrays(batch):
-                at = np.nonzero(a) if sparse else np.unravel_index(np.arange(a.size), a.shape)
-                values = pa.array(a[at]).cast(ARROW_TYPE[dtype])
-                yield pa.RecordBatch.from_arrays([*(pa.array(i.astype(np.int64) + o) for i, o in zip(at, origin, strict=True)), values], [*axes, v])
+                yield from voxel_batches([np.arange(o, o + n) for o, n in zip(origin, a.shape, strict=True)], a, dtype, axes, v, sparse)
 
-    return blocks.mapInArrow(explode, ", ".join(f"{k} long" for k in axes) + f", {v} {SPARK_TYPE[dtype]}")
+    return blocks.mapInArrow(explode, voxel_schema(dtype, axes, v))
+
+
+def voxel_schema(dtype: str, axes: Sequence[str] = AXES, v: str = "v") -> str:
+    return ", ".join(f"{k} long" for k in axes) + f", {v} {SPARK_TYPE[dtype]}"
+
+
+def voxel_batches(places: Sequence[np.ndarray], a: np.ndarray, dtype: str, axes: Sequence[str] = AXES, v: str = "v", sparse: bool = False, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """Rows of an array whose elements lie at ``places`` on each axis, about ``most`` of them in a batch."""
+    step = max(1, most // max(1, math.prod(a.shape[1:])))
+    for k in range(0, len(a) if a.ndim else 1, step):
+        b, here = (a[k : k + step], [places[0][k : k + step], *places[1:]]) if a.ndim else (a, [])
+        at = np.nonzero(b) if sparse else np.unravel_index(np.arange(b.size), b.shape)
+        values = pa.array(np.atleast_1d(b[at])).cast(ARROW_TYPE[dtype])
+        yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)[i]) for i, x in zip(at, here, strict=True)), values], [*axes, v])
 
 
 ARROW_TYPE = {

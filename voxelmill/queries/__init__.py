@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("geometry", "inventory", "pyramids", "annotations", "metadata", "formats", "conversions", "beside")
+MODULES = ("geometry", "inventory", "pyramids", "annotations", "metadata", "formats", "regions", "conversions", "beside")
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
 

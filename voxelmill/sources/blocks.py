@@ -1,23 +1,27 @@
-"""Spark data sources that yield boxes of voxels.
+"""Spark data sources that yield boxes of voxels, or voxels.
 
 A format says how large its array is and how it is cut into parts; neighbouring parts become a partition of
 bounded size, which is read on an executor part by part. ``.option("region", "0:4,:,10:20")`` leaves out
-parts that lie outside and crops the others; without it the whole array is read."""
+parts that lie outside and crops the others; without it the whole array is read.
+
+With ``.option("form", "voxels")`` rows are voxels (a column for each axis, and ``v``), and conditions on axes choose
+what is opened: ``where("z >= 3 and z < 9 and x in (5, 6)")`` opens the parts that hold such voxels and makes rows of
+no others. Spark asks sources for that while ``spark.sql.python.filterPushdown.enabled`` is true; ``voxels`` sets it."""
 
 from __future__ import annotations
 
 import importlib
 import importlib.util
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
-from voxelmill.operators.grid import BLOCKS, block_table
+from voxelmill.operators.grid import BLOCKS, block_table, voxel_batches, voxel_schema
 
 
 @dataclass(frozen=True)
@@ -122,6 +126,8 @@ class _Reader(DataSourceReader):
         self.bounds = region(made.options.get("region"), self.info.shape)
 
     def partitions(self) -> Sequence[InputPartition]:
+        if any(lo >= hi for lo, hi in self.bounds):
+            return [Group(0, 0)]
         parts = self.made.within(self.info, self.bounds)
         size = math.prod(parts[0].shape) * np.dtype(self.info.dtype).itemsize if len(parts) else 1
         step = max(1, min(GROUP_BYTES // max(1, size), -(-len(parts) // GROUPS)))
@@ -136,6 +142,75 @@ class _Reader(DataSourceReader):
                 yield from block_table([(origin, a)]).to_batches()
 
 
+class _VoxelReader(_Reader):
+    """Voxels of the parts that conditions on axes leave."""
+
+    def __init__(self, made: Format) -> None:
+        super().__init__(made)
+        self.axes = axes_of(made.options, len(self.info.shape))
+        self.sparse = made.options.get("sparse", "false").lower() == "true"
+        self.places: dict[int, list[int]] = {}
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Take the conditions that bound an axis or name its places; what is yielded is left to Spark."""
+        for f in filters:
+            if not self._taken(f):
+                yield f
+
+    def _taken(self, f: Filter) -> bool:
+        name = getattr(f, "attribute", ())
+        if len(name) != 1 or name[0] not in self.axes:
+            return False
+        k, value = self.axes.index(name[0]), getattr(f, "value", None)
+        if isinstance(f, IsNotNull):
+            return True
+        if isinstance(f, In):
+            if not all(type(x) is int for x in value):
+                return False
+            places = sorted({x for x in value if k not in self.places or x in self.places[k]})
+            self.places[k] = places
+            self._narrow(k, places[0] if places else 0, places[-1] + 1 if places else 0)
+            return True
+        if type(value) is not int:
+            return False
+        for kinds, lo, hi in (((EqualTo, EqualNullSafe), value, value + 1), ((GreaterThan,), value + 1, None), ((GreaterThanOrEqual,), value, None), ((LessThan,), None, value), ((LessThanOrEqual,), None, value + 1)):
+            if isinstance(f, kinds):
+                self._narrow(k, lo, hi)
+                return True
+        return False
+
+    def _narrow(self, k: int, lo: int | None, hi: int | None) -> None:
+        a, b = self.bounds[k]
+        a, b = a if lo is None else max(a, lo), b if hi is None else min(b, hi)
+        self.bounds[k] = (a, max(a, b))
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        assert isinstance(partition, Group)
+        parts = self.made.within(self.info, self.bounds) if partition.last else []
+        for n in range(partition.first, partition.last):
+            part, bounds = parts[n], list(self.bounds)
+            for k, places in self.places.items():
+                own = [x for x in places if max(part.origin[k], bounds[k][0]) <= x < min(part.origin[k] + part.shape[k], bounds[k][1])]
+                bounds[k] = (own[0], own[-1] + 1) if own else (0, 0)
+            if any(lo >= hi for lo, hi in bounds):
+                continue
+            origin, a = self.made.load_box(self.info, part, bounds)
+            at = [np.arange(o, o + s) for o, s in zip(origin, a.shape, strict=True)]
+            for k, places in self.places.items():
+                own = np.flatnonzero(np.isin(at[k], places))
+                at[k], a = at[k][own], a.take(own, axis=k)
+            if a.size:
+                yield from voxel_batches(at, a, self.info.dtype, self.axes, "v", self.sparse)
+
+
+def axes_of(options: Mapping[str, str], ndim: int) -> list[str]:
+    """Names of axes: those of option ``axes``, or the last of t, c, z, y, x."""
+    given = [x.strip() for x in options["axes"].split(",")] if "axes" in options else [*"tczyx"][5 - ndim :] if ndim <= 5 else [f"a{k}" for k in range(ndim)]
+    if len(given) != ndim or len({*given, "v"}) != ndim + 1:
+        raise ValueError(f"no names for {ndim} axes: {given}")
+    return given
+
+
 class BlockSource(DataSource):
     """Base of the registered sources; ``kind`` is the format's class."""
 
@@ -146,12 +221,26 @@ class BlockSource(DataSource):
     def name(cls) -> str:
         return cls.short
 
+    def _made(self) -> Format:
+        # names of options keep to no case here
+        options = self.options.copy()
+        return self.kind(options.pop("path"), options)
+
+    def _voxels(self) -> bool:
+        form = self.options.get("form", "blocks")
+        if form not in ("blocks", "voxels"):
+            raise ValueError(f"form is blocks or voxels, not {form}")
+        return form == "voxels"
+
     def schema(self) -> str:
-        return BLOCKS
+        if not self._voxels():
+            return BLOCKS
+        made = self._made()
+        info = made.info()
+        return voxel_schema(info.dtype, axes_of(made.options, len(info.shape)))
 
     def reader(self, schema: object) -> DataSourceReader:
-        options = dict(self.options)
-        return _Reader(self.kind(options.pop("path"), options))
+        return _VoxelReader(self._made()) if self._voxels() else _Reader(self._made())
 
 
 #: Formats by name, with the modules that they need beyond this package's own.
@@ -194,3 +283,10 @@ def opened(spark: SparkSession, name: str, path: str, **options: object) -> tupl
     given = {k: str(v) for k, v in options.items() if v is not None}
     info = kind.kind(path, given).info()
     return spark.read.format(name).options(**given).load(path), info
+
+
+def voxels(spark: SparkSession, name: str, path: str, **options: object) -> DataFrame:
+    """Voxels of an array. Conditions on axes choose what is opened: the session is told to push them down."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(source(name))
+    return spark.read.format(name).options(**{k: str(v) for k, v in options.items() if v is not None}).option("form", "voxels").load(path)

@@ -89,3 +89,11 @@ def delete(path: str) -> None:
 def make_dir(path: str) -> None:
     f, p = located(path)
     f.create_dir(p, recursive=True)
+
+
+def move(path: str, to: str) -> None:
+    """A file or folder to another place of the same store; what was there is replaced."""
+    f, p = located(path)
+    q = located(to)[1]
+    f.create_dir(q.rpartition("/")[0], recursive=True)
+    f.move(p, q)

@@ -11,7 +11,7 @@ import numpy as np
 
 from voxelmill.functions.orientation import Matrix
 from voxelmill.sources import files
-from voxelmill.sources.blocks import BlockSource, Format, Info, Part
+from voxelmill.sources.blocks import BlockSource, Bounds, Format, Info, Part
 from voxelmill.sources.zarr import opened
 
 #: Fixed values of the format: data type codes, unit codes.
@@ -110,6 +110,11 @@ class NiftiFormat(Format):
         step = max(1, (16 << 20) // max(1, int(np.prod(info.shape[1:])) * np.dtype(info.dtype).itemsize))
         return [Part((k, *[0] * (len(info.shape) - 1)), (min(step, info.shape[0] - k), *info.shape[1:])) for k in range(0, info.shape[0], step)]
 
+    def load_box(self, info: Info, part: Part, bounds: Bounds) -> tuple[list[int], np.ndarray]:
+        """Of a plain file only the slices within the bounds are read."""
+        lo, hi = max(part.origin[0], bounds[0][0]), min(part.origin[0] + part.shape[0], bounds[0][1])
+        return super().load_box(info, Part((lo, *part.origin[1:]), (max(0, hi - lo), *part.shape[1:])), bounds)
+
     def load(self, info: Info, part: Part) -> np.ndarray:
         size = np.dtype(info.dtype).itemsize
         row = int(np.prod(info.shape[1:])) * size

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 
 from voxelmill.sources import files
-from voxelmill.sources.blocks import BlockSource, Format, Info, Part
+from voxelmill.sources.blocks import BlockSource, Bounds, Format, Info, Part
 
 #: Fixed values of the format: bytes of a field type, tags, sample formats.
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
@@ -165,6 +165,11 @@ class TiffFormat(Format):
         step = max(1, (16 << 20) // max(1, int(np.prod(info.shape[1:])) * np.dtype(info.dtype).itemsize))
         return [Part((k, *[0] * (len(info.shape) - 1)), (min(step, info.shape[0] - k), *info.shape[1:])) for k in range(0, info.shape[0], step)]
 
+    def load_box(self, info: Info, part: Part, bounds: Bounds) -> tuple[list[int], np.ndarray]:
+        """Only the pages within the bounds are read."""
+        lo, hi = max(part.origin[0], bounds[0][0]), min(part.origin[0] + part.shape[0], bounds[0][1])
+        return super().load_box(info, Part((lo, *part.origin[1:]), (max(0, hi - lo), *part.shape[1:])), bounds)
+
     def load(self, info: Info, part: Part) -> np.ndarray:
         first = part.origin[0]
         return np.stack([read_page(self.path, p) for p in info.extra["pages"][first : first + part.shape[0]]])

@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
+from pyspark.sql.datasource import DataSourceWriter
+from pyspark.sql.types import StructType
 
 from voxelmill.sources import files
 from voxelmill.sources.blocks import Bounds, BlockSource, Cells, Format, Info, Part
@@ -244,4 +246,14 @@ class ZarrFormat(Format):
 
 
 class ZarrSource(BlockSource):
+    """Can be written as well: see ``voxelmill.sinks.regions``."""
+
     kind, short = ZarrFormat, "zarr"
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        from voxelmill.sinks.regions import ZarrWriter
+
+        if schema.names[:4] != ["origin", "shape", "dtype", "data"]:
+            raise ValueError(f"arrays are written from blocks, not from {', '.join(schema.names)}")
+        options = self.options.copy()
+        return ZarrWriter(options.pop("path"), options, overwrite)
