@@ -59,11 +59,14 @@ def pyramid_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("v", F.round(F.when(~F.isnan("v"), F.col("v")), 6))
 
 
-@query(f"""with {VOLUME},
+ALL_LEVELS = f"""with {VOLUME},
 l1 as (select z, y, x, cast(trunc(avg(v)) as integer) as v from (select z // 2 as z, y // 2 as y, x // 2 as x, v from vol where z < {DEPTH} // 2 * 2) group by z, y, x),
 l2 as (select z, y, x, cast(trunc(avg(v)) as integer) as v from (select z // 2 as z, y // 2 as y, x // 2 as x, v from l1 where z < {DEPTH} // 4 * 2) group by z, y, x),
 l3 as (select z, y, x, cast(trunc(avg(v)) as integer) as v from (select z // 2 as z, y // 2 as y, x // 2 as x, v from l2 where z < {DEPTH} // 8 * 2 and y < 4) group by z, y, x)
-select 0 as level, * from vol union all select 1, * from l1 union all select 2, * from l2 union all select 3, * from l3""")
+select 0 as level, * from vol union all select 1, * from l1 union all select 2, * from l2 union all select 3, * from l3"""
+
+
+@query(ALL_LEVELS)
 def pyramid_mean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four levels, each made from the one before, since fractions are cut off between them."""
     parts = [df.select(F.lit(level).alias("level"), "z", "y", "x", "v") for level, _, df in pyramid.levels(volume(spark, sf_dir), shape(spark, sf_dir), 3, dense=True)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from voxelmill.operators import grid
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.queries import query
 from voxelmill.queries.formats import _stored, scratch
+from voxelmill.queries.pyramids import ALL_LEVELS
 from voxelmill.queries.views import SIDE, VOLUME, shape, volume
-from voxelmill.sinks import regions
+from voxelmill.sinks import pyramids, regions
 from voxelmill.sources.blocks import opened, source, voxels
 
 
@@ -68,3 +71,22 @@ def zarr_region_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, size = _stored(spark, sf_dir, ArrayOptions(zarr_version=2, chunk=(8, 8, 16), compressor="zlib"))
     regions.write_region(path, _slab(volume(spark, sf_dir).withColumn("v", -F.col("v")), size, size[0] // 3, size[0]))
     return grid.unpack(opened(spark, "zarr", path)[0], "int32")
+
+
+def _one_pass(spark: SparkSession, sf_dir: str, chunk: list[int], shard: list[int] | None) -> DataFrame:
+    size, path = list(shape(spark, sf_dir).values()), scratch(spark)
+    blocks = grid.pack(volume(spark, sf_dir), size, [5, 7, 30], "int32")
+    pyramids.write_levels(path, blocks, size, chunk, shard, "int32", ArrayOptions(), 3, [True] * 3)
+    levels = [voxels(spark, "zarr", path, level=k).select(F.lit(k).alias("level"), "z", "y", "x", "v") for k in range(4)]
+    return reduce(DataFrame.unionByName, levels)
+
+
+@query(ALL_LEVELS)
+def pyramid_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four levels written while level 0 is, chunk by chunk along a Morton curve."""
+    return _one_pass(spark, sf_dir, [4, 4, 8], None)
+
+
+@query(ALL_LEVELS)
+def pyramid_one_pass_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_pass(spark, sf_dir, [2, 4, 4], [4, 12, 16])
