@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxelmill.sources.shared import written
+
 #: The name patterns of the supported acquisitions and the columns of their groups.
 PATTERNS = {
     "mosaic": (r"^(\w*)_z(\d+)_y(\d+)(\w*)$", ("prefix", "z", "y", "suffix")),
@@ -18,9 +20,10 @@ PLANE = r"_plane(\d+)_c(\d+)\.tiff?$"
 _NUMBERS = {"run", "y", "z", "plane", "c"}
 
 
-def bounded(df: DataFrame, most: int = 1 << 20) -> DataFrame:
-    """``df`` with a hint to broadcast it if it has no more rows than that; otherwise as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def bounded(df: DataFrame) -> DataFrame:
+    """A table of one row per tile index or slice, written, so that what it is made from runs once and the planner, who
+    then knows its bytes, may broadcast it."""
+    return written(df)
 
 
 def parsed(df: DataFrame, name: str, kind: str) -> DataFrame:

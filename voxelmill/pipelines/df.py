@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from voxelmill.pipelines.common import Placement, Written, headers, placed, write_metadata
+from voxelmill.functions.arithmetic import floor_div
+from voxelmill.pipelines.common import Written, given, inspected, placed, write_metadata
 from voxelmill.plans.config import ArrayOptions, GeneralOptions, HeaderOptions, autoconfig, default_output
 from voxelmill.plans.layout import layout
 from voxelmill.sinks import zarr as sink
 from voxelmill.sinks.extras import write_json
 from voxelmill.sources.blocks import source
+from voxelmill.sources.shared import written
 
 
 def _levels(path: str, fmt: str) -> tuple[int, tuple[float, float]]:
@@ -29,23 +32,22 @@ def _copied(spark: SparkSession, inp: Sequence[str], levels: int, fmt: str, path
     shapes, kind = [], ""
     for level in range(levels):
         options = {"level": str(level), "maxLoad": str(general.max_load)}
-        found = headers(spark, [(p, fmt, options) for p in inp])
-        most = [max(s[-k] for s, _ in found.values()) for k in (2, 1)]
-        kind = found[inp[-1]][1]
-        channels = min(s[0] for s, _ in found.values()) if all(len(s) == 3 for s, _ in found.values()) else 0
+        found = written(inspected(given(spark, inp), fmt, lambda _, options=options: options))
+        h, w = F.element_at("size", -2), F.element_at("size", -1)
+        head = found.agg(F.max(h).alias("h"), F.max(w).alias("w"), F.max_by("dtype", "no").alias("dtype"), F.min(F.when(F.size("size") == 3, F.col("size")[0]).otherwise(0)).alias("channels")).first()
+        most, kind, channels = [head["h"], head["w"]], head["dtype"], head["channels"]
         lead = ([channels] if channels else []) + ([len(inp)] if stack else [])
-        places = []
-        for n, p in enumerate(inp):
-            h, w = found[p][0][-2:]
-            at = [(m - s) // 2 for m, s in zip(most, (h, w), strict=True)]
-            front = ([0] if channels else []) + ([n] if stack else [])
-            hi = ([channels] if channels else []) + ([1] if stack else [])
-            places.append(Placement(p, fmt, [*front, *at], [0] * (len(front) + 2), [*hi, h, w], options, insert=len(front) - 1 if stack else None))
+        long = lambda x: F.lit(x).cast("long")
+        front = ([long(0)] if channels else []) + ([F.col("no")] if stack else [])
+        places = found.select(
+            "path", F.lit(fmt).alias("format"), "options", F.array(*front, floor_div(long(most[0]) - h, 2), floor_div(long(most[1]) - w, 2)).alias("start"),
+            F.array(*[long(0)] * (len(front) + 2)).alias("lo"), F.array(*([long(channels)] if channels else []), *([long(1)] if stack else []), h, w).alias("hi"), F.lit(len(front) - 1 if stack else None).cast("int").alias("insert"),
+        )
         shape = [*lead, *most]
         o = array if len(array.chunk) != 1 else ArrayOptions(**(vars(array) | {"chunk": (*([channels] if channels else []), *([1] if stack else []), array.chunk[0], array.chunk[0])}))
         chunk, shard = layout(shape, 1, o) if len(shape) > 1 else (shape, None)
         chunk = [min(c, s) for c, s in zip(chunk, shape, strict=True)] if shard is None else chunk
-        sink.write_array(f"{path}/{level}", placed(spark, places, kind), shape, chunk, shard, kind, o)
+        sink.write_array(f"{path}/{level}", placed(places, kind), shape, chunk, shard, kind, o)
         shapes.append(shape)
     return shapes, kind
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,16 +19,7 @@ from voxelmill.sinks import zarr as sink
 from voxelmill.sinks.groups import Group
 from voxelmill.sources import nifti, tiff, wkw
 from voxelmill.sources.blocks import opened
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new place in the folder that driver and executors share; only a session in one process may do without."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        named = tempfile.mkdtemp(prefix="voxelmill-")
-    return f"{named}/arrays/{uuid.uuid4().hex}"
+from voxelmill.sources.shared import scratch
 
 
 def _stored(spark: SparkSession, sf_dir: str, o: ArrayOptions) -> tuple[str, list[int]]:
