@@ -173,18 +173,11 @@ def multiscale_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {VOLUME} select y, x, cast(max(v) + {BASE} as bigint) as v from vol group by y, x")
 def mip_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The projection's PNG, decoded again: 16-bit rows, each behind a zero byte."""
+    """The projection's PNG, made and decoded strip by strip: 16-bit rows, each behind a zero byte."""
     size, path = list(shape(spark, sf_dir).values()), scratch(spark) + ".png"
     raised = volume(spark, sf_dir).withColumn("v", F.col("v") + BASE)
-    extras.write_projection(path, grid.pack(raised, size, [8, 8, 16], "uint16"), size, "uint16")
-    data, at, packed = files.read(path), 8, b""
-    while at < len(data):
-        n, kind = struct.unpack_from(">I4s", data, at)
-        packed += data[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
-        at += 12 + n
-    raw, step = zlib.decompress(packed), 2 * size[2] + 1
-    rows = [(y, x, v) for y in range(size[1]) for x, v in enumerate(struct.unpack_from(f">{size[2]}H", raw, y * step + 1))]
-    return spark.createDataFrame(rows, "y long, x long, v long")
+    extras.write_projection(path, grid.pack(raised, size, [8, 8, 16], "uint16"), size, "uint16", rows=3)
+    return extras.read_image(spark, path)
 
 
 @query(f"with {VOLUME} select z, y, x, v from vol")

@@ -149,9 +149,12 @@ def center_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stitch.centred(images, sizes, "z", {"y": "h", "x": "w"}).select(*AXES, "v")
 
 
-@query(f"""with {VOLUME}, b as (select z, y, x, v + case when x % 13 = 0 then 2 else 0 end as v from vol where y > 0)
+DIFFERENT = f"""with {VOLUME}, b as (select z, y, x, v + case when x % 13 = 0 then 2 else 0 end as v from vol where y > 0)
 select coalesce(a.z, b.z) as z, coalesce(a.y, b.y) as y, coalesce(a.x, b.x) as x, coalesce(a.v, 0) as "left", coalesce(b.v, 0) as "right"
-from vol a full outer join b on a.z = b.z and a.y = b.y and a.x = b.x where coalesce(a.v, 0) <> coalesce(b.v, 0)""")
+from vol a full outer join b on a.z = b.z and a.y = b.y and a.x = b.x where coalesce(a.v, 0) <> coalesce(b.v, 0)"""
+
+
+@query(DIFFERENT)
 def array_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = volume(spark, sf_dir)
     b = a.where("y > 0").withColumn("v", F.col("v") + F.when(F.col("x") % 13 == 0, 2).otherwise(0))

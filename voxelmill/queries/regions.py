@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelmill.operators import grid
+from voxelmill.operators import digests, grid
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.queries import query
 from voxelmill.queries.formats import _stored, scratch
+from voxelmill.queries.geometry import DIFFERENT
 from voxelmill.queries.pyramids import ALL_LEVELS
 from voxelmill.queries.views import SIDE, VOLUME, shape, volume
 from voxelmill.sinks import pyramids, regions
+from voxelmill.sinks import zarr as sink
 from voxelmill.sources.blocks import opened, source, voxels
 
 
@@ -90,3 +92,13 @@ def pyramid_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(ALL_LEVELS)
 def pyramid_one_pass_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_pass(spark, sf_dir, [2, 4, 4], [4, 12, 16])
+
+
+@query(DIFFERENT)
+def array_diff_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored arrays of different chunks, shards and codecs: only boxes whose digests differ are read for voxels."""
+    path, size = _stored(spark, sf_dir, ArrayOptions(zarr_version=2, chunk=(8, 4, 4), compressor="zlib"))
+    changed = volume(spark, sf_dir).where("y > 0").withColumn("v", F.col("v") + F.when(F.col("x") % 13 == 0, 2).otherwise(0))
+    other = scratch(spark)
+    sink.write_array(other, grid.pack(changed, size, [8, 20, 32], "int32"), size, [4, 10, 16], [8, 20, 32], "int32", ArrayOptions(), aligned=True)
+    return digests.stored_diff(spark, path, other, grid.AXES)

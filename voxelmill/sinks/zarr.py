@@ -6,7 +6,10 @@ whole document each time."""
 
 from __future__ import annotations
 
+import hashlib
 import json
+import random
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,7 +21,7 @@ from voxelmill.operators.grid import BLOCKS, arrays, block_table
 from voxelmill.operators.pyramid import cut_pieces, rechunked
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.sources import files
-from voxelmill.sources.zarr import ABSENT, Layout, attributes, crc32c, detect, v2_dtype
+from voxelmill.sources.zarr import ABSENT, Layout, crc32c, detect, v2_dtype
 
 
 def array_document(shape: Sequence[int], chunk: Sequence[int], shard: Sequence[int] | None, dtype: str, o: ArrayOptions) -> dict:
@@ -70,16 +73,31 @@ def create_group(path: str, o: ArrayOptions, mode: str | None = None) -> None:
             files.write(f"{path}/.zgroup", _json({"zarr_format": 2}))
 
 
+#: Seconds after which a claim counts as left by a writer that has died, and between attempts.
+EXPIRED, PAUSE = 60.0, 0.02
+
+
 def update_attributes(path: str, new: dict) -> None:
-    """Merge into a node's attributes; the document is replaced as a whole."""
-    found = detect(path)
-    if found is None:
-        raise ValueError(f"no Zarr node: {path}")
-    merged = attributes(path) | new
-    if found[0] == 3:
-        files.write(f"{path}/zarr.json", _json(found[2] | {"attributes": merged}))
-    else:
-        files.write(f"{path}/.zattrs", _json(merged))
+    """Merge into a node's attributes; the document is replaced as a whole.
+
+    Several writers may do so at once: one claims the version that it has read, makes sure that it still stands, and puts
+    the next one in its place; the others read anew and try again, so no key is lost."""
+    while True:
+        found = detect(path)
+        if found is None:
+            raise ValueError(f"no Zarr node: {path}")
+        name = f"{path}/{'zarr.json' if found[0] == 3 else '.zattrs'}"
+        before = files.read(name) if files.exists(name) else b""
+        claim = f"{name}.{hashlib.blake2b(before, digest_size=8).hexdigest()}.claim"
+        if files.claim(claim, EXPIRED):
+            try:
+                if (files.read(name) if files.exists(name) else b"") == before:
+                    doc = json.loads(before or b"{}")
+                    files.write(name, _json(doc | {"attributes": doc.get("attributes", {}) | new} if found[0] == 3 else doc | new))
+                    return
+            finally:
+                files.delete(claim)
+        time.sleep(PAUSE * (1 + random.random()))
 
 
 def delete_child(path: str, name: str) -> None:

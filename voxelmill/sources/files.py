@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from pyarrow import fs
@@ -97,3 +98,23 @@ def move(path: str, to: str) -> None:
     q = located(to)[1]
     f.create_dir(q.rpartition("/")[0], recursive=True)
     f.move(p, q)
+
+
+def claim(path: str, expires: float) -> bool:
+    """Make a file that isn't there; False if another has made it. One older than so many seconds is removed first.
+    On local and mounted file systems exactly one of several wins; elsewhere two may that ask within one round trip."""
+    f, p = located(path)
+    info = f.get_file_info(p)
+    if info.type != fs.FileType.NotFound:
+        if info.mtime is None or time.time() - info.mtime.timestamp() < expires:
+            return False
+        delete(path)
+    if not isinstance(f, fs.LocalFileSystem):
+        with f.open_output_stream(p) as h:
+            h.write(b"")
+        return True
+    try:
+        os.close(os.open(p, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+    except FileExistsError:
+        return False
+    return True
