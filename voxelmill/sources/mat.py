@@ -1,25 +1,27 @@
-"""MATLAB files: version 5 with an own parser, version 7.3 (HDF5) if h5py is there."""
+"""MATLAB files: version 5, and version 7.3 (HDF5), whose chunks are read by the tasks that want them."""
 
 from __future__ import annotations
 
-import importlib.util
 import logging
+import math
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import numpy as np
 
 from voxelmill.sources import files
-from voxelmill.sources.blocks import BlockSource, Format, Info, Part
+from voxelmill.sources.blocks import Bounds, BlockSource, Cells, Format, Info, Part
+from voxelmill.sources.hdf5 import Array, File, is_hdf5
 
 #: Fixed values of the format: data types, array classes.
 NUMBERS = {1: "i1", 2: "u1", 3: "i2", 4: "u2", 5: "i4", 6: "u4", 7: "f4", 9: "f8", 12: "i8", 13: "u8", 16: "u1", 17: "u2", 18: "u4"}
 MATRIX, COMPRESSED = 14, 15
 CELL, STRUCT, OBJECT, CHAR, SPARSE = 1, 2, 3, 4, 5
 CLASSES = {6: "f8", 7: "f4", 8: "i1", 9: "u1", 10: "i2", 11: "u2", 12: "i4", 13: "u4", 14: "i8", 15: "u8"}
-HDF5 = b"\x89HDF\r\n\x1a\n"
+#: Bytes of an HDF5 array that a part holds, about.
+PART = 16 << 20
 
 
 def _elements(data: bytes, order: str) -> Iterator[tuple[int, bytes]]:
@@ -68,10 +70,6 @@ def _v5(path: str) -> Iterator[tuple[str, Any]]:
             yield _array(body, order)
 
 
-def is_hdf5(path: str) -> bool:
-    return any(files.read(path, k, 8) == HDF5 for k in (0, 512) if files.length(path) >= k + 8)
-
-
 def read_mat(path: str) -> dict[str, Any]:
     """All variables of a version 5 file."""
     return dict(_v5(path))
@@ -94,34 +92,47 @@ def chosen_key(names: list[str], key: str | None, path: str) -> str:
 class MatFormat(Format):
     """Options: ``key``, the variable; ``maxLoad``, the largest part along an axis."""
 
-    def _hdf5(self) -> Any:
-        if not importlib.util.find_spec("h5py"):
-            raise ValueError(f"{self.path} is an HDF5 file, which needs the package h5py")
-        import h5py
-
-        return h5py.File(self.path, "r")
-
     def info(self) -> Info:
         if is_hdf5(self.path):
-            with self._hdf5() as f:
-                key = chosen_key(list(f), self.options.get("key"), self.path)
-                return Info(tuple(f[key].shape), f[key].dtype.name, {"key": key, "hdf5": True})
+            f = File(self.path)
+            key = chosen_key([n for n in f.members if n == self.options.get("key") or f.array(n) is not None], self.options.get("key"), self.path)
+            a = f.array(key)
+            if a is None:
+                raise ValueError(f"{key} of {self.path} isn't a numeric array")
+            return Info(a.shape, np.dtype(a.dtype).newbyteorder("=").name, {"key": key, "array": a, "cell": self._cell(a)})
         found = read_mat(self.path)
         key = chosen_key(list(found), self.options.get("key"), self.path)
         a = np.asarray(found[key])
-        return Info(a.shape, a.dtype.name, {"key": key, "hdf5": False})
-
-    def parts(self, info: Info) -> list[Part]:
+        return Info(a.shape, a.dtype.name, {"key": key})
+
+    def _cell(self, a: Array) -> list[int]:
+        """Whole chunks or rows: as many along each axis, from the last on, as ``maxLoad`` and the size of a part leave."""
+        room, most = PART // np.dtype(a.dtype).itemsize, int(self.options.get("maxLoad", 1024))
+        if a.chunk is None:
+            return [max(1, room // max(1, math.prod(a.shape[1:]))), *(max(1, n) for n in a.shape[1:])] if a.shape else []
+        cell = list(a.chunk)
+        for k in range(len(cell) - 1, -1, -1):
+            chunk, others = cell[k], math.prod(cell) // cell[k]
+            cell[k] = chunk * max(1, min(most // chunk, room // (others * chunk), -(-a.shape[k] // chunk)))
+        return cell
+
+    def parts(self, info: Info) -> Sequence[Part]:
+        return self.within(info, [(0, n) for n in info.shape])
+
+    def within(self, info: Info, bounds: Bounds) -> Sequence[Part]:
         # a version 5 file can't be sliced: it is one part, so that it is parsed once
-        step = int(self.options.get("maxLoad", 1024)) if info.extra["hdf5"] else max(info.shape)
-        cells = np.ndindex(*(-(-n // step) for n in info.shape))
-        return [Part([i * step for i in c], [min(step, n - i * step) for i, n in zip(c, info.shape, strict=True)]) for c in cells]
+        return Cells(info.shape, info.extra["cell"], bounds) if "array" in info.extra else [Part([0] * len(info.shape), info.shape)]
+
+    def load_box(self, info: Info, part: Part, bounds: Bounds) -> tuple[list[int], np.ndarray]:
+        if "array" not in info.extra:
+            return super().load_box(info, part, bounds)
+        box = [(max(o, lo), min(o + n, hi)) for o, n, (lo, hi) in zip(part.origin, part.shape, bounds, strict=True)]
+        return [lo for lo, _ in box], File(self.path).box(info.extra["array"], box)
 
     def load(self, info: Info, part: Part) -> np.ndarray:
+        if "array" in info.extra:
+            return self.load_box(info, part, [(0, n) for n in info.shape])[1]
         where = tuple(slice(o, o + n) for o, n in zip(part.origin, part.shape, strict=True))
-        if info.extra["hdf5"]:
-            with self._hdf5() as f:
-                return f[info.extra["key"]][where]
         return np.asarray(dict(_v5(self.path))[info.extra["key"]])[where]
 
 
