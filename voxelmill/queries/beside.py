@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import struct
-import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,13 +14,12 @@ from voxelmill.plans import layout, levels
 from voxelmill.plans.config import ArrayOptions, HeaderOptions, autoconfig, default_output
 from voxelmill.queries import query
 from voxelmill.queries.conversions import BASE
-from voxelmill.queries.formats import one_file, scratch
 from voxelmill.queries.metadata import ORIENTED, oriented
 from voxelmill.queries.views import SIDE, VOLUME, WIDTH, depth, read, shape, volume
 from voxelmill.sinks import extras
 from voxelmill.sinks import zarr as sink
-from voxelmill.sources import files, mat, nifti, optional
-from voxelmill.sources.blocks import opened
+from voxelmill.sources import nifti, optional
+from voxelmill.sources.shared import scratch
 from voxelmill.sources.zarr import attributes
 
 ARROW = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
@@ -180,13 +177,6 @@ def mip_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extras.read_image(spark, path)
 
 
-@query(f"with {VOLUME} select z, y, x, v from vol")
-def mat_first_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of a file with several variables, the first that isn't hidden."""
-    path = one_file(spark, sf_dir, lambda p, a: mat.write_mat(f"{p}/v.mat", {"_hidden": a[:1], "volume": a, "another": a[:1]}))
-    return grid.unpack(opened(spark, "mat", f"{path}/v.mat")[0], "int32")
-
-
 @query(f"""with {PARTS} select id, case when id % 5 in (1, 2) then 1.0 else size / 4 end::double as width, case when id % 5 in (1, 2) then 1.0 else id / 8 end::double as height from p""")
 def xmp_pixel_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes in XMP packets: as attributes, as elements, one missing, broken, none."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,16 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxelmill.functions.arithmetic import floor_div
 from voxelmill.operators import grid, pyramid
+from voxelmill.pipelines.common import placed
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.plans.layout import layout
 from voxelmill.queries import query
 from voxelmill.queries.views import SIDE, VOLUME, WIDTH, depth, shape, volume
 from voxelmill.sinks import zarr as sink
 from voxelmill.sinks.groups import Group
-from voxelmill.sources import nifti, tiff, wkw
+from voxelmill.sources import hdf5, mat, nifti, tiff, wkw
 from voxelmill.sources.blocks import opened
-from voxelmill.sources.shared import scratch
+from voxelmill.sources.shared import scratch, written
 
 
 def _stored(spark: SparkSession, sf_dir: str, o: ArrayOptions) -> tuple[str, list[int]]:
@@ -68,30 +71,60 @@ def zarr_first_axis_fastest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.unpack(opened(spark, "zarr", path)[0], "int32")
 
 
-def one_file(spark: SparkSession, sf_dir: str, write: Callable[[str, np.ndarray], None]) -> str:
-    """The volume as one file, put together by one task, as its format wants it."""
-    path, size = scratch(spark), list(shape(spark, sf_dir).values())
+#: Slices of the volume that a file holds.
+SLAB = 16
+
+
+def slab_files(vol: DataFrame, n: int, path: str, name: str, write: Callable[[str, int, np.ndarray], object], step: int = SLAB, last: int | None = None) -> DataFrame:
+    """Slabs of slices, each written by the task that puts it together, under a name with its number: (path, no, z0, size). A slab of number
+    ``last`` takes all that is left."""
 
-    def build(rows: pa.Table) -> pa.Table:
-        a = np.zeros(size, np.int32)
-        a[tuple(rows.column(c).to_numpy() for c in "zyx")] = rows.column("v").to_numpy()
-        write(path, a)
-        return pa.table({"n": pa.array([a.size], pa.int64())})
+    def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        k = key[0].as_py()
+        size = n - k * step if k == last else min(step, n - k * step)
+        a = np.zeros((size, SIDE, WIDTH), np.int32)
+        a[rows.column("z").to_numpy() - k * step, rows.column("y").to_numpy(), rows.column("x").to_numpy()] = rows.column("v").to_numpy()
+        write(f"{path}/{name.format(k)}", k, a)
+        return pa.table({"path": pa.array([f"{path}/{name.format(k)}"]), "no": pa.array([k], pa.int64()), "z0": pa.array([k * step], pa.int64()), "size": pa.array([size], pa.int64())})
 
-    volume(spark, sf_dir).withColumn("_k", F.lit(0)).groupBy("_k").applyInArrow(build, "n long").collect()
-    return path
+    no = floor_div("z", step)
+    return written(vol.withColumn("_k", no if last is None else F.least(no, F.lit(last))).groupBy("_k").applyInArrow(build, "path string, no long, z0 long, size long"))
+
+
+def slab_voxels(slabs: DataFrame, fmt: str, **options: str) -> DataFrame:
+    """The voxels of slab files, read at their places."""
+    zero = F.lit(0).cast("long")
+    long = lambda x: F.lit(x).cast("long")
+    places = slabs.select("path", F.lit(fmt).alias("format"), F.array("z0", zero, zero).alias("start"), F.array(zero, zero, zero).alias("lo"), F.array("size", long(SIDE), long(WIDTH)).alias("hi"), F.lit(json.dumps(options)).alias("options"))
+    return grid.unpack(placed(places), "int32")
 
 
 @query(f"with {VOLUME} select z, y, x, v from vol")
 def nifti_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = one_file(spark, sf_dir, lambda p, a: nifti.write_nifti(f"{p}/v.nii.gz", a))
-    return grid.unpack(opened(spark, "nifti", f"{path}/v.nii.gz")[0], "int32")
+    slabs = slab_files(volume(spark, sf_dir), depth(spark, sf_dir), scratch(spark), "v{:06d}.nii.gz", lambda p, _, a: nifti.write_nifti(p, a))
+    return slab_voxels(slabs, "nifti")
+
+
+@query(f"with {VOLUME} select z, y, x, v from vol")
+def mat_first_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of files with several variables, the first that isn't hidden."""
+    slabs = slab_files(volume(spark, sf_dir), depth(spark, sf_dir), scratch(spark), "v{:06d}.mat", lambda p, _, a: mat.write_mat(p, {"_hidden": a[:1], "volume": a, "another": a[:1]}))
+    return slab_voxels(slabs, "mat")
+
+
+@query(f"with {VOLUME} select z, y, x, v from vol")
+def mat_hdf5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version 7.3: chunks with shuffle and deflate, found by a walk of their tree."""
+    write = lambda p, _, a: hdf5.write_hdf5(p, {"_hidden": a[:1], "volume": a}, (3, 8, 16), fan=4)
+    slabs = slab_files(volume(spark, sf_dir), depth(spark, sf_dir), scratch(spark), "v{:06d}.mat", write)
+    return slab_voxels(slabs, "mat", maxLoad="24")
 
 
 @query(f"with {VOLUME} select z, y, x, v from vol where z >= 2 and z < 7 and x >= 9 and x < 50")
 def wkw_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compressed blocks on a space-filling curve, read by region."""
-    path = one_file(spark, sf_dir, lambda p, a: wkw.write_wkw(f"{p}/1", a, 4, 2))
+    path = scratch(spark)
+    slab_files(volume(spark, sf_dir), depth(spark, sf_dir), path, "1", lambda p, k, a: wkw.write_wkw(p, a, 4, 2, first=(k, 0, 0)), step=8)
     z, y, x = shape(spark, sf_dir).values()
     return grid.unpack(opened(spark, "wkw", f"{path}/1", shape=f"{x},{y},{z}", region="2:7,:,9:50")[0], "int32")
 
@@ -102,17 +135,16 @@ def tiff_compressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, n = scratch(spark), depth(spark, sf_dir)
     ways = ((tiff.LZW, 2, (16, 16)), (tiff.PACKBITS, 1, (7, WIDTH)), (tiff.ZSTD, 2, (SIDE, WIDTH)), (tiff.DEFLATE, 1, (32, 48)))
 
-    def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        k = key[0].as_py()
-        a = np.zeros((-(-(n - k) // 4), SIDE, WIDTH), np.int32)
-        a[rows.column("z").to_numpy() // 4, rows.column("y").to_numpy(), rows.column("x").to_numpy()] = rows.column("v").to_numpy()
-        compression, predictor, cell = ways[k]
-        tiff.write_tiff(f"{path}/{k}.tiff", a, compression, predictor, cell)
-        return pa.table({"n": pa.array([a.size], pa.int64())})
-
-    volume(spark, sf_dir).withColumn("k", F.col("z") % 4).groupBy("k").applyInArrow(build, "n long").collect()
-    parts = [grid.unpack(opened(spark, "tiff", f"{path}/{k}.tiff")[0], "int32").select(F.lit(k).cast("long").alias("k"), (F.col("z") * 4 + k).alias("z"), "y", "x", "v") for k in range(min(4, n))]
-    return reduce(DataFrame.unionByName, parts)
+    def write(p: str, _: int, a: np.ndarray) -> None:
+        for k, (compression, predictor, cell) in enumerate(ways[: len(a)]):
+            tiff.write_tiff(f"{p}/{k}.tiff", a[k::4], compression, predictor, cell)
+
+    slabs = slab_files(volume(spark, sf_dir), n, path, "{:06d}", write)
+    found = []
+    for k in range(len(ways)):
+        own = slabs.where(F.col("size") > k).select(F.concat("path", F.lit(f"/{k}.tiff")).alias("path"), floor_div("z0", 4).alias("z0"), floor_div(F.col("size") + 3 - k, 4).alias("size"))
+        found.append(slab_voxels(own, "tiff").select(F.lit(k).cast("long").alias("k"), (F.col("z") * 4 + k).alias("z"), "y", "x", "v"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(f"with {VOLUME} select name, z, y, x, v from (select 'a' as name, * from vol union all select 'b/c', z, y, x, cast(0 as integer) from vol where z < 2)")

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from voxelmill.operators import digests, grid
 from voxelmill.plans.config import ArrayOptions
 from voxelmill.queries import query
-from voxelmill.queries.formats import _stored, scratch
+from voxelmill.queries.formats import _stored
 from voxelmill.queries.geometry import DIFFERENT
 from voxelmill.queries.pyramids import ALL_LEVELS
 from voxelmill.queries.views import SIDE, VOLUME, shape, volume
 from voxelmill.sinks import pyramids, regions
 from voxelmill.sinks import zarr as sink
 from voxelmill.sources.blocks import opened, source, voxels
+from voxelmill.sources.shared import scratch
 
 
 @query(f"with {VOLUME} select z, y, x, v from vol where z >= 3 and z < 21 and y in (2, 3, 17) and x > 40 and v < 0")

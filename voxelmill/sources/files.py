@@ -1,4 +1,4 @@
-"""Files by path or URI: local paths, or anything that pyarrow opens (hdfs, s3, gs, ...)."""
+"""Files by path or URI: local paths, anything that pyarrow opens (hdfs, s3, gs, ...), or http and https for reading."""
 
 from __future__ import annotations
 
@@ -8,8 +8,12 @@ import uuid
 
 from pyarrow import fs
 
+from voxelmill.sources import http
+
 
 def located(path: str) -> tuple[fs.FileSystem, str]:
+    if http.is_url(path):
+        raise ValueError(f"web servers can be read, and neither listed nor written to: {path}")
     if "://" in path:
         if path.startswith("file://"):
             return fs.LocalFileSystem(), path[len("file://") :]
@@ -18,22 +22,33 @@ def located(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def exists(path: str) -> bool:
+    if http.is_url(path):
+        return http.length(path) is not None
     f, p = located(path)
     return f.get_file_info(p).type != fs.FileType.NotFound
 
 
 def is_dir(path: str) -> bool:
+    if http.is_url(path):
+        return False
     f, p = located(path)
     return f.get_file_info(p).type == fs.FileType.Directory
 
 
 def read(path: str, offset: int = 0, size: int | None = None) -> bytes:
+    if http.is_url(path):
+        return http.read(path, offset, size)
     f, p = located(path)
     with f.open_input_file(p) as h:
         return h.read_at(h.size() - offset if size is None else size, offset)
 
 
 def length(path: str) -> int:
+    if http.is_url(path):
+        n = http.length(path)
+        if n is None:
+            raise FileNotFoundError(path)
+        return n
     f, p = located(path)
     return f.get_file_info(p).size
 

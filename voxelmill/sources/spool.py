@@ -59,7 +59,7 @@ class SpoolFormat(Format):
             raise ValueError(f"unknown pixel encoding: {encoding}")
         dtype = ENCODINGS[encoding]
         per_file, columns = int(ini["multiimage"]["ImagesPerFile"]), int(data["AOIStride"]) // np.dtype(dtype).itemsize
-        rows = height + 1 if height % 2 else height + 2
+        rows = _rows(height)
         found = sorted(i for n in files.names(self.path) if (i := file_index(n)) is not None)
         if self.options.get("info"):
             found = found[: kept_files(self.options["info"])]
@@ -92,15 +92,30 @@ class SpoolSource(BlockSource):
 
 def write_spool(path: str, volume: np.ndarray, per_file: int) -> None:
     """The inverse of the reader: a volume (row, column, frame) as a spool folder. Frames must fill files."""
-    height, columns, frames = volume.shape
-    if frames % per_file:
+    if volume.shape[2] % per_file:
         raise ValueError("frames don't fill whole files")
-    rows = height + 1 if height % 2 else height + 2
-    encoding = next(k for k, v in ENCODINGS.items() if v == volume.dtype.name)
-    padded = np.zeros((frames, rows, columns), volume.dtype)
-    padded[:, :height] = volume.transpose(2, 0, 1)
+    write_settings(path, volume.shape[:2], volume.dtype, per_file)
+    for k in range(0, volume.shape[2], per_file):
+        write_frames(path, k // per_file, volume[:, :, k : k + per_file])
+
+
+def write_settings(path: str, shape: tuple[int, int], dtype: np.dtype, per_file: int) -> None:
+    """What a folder of frames (row, column) says of itself."""
+    encoding = next(k for k, v in ENCODINGS.items() if v == dtype.name)
+    height, columns = shape
     files.write(f"{path}/{MARKER}", b"")
-    text = f"[data]\nAOIHeight = {height}\nAOIWidth = {columns}\nAOIStride = {columns * volume.itemsize}\nPixelEncoding = {encoding}\nImageSizeBytes = {rows * columns * volume.itemsize}\n[multiimage]\nImagesPerFile = {per_file}\n"
+    text = f"[data]\nAOIHeight = {height}\nAOIWidth = {columns}\nAOIStride = {columns * dtype.itemsize}\nPixelEncoding = {encoding}\nImageSizeBytes = {_rows(height) * columns * dtype.itemsize}\n[multiimage]\nImagesPerFile = {per_file}\n"
     files.write(f"{path}/{SETTINGS}", text.encode("utf-8-sig"))
-    for k in range(0, frames, per_file):
-        files.write(f"{path}/{file_name(k // per_file)}", padded[k : k + per_file].tobytes())
+
+
+def write_frames(path: str, no: int, volume: np.ndarray) -> None:
+    """One file of frames, from (row, column, frame)."""
+    height, columns, frames = volume.shape
+    padded = np.zeros((frames, _rows(height), columns), volume.dtype)
+    padded[:, :height] = volume.transpose(2, 0, 1)
+    files.write(f"{path}/{file_name(no)}", padded.tobytes())
+
+
+def _rows(height: int) -> int:
+    """With padding."""
+    return height + 1 if height % 2 else height + 2

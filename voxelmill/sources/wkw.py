@@ -116,8 +116,8 @@ class WkwSource(BlockSource):
     kind, short = WkwFormat, "wkw"
 
 
-def write_wkw(path: str, a: np.ndarray, block: int = 32, file: int = 4, kind: int = LZ4) -> None:
-    """A small volume (slice, row, column) as a data set."""
+def write_wkw(path: str, a: np.ndarray, block: int = 32, file: int = 4, kind: int = LZ4, first: tuple[int, int, int] = (0, 0, 0)) -> None:
+    """A small volume (slice, row, column) as a data set, or as those of its files that begin with number ``first`` on each axis."""
     edge, head = block * file, Head(block, file, kind, a.dtype.name, a.itemsize, HEAD + (0 if kind == RAW else 8 * file**3))
     files.write(f"{path}/header.wkw", Head(block, file, kind, a.dtype.name, a.itemsize, 0).packed())
     place = np.argsort(curve(file).ravel())
@@ -131,4 +131,4 @@ def write_wkw(path: str, a: np.ndarray, block: int = 32, file: int = 4, kind: in
             data = np.ascontiguousarray(cube[l * block : (l + 1) * block, j * block : (j + 1) * block, i * block : (i + 1) * block]).tobytes()
             blocks.append(data if kind == RAW else pa.Codec("lz4_raw").compress(data, asbytes=True))
         ends = b"" if kind == RAW else (head.start + np.cumsum([len(b) for b in blocks])).astype("<u8").tobytes()
-        files.write(f"{path}/z{z}/y{y}/x{x}.wkw", head.packed() + ends + b"".join(blocks))
+        files.write(f"{path}/z{z + first[0]}/y{y + first[1]}/x{x + first[2]}.wkw", head.packed() + ends + b"".join(blocks))

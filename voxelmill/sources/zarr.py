@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import bz2
 import gzip
-import importlib.util
 import itertools
 import json
 import math
@@ -17,7 +16,7 @@ import numpy as np
 from pyspark.sql.datasource import DataSourceWriter
 from pyspark.sql.types import StructType
 
-from voxelmill.sources import files
+from voxelmill.sources import blosc, files
 from voxelmill.sources.blocks import Bounds, BlockSource, Cells, Format, Info, Part
 
 Codec = tuple[Callable[[bytes], bytes], Callable[[bytes], bytes]]
@@ -31,12 +30,10 @@ def _zstd(level: int) -> Codec:
 
 
 def _blosc(options: dict) -> Codec:
-    if not importlib.util.find_spec("numcodecs"):
-        raise ValueError("blosc needs the package numcodecs; zstd, gzip and zlib need none")
-    from numcodecs import Blosc
-
-    c = Blosc(**{k: v for k, v in options.items() if k in ("cname", "clevel", "shuffle", "blocksize")})
-    return lambda b: bytes(c.encode(b)), lambda b: bytes(c.decode(b))
+    shuffle = {"noshuffle": 0, "shuffle": 1, "bitshuffle": 2, -1: 1}
+    given = options.get("shuffle", 1)
+    how, item = shuffle.get(given, given), int(options.get("typesize") or options.get("itemsize") or 1)
+    return lambda b: blosc.compress(b, item, options.get("cname", "lz4"), int(options.get("clevel", 5)), how), blosc.decompress
 
 
 def codec(name: str | None, options: dict | None = None) -> Codec:
@@ -119,7 +116,7 @@ class Layout:
         if version == 2:
             self.dtype, self.chunk, self.order = np.dtype(doc["dtype"]), tuple(doc["chunks"]), doc.get("order", "C")
             c = doc.get("compressor")
-            self.codec = codec(c["id"] if c else None, c)
+            self.codec = codec(c["id"] if c else None, {"itemsize": self.dtype.itemsize} | c if c else None)
             self.separator = doc.get("dimension_separator", ".")
             return
         self.dtype, self.chunk = np.dtype(doc["data_type"]), tuple(doc["chunk_grid"]["configuration"]["chunk_shape"])
