@@ -212,9 +212,15 @@ def test_verbose_logs_more(spark, tmp_path):
         logging.getLogger().setLevel(before)
 
 
-def test_small_sides_are_broadcast_after_a_look(spark):
-    assert "broadcast" in tiles.bounded(spark.range(3))._jdf.queryExecution().toString().lower()
-    assert "broadcast" not in tiles.bounded(spark.range(3), 2)._jdf.queryExecution().toString().lower()
+def test_small_sides_are_broadcast_by_their_size(spark):
+    """A written table's bytes are known, so the planner broadcasts a small one of its own accord, and no large one."""
+    rows = spark.range(100_000).withColumn("v", F.rand(1))
+    plan = lambda most: [spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most), rows.join(tiles.bounded(spark.range(3)), "id")._jdf.queryExecution().sparkPlan().toString()][1]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        assert "BroadcastHashJoin" in plan("10MB") and "BroadcastHashJoin" not in plan("100")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_regions_and_formats():

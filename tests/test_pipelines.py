@@ -123,9 +123,12 @@ def test_lsm_strip(spark, tmp_path):
     import struct
     import zlib
 
-    png = (tmp_path / "m.png").read_bytes()
-    at = png.index(b"IDAT")
-    raw = np.frombuffer(zlib.decompress(png[at + 4 : at + 4 + struct.unpack(">I", png[at - 4 : at])[0]]), np.uint8).reshape(64, -1)[:, 1:]
+    png, at, packed = (tmp_path / "m.png").read_bytes(), 8, b""
+    while at < len(png):
+        n, kind = struct.unpack_from(">I4s", png, at)
+        packed += png[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
+        at += 12 + n
+    raw = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(64, -1)[:, 1:]
     assert (raw.copy().view(">u2") == want.max(0)).all()
 
 
