@@ -181,6 +181,16 @@ def test_packing_keeps_every_document_once(spark):
     assert packing.pack(data.empty(spark)).count() == 0
 
 
+def test_packing_spreads_rows_that_repeat(spark, monkeypatch):
+    """A hundred thousand rows without id, all of one length: no part has five times the median."""
+    seen, number = [], packing.numbered
+    monkeypatch.setattr(packing, "numbered", lambda rows, group, fine, *a: seen.append(rows.groupBy(fine.alias("part")).count().toPandas()["count"]) or number(rows, group, fine, *a))
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("three words here").alias("text"))
+    got = packing.pack(docs, budget=3_000).groupBy("bucket", "batch").agg(F.count("*").alias("n"), F.count_distinct("place").alias("places")).toPandas()
+    assert seen[0].sum() == 100_000 and seen[0].max() < 5 * seen[0].median()
+    assert got["n"].sum() == 100_000 and (got["n"] == got["places"]).all() and len(got) == 100
+
+
 def test_long_lengths_are_rounded_up_a_little(spark):
     df = spark.createDataFrame([(n,) for n in (0, 1, 32768, 32769, 100_001, 10**9 + 7)], "n long").select("n", packing.on_grid(F.col("n")).alias("g"))
     for r in df.collect():

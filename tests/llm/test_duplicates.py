@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests import oracle
 from tests.llm import data
@@ -86,6 +87,19 @@ def test_lines_of_repeated_ids(spark):
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter([(1, ""), (1, "c"), (1, "c"), (2, ""), (None, ""), (None, "d")])
 
 
+def test_lines_of_very_many_rows_without_ids_and_of_a_text_of_very_many_lines(spark):
+    """Neither is gathered, or searched line by line: 100,000 of each within seconds."""
+    long_ = "\n".join(f"line {k}" if k % 3 else "common" for k in range(100_000))
+    rows = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("common\nown "), F.col("id") % 5_000, F.lit("\nseldom")).alias("text"), F.concat(F.lit("s"), F.col("id") % 7).alias("source"))
+    rows = rows.withColumn("text", F.when(F.col("source") != "s1", F.regexp_replace("text", "\nseldom", "")).otherwise(F.col("text")))
+    docs = rows.unionByName(spark.createDataFrame([(k, long_, f"s{k}") for k in range(6)], rows.schema))
+    out = lines.remove_boilerplate(docs, min_sites=6).groupBy(F.isnull("doc_id").alias("none"), "n_lines", "n_removed").count()
+    got = {(r["none"], r["n_lines"], r["n_removed"]): r["count"] for r in out.collect()}
+    # "own" lines stand on all seven sites, line k of the long texts on six
+    few = rows.where("source = 's1'").count()
+    assert got == {(True, 3, 2): few, (True, 2, 2): 100_000 - few, (False, 100_000, 100_000): 6}
+
+
 def test_spread_near_the_threshold_is_exact(spark):
     texts, sites = [], []
     for n in range(1, 60):

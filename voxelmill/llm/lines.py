@@ -6,10 +6,10 @@ threshold are decided by the estimate; lines near it get an exact distinct count
 
 Hot lines are pre-aggregated in every count, and the joins from rows to lines have one row per line on
 the small side, so adaptive execution can split them. Defined results: a null text has one empty line, a
-null site is a site of its own, empty lines always stay, a line repeated in one text goes each time. Rows
-with one id, repeated or not, lose the lines that any of them has on too many sites, which are the same for
-all. A very long text is one row as any other. An empty table gives no rows; columns n_lines and n_removed
-are replaced, all others are kept.
+null site is a site of its own, empty lines always stay, a line repeated in one text goes each time. Texts, not
+ids, tell which lines a row loses (by 128 bits of hash), so ids may be null or repeat however often; equal texts lose the same lines.
+A very long text is one row as any other, and takes time in proportion to its lines. An empty table gives no rows; columns
+n_lines and n_removed are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -31,13 +31,20 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
+def text_keys(text: Column) -> list[Column]:
+    """Two 64-bit hashes of a whole text."""
+    return [F.xxhash64(text), F.xxhash64(F.lit("text"), text)]
+
+
+def line_rows(docs: DataFrame, text_col: str, site_col: str) -> DataFrame:
+    """A row for each line that isn't empty: its text, its place there, its site, and its hashes."""
+    t1, t2 = text_keys(F.col(text_col))
     lines = docs.select(
-        F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(site_col).cast("string"), F.lit("\0"))).alias("_site"),
-        F.explode(split_lines(F.col(text_col))).alias("_line"),
+        t1.alias("_t1"), t2.alias("_t2"), F.xxhash64(F.coalesce(F.col(site_col).cast("string"), F.lit("\0"))).alias("_site"),
+        F.posexplode(split_lines(F.col(text_col))).alias("_pos", "_line"),
     ).where(F.trim("_line") != "")
     h1, h2 = keys(F.col("_line"))
-    return lines.select("_id", "_site", h1.alias("_h1"), h2.alias("_h2"))
+    return lines.select("_t1", "_t2", "_pos", "_site", h1.alias("_h1"), h2.alias("_h2"))
 
 
 def spread(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
@@ -57,17 +64,18 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with the text cleaned and columns n_lines (of all lines) and n_removed, which replace
     columns of these names."""
     docs = docs.drop("n_lines", "n_removed")
-    rows = materialise(line_rows(docs, id_col, text_col, site_col))
+    rows = materialise(line_rows(docs, text_col, site_col))
     common = materialise(spread(rows, min_sites))
-    found = (
-        rows.join(common, ["_h1", "_h2"]).groupBy("_id", "_h1", "_h2").agg(F.lit(1).alias("_one"))
-        .groupBy("_id").agg(F.collect_list(F.struct("_h1", "_h2")).alias("gone"))
-    )
+    own = ["_t1", "_t2"]
+    # the places of a text's common lines, once however many rows have the text
+    found = rows.join(common, ["_h1", "_h2"]).groupBy(*own, "_pos").agg(F.lit(1).alias("_one")).groupBy(*own).agg(F.collect_list("_pos").alias("gone"))
     # a user's columns stand in a struct, so no name of theirs meets one of these
-    joined = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("key")).join(found, F.col("key").eqNullSafe(F.col("_id")), "left")
-    own = lambda x: F.struct(keys(x)[0].alias("_h1"), keys(x)[1].alias("_h2"))
-    kept = F.filter(F.col("lines"), lambda x: ~((F.trim(x) != "") & F.array_contains(F.col("gone"), own(x))))
-    out = joined.withColumn("lines", split_lines(F.col(f"row.`{text_col}`"))).withColumn("kept", F.when(F.size("gone") > 0, kept).otherwise(F.col("lines")))
+    t1, t2 = text_keys(F.col(text_col))
+    joined = docs.select(F.struct("*").alias("row"), t1.alias("_t1"), t2.alias("_t2")).join(found, own, "left")
+    out = joined.withColumn("lines", split_lines(F.col(f"row.`{text_col}`")))
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.transform(places, lambda i: F.get(F.col("lines"), i))
+    out = out.withColumn("kept", F.when(F.size("gone") > 0, kept).otherwise(F.col("lines")))
     return out.select(
         *(F.col(f"row.`{c}`") for c in docs.columns if c != text_col), F.array_join("kept", "\n").alias(text_col),
         F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),

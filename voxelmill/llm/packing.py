@@ -74,9 +74,10 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None, buckets: int = 16, budget: int = 65_536) -> DataFrame:
     """One row per document: id, n_tokens, bucket, padded_len, batch (within the bucket), place (within
-    the batch). A batch holds ``max(1, budget // padded_len)`` documents."""
+    the batch). A batch holds ``max(1, budget // padded_len)`` documents. Rows are numbered when they are first written, and dealt out by
+    these numbers, so rows that repeat, or have no id, are spread as evenly as others."""
     length = word_count() if length is None else length
-    rows = materialise(docs.select(F.col(id_col), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens")))
+    rows = materialise(docs.select(F.col(id_col), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"), F.monotonically_increasing_id().alias("_no")))
     for pads_to in (F.greatest("n_tokens", F.lit(1).cast("long")), on_grid(F.col("n_tokens"))):
         lengths = rows.withColumn("_len", pads_to)
         seen = lengths.groupBy("_len").agg(F.count(F.lit(1)).alias("n")).toArrow()
@@ -89,7 +90,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
     table = F.array(*map(F.lit, ends))
     bucket = F.size(F.filter(table, lambda e: e < F.col("_len")))
     placed = rows.withColumn("bucket", bucket.cast("int")).withColumn("padded_len", F.element_at(table, F.col("bucket") + 1).cast("long")).drop("_len")
-    part = F.pmod(F.xxhash64(F.col(id_col), F.col("n_tokens")), F.lit(PARTS)).cast("int")
+    part = F.pmod(F.xxhash64("_no"), F.lit(PARTS)).cast("int")
     out = numbered(placed, "bucket", part, [id_col, "n_tokens"], "_row")
     room = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("padded_len")))
-    return out.withColumn("batch", F.floor(F.col("_row") / room).cast("long")).withColumn("place", F.pmod(F.col("_row"), room).cast("int")).drop("_row")
+    return out.withColumn("batch", F.floor(F.col("_row") / room).cast("long")).withColumn("place", F.pmod(F.col("_row"), room).cast("int")).drop("_row", "_no")
