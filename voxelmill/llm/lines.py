@@ -39,10 +39,10 @@ def text_keys(text: Column) -> list[Column]:
 def line_rows(docs: DataFrame, text_col: str, site_col: str) -> DataFrame:
     """A row for each line that isn't empty: its text, its place there, its site, and its hashes."""
     t1, t2 = text_keys(F.col(text_col))
-    lines = docs.select(
-        t1.alias("_t1"), t2.alias("_t2"), F.xxhash64(F.coalesce(F.col(site_col).cast("string"), F.lit("\0"))).alias("_site"),
-        F.posexplode(split_lines(F.col(text_col))).alias("_pos", "_line"),
-    ).where(F.trim("_line") != "")
+    site = F.xxhash64(F.coalesce(F.col(site_col).cast("string"), F.lit("\0"))).alias("_site")
+    # a text is hashed once, before its lines become rows
+    texts = docs.select(t1.alias("_t1"), t2.alias("_t2"), site, split_lines(F.col(text_col)).alias("_lines"))
+    lines = texts.select("_t1", "_t2", "_site", F.posexplode("_lines").alias("_pos", "_line")).where(F.trim("_line") != "")
     h1, h2 = keys(F.col("_line"))
     return lines.select("_t1", "_t2", "_pos", "_site", h1.alias("_h1"), h2.alias("_h2"))
 
