@@ -25,6 +25,8 @@ LEAST, WORDS, FIRST = 100, 5, 2000
 #: While so many words are frequent (a dictionary of 32 MB) they are numbered by 4 bytes; beyond, by 8 bytes of their hash.
 NUMBERED = 1 << 22
 PART = 2 << 20
+#: Counted pairs that a task holds before it sends them (32 MB).
+HELD = 1 << 21
 
 #: Bytes that end a piece, and bytes between words besides (fixed).
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -129,7 +131,19 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _runs(codes: Codes, pairs: BitTable | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counted keys of each part: of pairs of frequent words or, given those that may be frequent, of longer phrases made of them."""
+    """Counted keys of each part: of pairs of frequent words or, given those that may be frequent, of longer phrases made of them. Pairs of
+    numbered words are counted over several parts before they are sent."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merged() -> Iterator[pa.RecordBatch]:
+        if held:
+            pair, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            pair, at = np.unique(pair, return_inverse=True)
+            n = np.bincount(at, n).astype(np.int64)
+            for k in range(0, len(pair), 1 << 17):
+                some = pair[k : k + (1 << 17)].astype(">u8")
+                yield pa.RecordBatch.from_arrays([_binary(some.view(np.uint8).reshape(-1, 8)), pa.array(n[k : k + (1 << 17)])], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
@@ -137,6 +151,12 @@ def _runs(codes: Codes, pairs: BitTable | None) -> Callable[[Iterator[pa.RecordB
             ok, code = codes.of(w.h)
             follows = np.zeros(len(code), bool)
             follows[:-1] = ok[:-1] & ok[1:] & (w.piece[:-1] == w.piece[1:])
+            if pairs is None and codes.width == 4:
+                at = np.flatnonzero(follows)
+                held.append(np.unique(code[at] << U(32) | code[at + 1], return_counts=True))
+                if sum(len(x) for x, _ in held) > HELD:
+                    yield from merged()
+                continue
             if pairs is not None:
                 at = np.flatnonzero(follows)
                 follows[at] = pairs.may_hold(_pair_hash(code[at], code[at + 1]))
@@ -157,6 +177,7 @@ def _runs(codes: Codes, pairs: BitTable | None) -> Callable[[Iterator[pa.RecordB
             keys = codes.keys(code, start, size, 2 if pairs is None else WORDS)
             for k in range(0, len(n), 1 << 17):
                 yield pa.RecordBatch.from_arrays([keys[k : k + (1 << 17)], pa.array(n[k : k + (1 << 17)])], ["key", "n"])
+        yield from merged()
 
     return run
 
