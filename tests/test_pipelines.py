@@ -268,6 +268,44 @@ def test_lzw_of_the_standard_example():
     assert tiff.unpacked_bits(bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA])) == bytes.fromhex("AAAAAA80002AAAAAAAAA80002A22" + "AA" * 10)
 
 
+def lzw_packed(data):
+    """A plain encoder: a clear code first and wherever 3,800 codes have been written."""
+    bits, table, current, count = [], {bytes([k]): k for k in range(256)}, b"", 0
+
+    def put(code):
+        bits.append(format(code, f"0{min(12, max(9, (258 + count).bit_length()))}b"))
+
+    put(256)
+    for k in range(len(data)):
+        longer = current + data[k : k + 1]
+        if longer in table:
+            current = longer
+            continue
+        put(table[current])
+        table[longer], count, current = 257 + count + 1, count + 1, data[k : k + 1]
+        if count == 3800:
+            put(256)
+            table, count = {bytes([k]): k for k in range(256)}, 0
+    if current:
+        put(table[current])
+        count += 1
+    put(257)
+    text = "".join(bits)
+    text += "0" * (-len(text) % 8)
+    return int(text, 2).to_bytes(len(text) // 8, "big")
+
+
+def test_lzw_there_and_back():
+    r = np.random.default_rng(0)
+    for data in (b"", b"a", b"a" * 100_000, r.integers(0, 256, 50_000, np.uint8).tobytes(), r.integers(0, 3, 60_000, np.uint8).tobytes(), b"abcab" * 3000):
+        packed = lzw_packed(data)
+        assert tiff.unpacked_lzw(packed) == data
+        cut = tiff.unpacked_lzw(packed[: len(packed) // 2])
+        assert data.startswith(cut)
+    with pytest.raises(ValueError, match="entry"):
+        tiff.unpacked_lzw(bytes([0x80, 0x00, 0x3F, 0xFF, 0xFF]))
+
+
 def test_region_of_a_stored_level(spark, tmp_path):
     tiff.write_tiff(str(tmp_path / "s.tiff"), BRAIN)
     w = lsm.single_volume(spark, str(tmp_path / "s.tiff"), out=str(tmp_path / "o.zarr"), chunk=(64,), levels=0)

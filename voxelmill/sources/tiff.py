@@ -96,34 +96,54 @@ def unpacked_bits(data: bytes) -> bytes:
 CLEAR, END = 256, 257
 
 
+def lzw_codes(data: np.ndarray, at: int, many: int) -> tuple[np.ndarray, int]:
+    """Up to ``many`` codes of 9 to 12 bits from a bit on, as they follow a clear code, and the bit after them.
+    The n-th code's width depends on n alone; codes grow one entry before the table is full. ``data`` has three
+    more bytes at its end."""
+    width = np.clip(np.floor(np.log2(np.arange(258, 258 + many))).astype(np.int64) + 1, 9, 12)
+    ends = at + np.cumsum(width)
+    width = width[: np.searchsorted(ends, (len(data) - 3) * 8, "right")]
+    first = ends[: len(width)] - width
+    byte = first >> 3
+    window = data[byte].astype(np.int64) << 16 | data[byte + 1].astype(np.int64) << 8 | data[byte + 2]
+    return window >> (24 - (first & 7) - width) & ((1 << width) - 1), int(ends[len(width) - 1]) if len(width) else at
+
+
+def lzw_bytes(code: np.ndarray) -> np.ndarray:
+    """What codes between two clear codes stand for. Entry e of the table is what code e stands for and the next
+    byte of the output, so a code that names it repeats a stretch of the output: every byte points at an
+    earlier one, and pointers are followed to a literal by doubling."""
+    literal = code < CLEAR
+    if not (literal | (code - 257 <= np.arange(len(code)))).all() or not literal[:1].all():
+        raise ValueError("an LZW code names an entry that isn't there")
+    entry = np.where(literal, np.arange(len(code)), code - 258)
+    steps, up = np.where(literal, 0, 1), entry
+    while (up != up[up]).any():
+        steps, up = steps + steps[up], up[up]
+    size = steps + 1
+    start = np.cumsum(size) - size
+    source = (np.arange(int(size.sum())) + np.repeat(start[entry] - start, size)).astype(np.int32 if size.sum() < 1 << 31 else np.int64)
+    while ((further := source[source]) != source).any():
+        source = further
+    out = np.zeros(len(source), np.uint8)
+    out[start[literal]] = code[literal]
+    return out[source]
+
+
 def unpacked_lzw(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, the highest bit first; codes grow one entry before the table is full."""
-    single = [bytes([k]) for k in range(256)] + [b"", b""]
-    table, out, last = list(single), [], b""
-    held = bits = 0
-    width = 9
-    for byte in data:
-        held = held << 8 | byte
-        bits += 8
-        if bits < width:
+    """Stretches between clear codes, each unpacked as a whole."""
+    padded, out, at, many = np.frombuffer(data + bytes(3), np.uint8), [], 0, 1 << 12
+    while True:
+        code, after = lzw_codes(padded, at, many)
+        stops = np.flatnonzero((code == CLEAR) | (code == END))
+        if not len(stops) and len(code) == many:
+            many *= 2
             continue
-        bits -= width
-        code = held >> bits
-        held &= (1 << bits) - 1
-        if code == END:
-            break
-        if code == CLEAR:
-            table, width, last = list(single), 9, b""
-            continue
-        if not last:
-            last = table[code]
-        else:
-            entry = table[code] if code < len(table) else last + last[:1]
-            table.append(last + entry[:1])
-            last = entry
-        out.append(last)
-        width = min(12, max(9, (len(table) + 1).bit_length()))
-    return b"".join(out)
+        upto = int(stops[0]) if len(stops) else len(code)
+        out.append(lzw_bytes(code[:upto]).tobytes())
+        if not len(stops) or code[upto] == END:
+            return b"".join(out)
+        at, many = lzw_codes(padded, at, upto + 1)[1], 1 << 12
 
 
 def _zstd(data: bytes) -> bytes:
