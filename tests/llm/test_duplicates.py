@@ -320,3 +320,30 @@ def test_passages_of_awkward_rows(spark):
     want = without_repeats([t for _, t, _ in rows], 200)
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got) == Counter((i, *w[:3]) for (i, *_), w in zip(rows, want))
     assert passages.remove_repeats(data.empty(spark)).count() == 0
+
+
+def test_pages_of_one_template_meet_only_where_similar(spark):
+    """Sets of one template (similarity 0.7) share 70 shingles, but only what is similar may meet by them."""
+    r = np.random.default_rng(5)
+    sets, label = [], []
+    for template in range(3):
+        common = mix(np.arange(70, dtype=np.uint64) + np.uint64(1000 * template))
+        for k in range(400):
+            sets.append(np.concatenate([common, mix(r.integers(0, 1 << 60, 15).astype(np.uint64))]))
+            label.append(-1 - len(label))
+    for k in range(60):  # similar to another one, sizes that differ; some have its label
+        of = sets[k * 7]
+        sets.append(np.concatenate([of[: len(of) - k % 9], mix(r.integers(0, 1 << 60, k % 5).astype(np.uint64))]))
+        label.append(label[k * 7] if k % 4 == 0 else -1 - len(label))
+    rest = r.random(len(sets)) < 0.4
+    nodes = spark.createDataFrame([(k, label[k], bool(rest[k])) for k in range(len(sets))], "_row long, label long, rest boolean")
+    table = spark.createDataFrame([(k, bytearray(minhash.packed(x).tobytes())) for k, x in enumerate(sets)], "_row long, set binary")
+    met = {(x["a"], x["b"]) for x in minhash.searched(nodes, table, 0.8).collect()}
+    plain, want = [set(x.tolist()) for x in sets], set()
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(plain[a] & plain[b]) if label[a] != label[b] and (rest[a] or rest[b]) else 0
+            if common >= 0.8 * (len(plain[a]) + len(plain[b]) - common):
+                want.add((b, a))
+    assert len(want) > 20 and want <= met and len(met) < 10 * len(sets)
+    assert all(a < b and label[a] != label[b] and (rest[a] or rest[b]) for a, b in met)

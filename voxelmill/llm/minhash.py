@@ -190,18 +190,18 @@ def candidates(nodes: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
 
 
 def unsettled(large: DataFrame, found: DataFrame, rows: int) -> DataFrame:
-    """_row, rest: nodes of large buckets that hold several components; rest: not in a bucket's main one."""
+    """_row, label, rest: nodes of large buckets that hold several components; rest: not in a bucket's main one."""
     labelled = large.join(found.withColumnRenamed("node", "_row"), "_row", "left").withColumn("label", F.coalesce("label", "_row"))
     each = labelled.groupBy("h1", "label").agg(F.count(F.lit(1)).alias("n"))
     main = materialise(each.groupBy("h1").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), rows)
-    return labelled.join(main, "h1").groupBy("_row").agg(F.max(F.col("label") != F.col("main")).alias("rest"))
+    return labelled.join(main, "h1").groupBy("_row", "label").agg(F.max(F.col("label") != F.col("main")).alias("rest"))
 
 
 COUNTERS = 1 << 20
 
 
 def rarest(sets: DataFrame, similar: float) -> DataFrame:
-    """_row, rest, n, shingle, place: of each set (_row, rest, set) the rarest shingles, as many as a set of that
+    """_row, label, rest, n, shingle, place: of each set (_row, label, rest, set) the rarest shingles, as many as a set of that
     similarity can't lack. Any order that is the same for all sets is exact; this one is by counters of
     fixed number that shingles are hashed to, so that common ones come last."""
 
@@ -231,26 +231,33 @@ def rarest(sets: DataFrame, similar: float) -> DataFrame:
                 owner = pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("_row").take(owner), batch.column("rest").take(owner), pa.array(sizes, pa.int64()).take(owner),
+                        *(batch.column(c).take(owner) for c in ("_row", "label", "rest")), pa.array(sizes, pa.int64()).take(owner),
                         pa.array(signed(np.concatenate(got) if got else np.zeros(0, U))), pa.array(np.concatenate([np.arange(len(g)) for g in got] or [np.zeros(0, np.int64)])),
                     ],
-                    ["_row", "rest", "n", "shingle", "place"],
+                    ["_row", "label", "rest", "n", "shingle", "place"],
                 )
 
-    return sets.select("_row", "rest", "set").mapInArrow(pick, "_row long, rest boolean, n long, shingle long, place long")
+    return sets.select("_row", "label", "rest", "set").mapInArrow(pick, "_row long, label long, rest boolean, n long, shingle long, place long")
 
 
 def searched(nodes: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """Candidates (a, b) of the nodes marked ``rest`` among all of ``nodes``: they share a shingle early
-    enough that what follows it in both can still make them similar. Sets that are similar differ in size
-    by one step of a geometric scale at most, so each meets only the steps next to its own."""
+    """Candidates (a, b) of different labels, one of them marked ``rest``: they share a shingle early enough
+    that what follows it in both can still make them similar. Of sets that are similar, the smaller (x)
+    lacks less than the larger (y) may: it has 2 s / (1 + s) of its own shingles in common with the
+    larger, so it is looked up by fewer of its rarest ones. Pages of one template that aren't similar so don't
+    meet by the template's shingles, which are among the larger's only. The larger is of the same step
+    of a geometric scale of sizes, or of the next."""
     step = F.floor(F.log("n") / -np.log(similar) + 1e-9).cast("int")
     rows = materialise(rarest(sets.join(nodes, "_row"), similar).withColumn("step", step))
-    mine = rows.where("rest").select(F.col("_row").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("i"), "shingle", F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1)))).alias("step"))
-    theirs = rows.select(F.col("_row").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("j"), "rest", "shingle", "step")
-    enough = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) >= F.lit(similar / (1 + similar)) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    other = (F.col("a") != F.col("b")) & ((F.col("a") < F.col("b")) | ~F.col("rest"))
-    met = mine.alias("l").join(theirs.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.step") == F.col("r.step")) & other & enough)
+    few = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * similar / (1 + similar)) * F.col("n") - 1e-6)
+    small = rows.where(few).withColumn("step", F.explode(F.array(F.col("step"), F.col("step") + 1))).alias("x")
+    large = rows.alias("y")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    enough = F.least(x("n") - x("place"), y("n") - y("place")) >= F.lit(similar / (1 + similar)) * (x("n") + y("n")) - 1e-6
+    ordered = (x("n") < y("n")) | ((x("n") == y("n")) & (x("_row") < y("_row")))
+    on = (x("shingle") == y("shingle")) & (x("step") == y("step")) & (x("label") != y("label")) & ordered & enough
+    met = small.where("rest").join(large, on).select(x("_row").alias("a"), y("_row").alias("b"))
+    met = met.unionByName(small.where("not rest").join(large.where("rest"), on).select(x("_row").alias("a"), y("_row").alias("b")))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
