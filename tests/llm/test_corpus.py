@@ -109,9 +109,38 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.score(data.empty(spark), toxicity.fit(data.empty(spark), none)).count() == 0
 
 
+def test_a_labelled_id_that_repeats_counts_once(spark):
+    docs = spark.range(3000).select((F.col("id") % 3).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    some = toxicity.labelled(docs, labels, "doc_id", "text", "toxic", 2).collect()
+    assert len(some) <= 2
+    every = toxicity.labelled(docs.unionByName(docs), labels, "doc_id", "text", "toxic", 10).collect()
+    want = [int(i in (0, 1)) for i in range(3) if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(r["_toxic"] for r in every) == sorted(want)
+    assert sorted(map(tuple, every)) == sorted(map(tuple, toxicity.labelled(docs, labels, "doc_id", "text", "toxic", 10).collect()))
+
+
 # ---------------------------------------------------------------- shards and numbers
 
 
+def test_shards_against_a_plain_plan(spark, sf_dir):
+    """Every row's shard by hand: slots by size, the largest first, each to the lightest shard so far."""
+    rows = queries.op6_virtual_slots(spark, sf_dir).toPandas()
+    assert set(rows["map_version"]) == {1} and rows["vslot"].between(0, sharding.SLOTS - 1).all()
+    size = rows.groupby("vslot")["size"].sum().to_dict()
+    load, where = [0] * queries.SHARDS, {}
+    for slot in sorted(range(sharding.SLOTS), key=lambda k: (-size.get(k, 0), k)):
+        where[slot] = min(range(queries.SHARDS), key=lambda k: (load[k], k))
+        load[where[slot]] += size.get(slot, 0)
+    assert all(r.shard == where[r.vslot] for r in rows.itertuples())
+    for _, own in rows.groupby("shard"):
+        order = own.sort_values(["vslot", "doc_id", "text_crc32", "size"])
+        assert list(order["slot"]) == list(range(len(own)))
+    again = queries.op6_virtual_slots(spark, sf_dir).toPandas()
+    key = ["doc_id", "vslot", "shard", "slot"]
+    assert rows[key].sort_values(key).reset_index(drop=True).equals(again[key].sort_values(key).reset_index(drop=True))
+
+
 def test_shards_are_even_and_slots_gapless(spark, sf_dir):
     rows = queries.op6_virtual_slots(spark, sf_dir).toPandas()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

@@ -8,8 +8,8 @@ regression over the features that tell the classes apart best is fitted on label
 
 The classifier learns from at most ``SAMPLE`` labelled rows, those of least id hash; all else covers every
 row and whole texts, very long ones in parts of their own. Null or empty texts score as a text without
-features, equal texts alike. A label given several times counts once, as toxic if any says so; rows that
-repeat a labelled id each count. Without labelled rows every score is 0; with labels of one class only, the
+features, equal texts alike. A label given several times counts once, as toxic if any says so; of rows that
+repeat a labelled id, the one whose text has the least hash is learnt from. Without labelled rows every score is 0; with labels of one class only, the
 smoothed share of that class decides. An empty table gives no rows. A column of the score's name is replaced.
 """
 
@@ -287,13 +287,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, sample: int) -> DataFrame:
-    """text, toxic of at most ``sample`` labelled rows outside the held-out fold."""
+    """text, toxic of at most ``sample`` labelled rows outside the held-out fold: one row of each of so many ids."""
     some = (
         labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col))
         .groupBy(id_col).agg(F.max(label).cast("int").alias("_toxic"))
         .orderBy(F.xxhash64(id_col), id_col).limit(sample)
     )
-    return docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(some), id_col).select("_text", "_toxic")
+    rows = docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(some), id_col)
+    return rows.groupBy(id_col, "_toxic").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_text", "_toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Classifier:
