@@ -1,10 +1,13 @@
 """Secrets and personal data against plain regular expressions."""
 
+import base64
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import data
 from voxelmill.llm import pii, queries, secret_scan
@@ -154,3 +157,35 @@ def test_awkward_rows(spark):
     table = secret_scan.train(secret_scan.labelled_samples(spark))
     assert secret_scan.scan(docs, table).select("doc_id", "found").count() == pii.find(docs).count() == len(rows)
     assert pii.find(data.empty(spark)).count() == secret_scan.scan(data.empty(spark), table).count() == 0
+
+
+def test_spans_apart_from_base(spark):
+    r = random.Random(3)
+    rows = []
+    for no in range(60):
+        base = []
+        for rank, (kind, *_) in enumerate(secret_scan.BASE):
+            at = 0
+            for _ in range(r.randint(0, 12)):
+                start = at + r.randint(0, 40)
+                at = start + r.randint(1, 30)
+                base.append((start, rank, at, kind))
+        found, at = [], 0
+        for _ in range(r.randint(0, 20)):
+            start = at + r.randint(0, 30)
+            at = start + r.randint(1, 40)
+            found.append((start, 3, at, "random"))
+        rows.append((no, sorted(base), found))
+    kind = "array<struct<start:int,rank:int,end:int,kind:string>>"
+    docs = spark.createDataFrame(rows, f"no int, base {kind}, spans {kind}")
+    for row in docs.withColumn("got", secret_scan.apart(F.col("spans"), F.col("base"))).collect():
+        assert row["got"] == [s for s in row["spans"] if not any(b["start"] < s["end"] and s["start"] < b["end"] for b in row["base"])]
+
+
+def test_very_many_spans_take_time_in_proportion(spark):
+    """50,000 secrets beside 50,000 random tokens in one text, within seconds."""
+    r = random.Random(4)
+    text = "\n".join(f"password = {r.getrandbits(48):012x} {base64.b64encode(r.randbytes(24)).decode()}" for _ in range(50_000))
+    start = time.perf_counter()
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), secret_scan.train(secret_scan.labelled_samples(spark))).select(F.size("base").alias("b"), F.size("found").alias("f")).first()
+    assert got["b"] >= 50_000 and got["f"] > 90_000 and time.perf_counter() - start < 60

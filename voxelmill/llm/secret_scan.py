@@ -5,7 +5,7 @@ character Markov models, one of random strings and one of ordinary identifiers,
 samples: a token whose log-likelihood ratio per transition is above a threshold is a secret too.
 
 Positions come from the pieces between matches, summed in blocks, so a text with very many matches
-costs little more than its length; nothing is shuffled. Null texts count as empty, offsets are code
+costs little more than its length; so does telling which tokens lie apart from the patterns' spans. Nothing is shuffled. Null texts count as empty, offsets are code
 points with exclusive ends, and ``spans`` is "" where nothing is found. Equal rows have equal results; of
 spans that begin together, the kinds' order decides. An empty table gives no rows. Columns named base and
 found are replaced, all others are kept.
@@ -132,6 +132,21 @@ def score(token: Column, table: Column) -> Column:
     return let(codes, mean)
 
 
+def covered(spans: Column) -> Column:
+    """A byte for each code point as far as sorted spans that don't overlap reach: 1 inside of them."""
+    gap = lambda s, i: F.repeat(F.lit("0"), s["start"] - F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(0))
+    return F.array_join(F.transform(spans, lambda s, i: F.concat(gap(s, i), F.repeat(F.lit("1"), s["end"] - s["start"]))), "").cast("binary")
+
+
+def apart(spans: Column, base: Column) -> Column:
+    """Those of the spans that share no character with ``base``. What each kind of base covers is laid out once and
+    looked up by place, so the work grows with the text and not with the product of both."""
+    of = lambda rank: let(F.filter(base, lambda b: b["rank"] == rank), covered)
+    masks = F.array(*map(of, range(len(BASE))))
+    met = lambda m, s: F.contains(F.substring(m, s["start"] + 1, s["end"] - s["start"]), F.lit(b"1"))
+    return let(masks, lambda ms: F.filter(spans, lambda s: ~F.exists(ms, lambda m: met(m, s))))
+
+
 def scan(docs: DataFrame, table: list[float], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``base`` and ``found``: arrays of start, rank, end, kind; found holds base, too."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
@@ -143,8 +158,7 @@ def scan(docs: DataFrame, table: list[float], text_col: str = "text", threshold:
     ]
     out = docs.withColumn("base", F.array_sort(F.concat(*base)))
     judged = matches(raw, "random", len(BASE), f"{TOKEN}{{{TOKEN_LENGTH},}}", lambda g: score(g, ratios) > threshold)
-    free = lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    more = F.when(raw.rlike(f"{TOKEN}{{{TOKEN_LENGTH}}}"), F.filter(judged, free)).otherwise(none)
+    more = F.when(raw.rlike(f"{TOKEN}{{{TOKEN_LENGTH}}}"), F.when(F.size("base") == 0, judged).otherwise(apart(judged, F.col("base")))).otherwise(none)
     return out.withColumn("found", F.array_sort(F.concat(F.col("base"), more)))
 
 
