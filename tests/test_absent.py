@@ -16,6 +16,7 @@ from voxelmill.sinks import pyramids
 
 NAMES = [
     "convert_lsm_single_volume",
+    "convert_df_single_slice",
     # more
 ]
 
