@@ -17,6 +17,7 @@ from voxelmill.sinks import pyramids
 NAMES = [
     "convert_lsm_single_volume",
     "convert_df_single_slice",
+    "convert_lsm_multi_slice",
     # more
 ]
 
