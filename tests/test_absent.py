@@ -18,6 +18,7 @@ NAMES = [
     "convert_lsm_single_volume",
     "convert_df_single_slice",
     "convert_lsm_multi_slice",
+    "convert_lsm_mosaic",
     # more
 ]
 
