@@ -19,6 +19,7 @@ NAMES = [
     "convert_df_single_slice",
     "convert_lsm_multi_slice",
     "convert_lsm_mosaic",
+    "convert_lsm_spool",
     # more
 ]
 
