@@ -20,6 +20,7 @@ NAMES = [
     "convert_lsm_multi_slice",
     "convert_lsm_mosaic",
     "convert_lsm_spool",
+    "convert_lsm_strip",
     # more
 ]
 
