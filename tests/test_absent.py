@@ -21,6 +21,7 @@ NAMES = [
     "convert_lsm_mosaic",
     "convert_lsm_spool",
     "convert_lsm_strip",
+    "convert_psoct_multi_slice",
     # more
 ]
 
