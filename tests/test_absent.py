@@ -22,6 +22,7 @@ NAMES = [
     "convert_lsm_spool",
     "convert_lsm_strip",
     "convert_psoct_multi_slice",
+    "convert_psoct_single_volume",
     # more
 ]
 
