@@ -23,6 +23,7 @@ NAMES = [
     "convert_lsm_strip",
     "convert_psoct_multi_slice",
     "convert_psoct_single_volume",
+    "convert_wk_annotation",
     # more
 ]
 
