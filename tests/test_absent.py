@@ -28,6 +28,7 @@ NAMES = [
     "nifti_roundtrip",
     "mat_first_variable",
     "mat_hdf5",
+    "pack_roundtrip",
     # more
 ]
 

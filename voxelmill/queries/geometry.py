@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxelmill.operators import compare, grid, stitch, tiles
 from voxelmill.queries import query
-from voxelmill.queries.views import CHUNK, SIDE, TILES, VOLUME, WIDTH, events_grid, shape, volume
+from voxelmill.queries.views import ABSENT, CHUNK, SIDE, TILES, VOLUME, WIDTH, events_grid, shape, volume
 from voxelmill.queries.views import EVENTS as EVENTS_SQL
 from voxelmill.queries.views import tiles as inventory
 
@@ -68,7 +68,7 @@ def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {VOLUME} select z, y, x, v from vol")
 def pack_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = shape(spark, sf_dir)
-    return grid.unpack(grid.pack(volume(spark, sf_dir), list(s.values()), list(CHUNK.values()), "int32"), "int32")
+    return grid.unpack(grid.pack(volume(spark, sf_dir), list(s.values()), list(CHUNK.values()), "int32", fill=ABSENT), "int32", absent=ABSENT)
 
 
 @query(f"""with {VOLUME} select z, y, x, v, z // 8 as cz, y // 8 as cy, x // 16 as cx from vol
