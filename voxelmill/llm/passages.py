@@ -34,7 +34,7 @@ from voxelmill.llm.suffix import repeated
 from voxelmill.llm.text import U, by_size, flat, mix, prefix_hash, signed, span_hash
 
 DEPTH, ANCHOR, CROWD = 200, 50, 2048
-#: A context with more than this part of all rows is joined by broadcast: there are at most so many.
+#: A context with more than one in so many of all rows isn't joined: there are fewer than so many.
 HOT = 1000
 PART, BLOCK = 1 << 18, 1 << 18
 _PLACE = U(31)
@@ -229,14 +229,13 @@ def spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         F.min_by("first", "_text_hash").alias("first"), F.min_by("last", "_text_hash").alias("last"),
     )
     context = materialise(context)
-    # rows of a hot context aren't dealt out by it
-    often = context.where("n > 1")
-    hot = often.where(F.col("n") > rows.count() / HOT).select("h", "c")
-    if hot.isEmpty():
-        whole = rows.join(often.select("h", "c"), ["h", "c"])
-    else:
-        rest = rows.join(F.broadcast(hot), ["h", "c"], "left_anti")
-        whole = rows.join(F.broadcast(hot), ["h", "c"], "left_semi").unionByName(rest.join(often.select("h", "c"), ["h", "c"]))
+    # rows of a hot context aren't dealt out by it: its numbers tell them where they are read (a context's hash has but one anchor)
+    often = context.where("n > 1").select("h", "c", "n")
+    hot = often.where(F.col("n") > rows.count() / HOT).collect()
+    is_hot = F.col("c").isin([r["c"] for r in hot]) & F.col("h").isin([r["h"] for r in hot])
+    whole = rows.where(~is_hot).join(often.where(~is_hot).select("h", "c"), ["h", "c"])
+    if hot:
+        whole = whole.unionByName(rows.where(is_hot))
     span = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("last").cast("long") + depth).alias("span")
     full = whole.select("_id", "_text_hash", span)
     mixed = context.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
