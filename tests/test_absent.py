@@ -29,6 +29,18 @@ NAMES = [
     "mat_first_variable",
     "mat_hdf5",
     "pack_roundtrip",
+    "pyramid_blocks",
+    "pyramid_one_pass",
+    "pyramid_one_pass_sharded",
+    "rechunk",
+    "tiff_compressions",
+    "wkw_region",
+    "zarr_append_overlapping",
+    "zarr_first_axis_fastest",
+    "zarr_region_v3_sharded",
+    "zarr_region_write",
+    "zarr_roundtrip_v2",
+    "zarr_written",
     # more
 ]
 

@@ -13,7 +13,7 @@ from voxelmill.queries import query
 from voxelmill.queries.formats import _stored
 from voxelmill.queries.geometry import DIFFERENT
 from voxelmill.queries.pyramids import ALL_LEVELS
-from voxelmill.queries.views import SIDE, VOLUME, shape, volume
+from voxelmill.queries.views import ABSENT, SIDE, VOLUME, shape, volume
 from voxelmill.sinks import pyramids, regions
 from voxelmill.sinks import zarr as sink
 from voxelmill.sources.blocks import opened, source, voxels
@@ -38,17 +38,17 @@ def zarr_where_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zarr_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sharded array by ``df.write``, from blocks that don't fit its chunks."""
     size, path = list(shape(spark, sf_dir).values()), scratch(spark)
-    blocks = regions.laid_out(grid.pack(volume(spark, sf_dir), size, [5, 7, 30], "int32"), size, [4, 10, 16], [8, 20, 32])
+    blocks = regions.laid_out(grid.pack(volume(spark, sf_dir), size, [5, 7, 30], "int32", fill=ABSENT), size, [4, 10, 16], [8, 20, 32])
     spark.dataSource.register(source("zarr"))
-    options = {"shape": ",".join(map(str, size)), "dtype": "int32", "chunk": "4,10,16", "shard": "8,20,32"}
+    options = {"shape": ",".join(map(str, size)), "dtype": "int32", "chunk": "4,10,16", "shard": "8,20,32", "fill_value": str(ABSENT)}
     blocks.write.format("zarr").mode("overwrite").options(**options).save(path)
-    return grid.unpack(opened(spark, "zarr", path)[0], "int32")
+    return grid.unpack(opened(spark, "zarr", path)[0], "int32", absent=ABSENT)
 
 
 def _slab(vol: DataFrame, size: list[int], first: int, last: int) -> DataFrame:
     """Blocks of slices first to last - 1, on a grid of their own."""
     own = grid.shifted(vol.where((F.col("z") >= first) & (F.col("z") < last)), {"z": -first})
-    blocks = grid.pack(own, [last - first, *size[1:]], [5, 7, 30], "int32")
+    blocks = grid.pack(own, [last - first, *size[1:]], [5, 7, 30], "int32", fill=ABSENT)
     return blocks.withColumn("origin", F.transform("origin", lambda o, i: o + F.when(i == 0, first).otherwise(0)))
 
 
@@ -60,27 +60,27 @@ def zarr_append_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two jobs of ``df.write`` into one sharded array, the second over a part of the first."""
     size, path, vol = list(shape(spark, sf_dir).values()), scratch(spark), volume(spark, sf_dir)
     spark.dataSource.register(source("zarr"))
-    options = {"shape": ",".join(map(str, size)), "dtype": "int32", "chunk": "4,10,16", "shard": "8,20,32"}
+    options = {"shape": ",".join(map(str, size)), "dtype": "int32", "chunk": "4,10,16", "shard": "8,20,32", "fill_value": str(ABSENT)}
     first = _slab(vol, size, 0, max(1, 2 * size[0] // 3))
     regions.laid_out(first, size, [4, 10, 16], [8, 20, 32]).write.format("zarr").mode("append").options(**options).save(path)
     second = _slab(vol.withColumn("v", -F.col("v")), size, size[0] // 3, size[0])
     regions.laid_out_for(path, second).write.format("zarr").mode("append").save(path)
-    return grid.unpack(opened(spark, "zarr", path)[0], "int32")
+    return grid.unpack(opened(spark, "zarr", path)[0], "int32", absent=ABSENT)
 
 
 @query(OVERLAPPING)
 def zarr_region_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A box written over a stored array of plain chunks, which it covers in part."""
-    path, size = _stored(spark, sf_dir, ArrayOptions(zarr_version=2, chunk=(8, 8, 16), compressor="zlib"))
+    path, size = _stored(spark, sf_dir, ArrayOptions(zarr_version=2, chunk=(8, 8, 16), compressor="zlib", fill_value=ABSENT))
     regions.write_region(path, _slab(volume(spark, sf_dir).withColumn("v", -F.col("v")), size, size[0] // 3, size[0]))
-    return grid.unpack(opened(spark, "zarr", path)[0], "int32")
+    return grid.unpack(opened(spark, "zarr", path)[0], "int32", absent=ABSENT)
 
 
 def _one_pass(spark: SparkSession, sf_dir: str, chunk: list[int], shard: list[int] | None) -> DataFrame:
     size, path = list(shape(spark, sf_dir).values()), scratch(spark)
-    blocks = grid.pack(volume(spark, sf_dir), size, [5, 7, 30], "int32")
-    pyramids.write_levels(path, blocks, size, chunk, shard, "int32", ArrayOptions(), 3, [True] * 3)
-    levels = [voxels(spark, "zarr", path, level=k).select(F.lit(k).alias("level"), "z", "y", "x", "v") for k in range(4)]
+    blocks = grid.pack(volume(spark, sf_dir), size, [5, 7, 30], "int32", fill=ABSENT)
+    pyramids.write_levels(path, blocks, size, chunk, shard, "int32", ArrayOptions(fill_value=ABSENT), 3, [True] * 3)
+    levels = [voxels(spark, "zarr", path, level=k).where(F.col("v") != ABSENT).select(F.lit(k).alias("level"), "z", "y", "x", "v") for k in range(4)]
     return reduce(DataFrame.unionByName, levels)
 
 
