@@ -134,8 +134,10 @@ def mosaic_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {VOLUME}, r as (select z, rank() over (order by 's' || lpad(cast(z * 7 % 1000 as varchar), 4, '0')) - 1 as s from (select distinct z from vol)) select y, x, v, s from vol join r using (z)")
 def stack_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = volume(spark, sf_dir).select(F.format_string("s%04d", F.pmod(F.col("z") * 7, F.lit(1000))).alias("path"), "y", "x", "v")
-    return stitch.stacked(named, "path", "s")
+    """Names repeat beyond a thousand slices; those of one name share a place."""
+    name = F.concat(F.lit("s"), F.lpad((F.col("z") * 7 % 1000).cast("string"), 4, "0"))
+    named = volume(spark, sf_dir).withColumn("path", name)
+    return stitch.stacked(named, "path", "s", key="z").select("y", "x", "v", "s")
 
 
 _CENTRE = f"""with {VOLUME}, img as (select z, y, x, v from vol where y < {SIDE} - z % 7 and x < {WIDTH} - z % 5)"""
